@@ -454,10 +454,7 @@ def stream_decode(spark, sf_dir):
     stream = spark.readStream.schema("event_id long, payload string").parquet(path)
     out = fresh_dir(spark, "table")
     arrival = F.lit(ARRIVAL).cast("timestamp")
-    sink = jobs.decoded_sink(
-        lambda batch: decode.decode_passes(batch, arrival=arrival),
-        sinks.table_sink(f"{out}/passes"), f"{out}/quarantine",
-    )
+    sink = jobs.decoded_sink(sinks.table_sink(f"{out}/passes"), f"{out}/quarantine", arrival=arrival)
     cfg = jobs.JobConfig(fresh_dir(spark, "query"), available_now=True)
     jobs.start(stream, sink, cfg).awaitTermination()
     valid = sinks.read_batches(spark, f"{out}/passes").select("event_id", F.lit("valid").alias("outcome"))

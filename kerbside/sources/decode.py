@@ -15,7 +15,7 @@ from kerbside.sources.messages import (
     MESSAGES, OPTIONAL, PASS_MESSAGE, REPEATED, descriptor_set, spark_schema,
 )
 
-_BROKEN = "_broken"
+_BROKEN, _SOUND = "_broken", "_sound"
 
 # Pass column -> message field.
 FLAT = {
@@ -69,23 +69,41 @@ def decode_passes(
     ``quarantine`` keeps the payload with ``reason`` and the ``missing``
     required fields. Required marks hold inside nested messages too.
     """
-    arrival = F.current_timestamp() if arrival is None else arrival
+    checked = check_payloads(df, payload, wire)
+    return valid_passes(checked, payload, arrival, lenient_time), quarantined(checked, payload)
+
+
+def check_payloads(df: DataFrame, payload: str = "payload", wire: str = "json") -> DataFrame:
+    """Adds the parsed message and whether it is sound; persist this to use both outcomes."""
     read = read_payload(df, payload, wire)
-    missing = F.filter(F.array(*_missing_fields("m", PASS_MESSAGE)), lambda name: name.isNotNull())
-    checked = read.withColumn("missing", F.when(~F.col(_BROKEN), missing))
-    sound = ~F.col(_BROKEN) & (F.size("missing") == 0)
-    carried = [c for c in df.columns if c != payload]
-    valid = checked.filter(sound).select(
-        *carried,
+    return read.withColumn(_SOUND, ~F.col(_BROKEN) & ~_lacks(F.col("m"), PASS_MESSAGE))
+
+
+def valid_passes(
+    checked: DataFrame, payload: str = "payload", arrival: Column | None = None, lenient_time: bool = False
+) -> DataFrame:
+    arrival = F.current_timestamp() if arrival is None else arrival
+    return checked.filter(_SOUND).select(
+        *_carried(checked, payload),
         *[F.col(f"m.{path}").alias(name) for name, path in FLAT.items()],
         _pictures("m.PicInfo").alias("pics"),
         parse_event_time("m.Time", arrival, lenient_time).alias("pass_ts"),
     )
-    reason = F.when(F.col(_BROKEN), F.lit("unreadable")).otherwise(F.lit("missing field"))
-    quarantine = checked.filter(~sound).select(
-        *carried, payload, reason.alias("reason"), F.coalesce("missing", F.array().cast("array<string>")).alias("missing")
+
+
+def quarantined(checked: DataFrame, payload: str = "payload") -> DataFrame:
+    named = F.filter(F.array(*_missing_fields("m", PASS_MESSAGE)), lambda name: name.isNotNull())
+    nothing = F.array().cast("array<string>")
+    return checked.filter(~F.col(_SOUND)).select(
+        *_carried(checked, payload),
+        payload,
+        F.when(F.col(_BROKEN), "unreadable").otherwise("missing field").alias("reason"),
+        F.when(F.col(_BROKEN), nothing).otherwise(named).alias("missing"),
     )
-    return valid, quarantine
+
+
+def _carried(checked: DataFrame, payload: str) -> list[str]:
+    return [c for c in checked.columns if c not in (payload, "m", _BROKEN, _SOUND)]
 
 
 def read_payload(df: DataFrame, payload: str, wire: str) -> DataFrame:
@@ -185,15 +203,16 @@ def _lacking(message: str) -> Callable[[Column], Column]:
 
 
 def _lacks(value: Column, message: str) -> Column:
-    """Whether a nested message lacks a required field, at any depth."""
+    """Whether a message lacks a required field, at any depth."""
     checks = []
     for field in MESSAGES[message]:
-        if field.label == OPTIONAL:
-            continue
         inner = value[field.name]
-        checks.append(inner.isNull())
-        if field.type in MESSAGES:
-            checks.append(_lacks(inner, field.type))
+        if field.label == REPEATED:
+            checks.append(inner.isNotNull() & F.exists(inner, _lacking(field.type)))
+        elif field.label != OPTIONAL:
+            checks.append(inner.isNull())
+            if field.type in MESSAGES:
+                checks.append(_lacks(inner, field.type))
     return reduce(lambda a, b: a | b, checks)
 
 

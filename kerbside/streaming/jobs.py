@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators import limits, watch
 from kerbside.operators.lookup import checked_broadcast
+from kerbside.sources import decode
 from kerbside.streaming import sinks
 
 Batch = Callable[[DataFrame, int], None]
@@ -91,15 +92,19 @@ def fan_out_sink(path: str, outputs=sinks.ARCHIVE) -> Batch:
     return lambda batch, batch_id: sinks.fan_out(batch, batch_id, path, outputs)
 
 
-def decoded_sink(decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]], sink: Batch, quarantine_path: str) -> Batch:
-    """Decode a batch of payloads, run ``sink`` on the passes and keep the rest."""
+def decoded_sink(sink: Batch, quarantine_path: str, payload: str = "payload", wire: str = "json",
+                 arrival: Column | None = None, lenient_time: bool = False) -> Batch:
+    """Decode a batch of payloads once, run ``sink`` on the passes and keep the rest.
+
+    ``arrival`` stands in for an unreadable event time: the stream's own arrival
+    column, so that a replay gives the same passes.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = decode.check_payloads(batch, payload, wire).persist()
         try:
-            valid, bad = decode(kept)
-            sinks.write_batch(bad, batch_id, quarantine_path)
-            sink(valid, batch_id)
+            sinks.write_batch(decode.quarantined(kept, payload), batch_id, quarantine_path)
+            sink(decode.valid_passes(kept, payload, arrival, lenient_time), batch_id)
         finally:
             kept.unpersist()
 
