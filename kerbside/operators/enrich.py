@@ -1,4 +1,8 @@
-"""Search hits joined with their detail rows and keyed-JSON dimensions."""
+"""Search hits joined with their detail rows and keyed-JSON dimensions.
+
+A detail row belongs to one hit, so that join has no busy key and stays plain; a
+dimension row belongs to many.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.maps import merge_maps
+from kerbside.operators.lookup import lookup_join
 
 # Columns of the detail table that a lookup returns.
 DETAIL_COLUMNS = (
@@ -26,9 +31,8 @@ def enrich_result(hits: DataFrame, result: DataFrame, task: DataFrame) -> DataFr
     ``task`` is (task_id, attrs), see `load_dim`.
     """
     details = result.select("result_id", F.create_map(F.lit("HP"), F.col("license")).alias("_detail"))
-    joined = hits.join(details, "result_id", "left").join(
-        task.select("task_id", F.col("attrs").alias("_task")), "task_id", "left"
-    )
+    detailed = hits.join(details, "result_id", "left")
+    joined = lookup_join(detailed, task.select("task_id", F.col("attrs").alias("_task")), "task_id", "left")
     merged = merge_maps(F.col("_detail"), F.col("_task")).alias("merged")
     return joined.select(*hits.columns, merged)
 
@@ -37,6 +41,6 @@ def enrich_dims(hits: DataFrame, task: DataFrame, camera: DataFrame, data_source
     """Hits with ``task`` (its attributes alone) and ``merged``: task, camera, then data source."""
     joined = hits
     for dim, key in ((task, "task_id"), (camera, "camera_id"), (data_source, "data_source_id")):
-        joined = joined.join(dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left")
+        joined = lookup_join(joined, dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left")
     merged = merge_maps(F.col("_task_id"), F.col("_camera_id"), F.col("_data_source_id"))
     return joined.select(*hits.columns, F.col("_task_id").alias("task"), merged.alias("merged"))

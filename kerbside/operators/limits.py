@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.numbers import excess_rate
 from kerbside.functions.timing import time_text
+from kerbside.operators.lookup import Join, lookup_join
 
 
 def limit_for(limit_text: Column, vehicle_type: Column) -> Column:
@@ -19,10 +20,10 @@ def limit_for(limit_text: Column, vehicle_type: Column) -> Column:
     return F.when(limit_text.contains(","), of_type).otherwise(limit_text).try_cast("float")
 
 
-def with_limit(passes: DataFrame, gates: DataFrame, how: str = "inner") -> DataFrame:
+def with_limit(passes: DataFrame, gates: DataFrame, how: str = "inner", join: Join = lookup_join) -> DataFrame:
     """Passes with ``limit``; ``gates`` has one row (id, speedlimit) per gate."""
     at_gate = gates.select(F.col("id").alias("device_id"), "speedlimit")
-    joined = passes.join(at_gate, "device_id", how)
+    joined = join(passes, at_gate, "device_id", how)
     return joined.withColumn("limit", limit_for(F.col("speedlimit"), F.col("vehicle_type")))
 
 
@@ -30,13 +31,13 @@ def _violates() -> Column:
     return F.col("speed") > F.col("limit")
 
 
-def overspeed(passes: DataFrame, gates: DataFrame) -> DataFrame:
+def overspeed(passes: DataFrame, gates: DataFrame, join: Join = lookup_join) -> DataFrame:
     """One row per violation: row key and 14 text cells, three of them always empty."""
     used = passes.select(
         "device_id", "vehicle_type", "speed", "plate", "plate_type", "chan_index", "dir", "site_id",
         "illegal_type", time_text(passes).alias("WFSJ"),
     )
-    over = with_limit(used, gates).filter(_violates())
+    over = with_limit(used, gates, join=join).filter(_violates())
 
     def text(name: str) -> Column:
         return F.col(name).cast("string")
@@ -62,7 +63,7 @@ def overspeed(passes: DataFrame, gates: DataFrame) -> DataFrame:
 
 def unknown_gates(passes: DataFrame, gates: DataFrame) -> DataFrame:
     """Passes at gates without a limit row."""
-    return passes.join(gates.select(F.col("id").alias("device_id")), "device_id", "left_anti")
+    return lookup_join(passes, gates.select(F.col("id").alias("device_id")), "device_id", "left_anti")
 
 
 def unusable_limits(passes: DataFrame, gates: DataFrame) -> DataFrame:

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest measured table that is sent to every executor, in bytes of its JSON text.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Past this estimate a table is not worth measuring: it will not fit.
+MEASURE_BYTES = 64 * BROADCAST_BYTES
+# Keys that are looked up apart from the rest; any other key holds less than 1/HOT_KEYS of the rows.
+HOT_KEYS = 1000
 
-
-def checked_broadcast(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast where the table was measured to fit, else leave the join to the planner.
-
-    Costs one pass over ``table``. Use it where Spark cannot know the size in
-    advance (a database snapshot); file-backed tables need no hint.
-    """
-    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(table) if size <= max_bytes else table
+Join = Callable[[DataFrame, DataFrame, str, str], DataFrame]
 
 
 def last_row_wins(table: DataFrame, key: str, order: str) -> DataFrame:
@@ -24,3 +22,60 @@ def last_row_wins(table: DataFrame, key: str, order: str) -> DataFrame:
     rest = [c for c in table.columns if c not in (key, order)]
     latest = F.max_by(F.struct(*rest), F.col(order)).alias("row")
     return table.groupBy(key).agg(latest).select(key, *[F.col(f"row.{c}").alias(c) for c in rest])
+
+
+def lookup_join(fact: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``fact`` joined with a reference table that has one row per ``key``."""
+    sized, join = size_up(table)
+    return join(fact, sized, key, how)
+
+
+def size_up(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, Join]:
+    """The table and the join that suits its size.
+
+    Where Spark's own estimate is below its broadcast threshold it will
+    broadcast by itself. Above that the table is measured once, unless it is
+    plainly too large; what fits is broadcast, what does not is joined with the
+    busy keys set apart.
+    """
+    estimate = _estimated_bytes(table)
+    if estimate <= _planner_threshold(table):
+        return table, plain_join
+    if estimate <= MEASURE_BYTES and measured_bytes(table) <= max_bytes:
+        return F.broadcast(table), plain_join
+    return table, split_join
+
+
+def _estimated_bytes(table: DataFrame) -> int:
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _planner_threshold(table: DataFrame) -> int:
+    return int(str(table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+
+
+def measured_bytes(table: DataFrame) -> int:
+    return table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+
+
+def plain_join(fact: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+    return fact.join(table, key, how)
+
+
+def split_join(fact: DataFrame, table: DataFrame, key: str, how: str, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Join with the busiest keys, and null keys, kept off the exchange.
+
+    Their rows of ``table`` are few, ``hot_keys`` at most, and are broadcast; the
+    other keys take the usual join, where no key is heavy. The order on key
+    settles ties, so that both branches agree on what is busy.
+    """
+    if how not in ("inner", "left", "left_anti"):
+        raise ValueError(f"unsupported join: {how}")
+    counted = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counted.orderBy(F.desc("_n"), key).limit(hot_keys).select(key))
+    hot_rows = fact.join(hot, key, "left_semi")
+    if how != "inner":
+        hot_rows = hot_rows.unionByName(fact.filter(F.col(key).isNull()))
+    hot_table = F.broadcast(table.join(hot, key, "left_semi"))
+    rest = fact.filter(F.col(key).isNotNull()).join(hot, key, "left_anti")
+    return hot_rows.join(hot_table, key, how).unionByName(rest.join(table, key, how))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,29 +62,31 @@ def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -
     tails = kept.groupBy(*_GROUP).agg(
         F.array_sort(F.collect_list(F.struct("pass_ts", "event_id", *_MEASURES))).alias("t")
     )
-    ended = tails.select(*_GROUP, *[
-        end.alias(f"{m}_{side}") for m in _MEASURES for side, end in _ends(F.col("t"), m, tail).items()
-    ])
-    tied = F.lit(False)
-    for m in _MEASURES:
-        tied = tied | ~F.col(f"{m}_low").eqNullSafe(F.col(f"{m}_high"))
-    settled = ended.filter(~tied).select(*_GROUP, *[F.col(f"{m}_low").alias(m) for m in _MEASURES])
-    open_groups = ended.filter(tied).select(*_GROUP)
-    whole = _fold_in_pieces(rows.join(open_groups, _GROUP, "left_semi"), piece)
+    # Through a generator, so that the filters below do not fold a second time.
+    folded = tails.select(*_GROUP, F.explode(F.array(F.struct(
+        *[_fold_tail(F.col("t")[m], tail).alias(m) for m in _MEASURES]
+    ))).alias("f"))
+    tied = F.col("f.speed.tied") | F.col("f.length.tied")
+    settled = folded.filter(~tied).select(*_GROUP, *[F.col(f"f.{m}.mean").alias(m) for m in _MEASURES])
+    open_groups = folded.filter(tied).select(*[F.col(g).alias(f"open_{g}") for g in _GROUP])
+    # Null-safe keys add no filter, so both uses of the tails share one exchange.
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"open_{g}")) for g in _GROUP])
+    whole = _fold_in_pieces(rows.join(open_groups, same, "left_semi"), piece)
     return settled.unionByName(whole)
 
 
-def _ends(tail_rows: Column, measure: str, tail: int) -> dict[str, Column]:
-    values = tail_rows[measure]
-    complete = F.size(values) < tail
-
-    def end(bound: int) -> Column:
-        # Whatever came before, the mean after the first kept row is an int of hundredths.
-        return F.when(complete, _fold(_rest(values), F.get(values, F.lit(0)))).otherwise(
-            hundredths(_fold_ticks(_rest(values), F.lit(bound)))
-        )
-
-    return {"low": end(_INT_MIN), "high": end(_INT_MAX)}
+def _fold_tail(values: Column, tail: int) -> Column:
+    """(mean, tied): exact where the tail is the whole group or all starts end on one value."""
+    whole = F.struct(_fold(_rest(values), F.get(values, F.lit(0))).alias("mean"), F.lit(False).alias("tied"))
+    # Whatever came before, the mean after the first kept row is an int of hundredths.
+    ends = F.struct(
+        _fold_ticks(_rest(values), F.lit(_INT_MIN)).alias("low"),
+        _fold_ticks(_rest(values), F.lit(_INT_MAX)).alias("high"),
+    )
+    cut = F.transform(F.array(ends), lambda e: F.struct(
+        hundredths(e["low"]).alias("mean"), (~e["low"].eqNullSafe(e["high"])).alias("tied")
+    ))
+    return F.when(F.size(values) < tail, whole).otherwise(F.get(cut, F.lit(0)))
 
 
 def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:

@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import keys
 from kerbside.functions.timing import time_text
+from kerbside.operators.lookup import Join, lookup_join
 
 
-def watchlist_alerts(passes: DataFrame, watchlist: DataFrame) -> DataFrame:
+def watchlist_alerts(passes: DataFrame, watchlist: DataFrame, join: Join = lookup_join) -> DataFrame:
     """Alarm rows for passes of listed plates, in the columns of the alarm table.
 
-    ``watchlist`` has one row per plate. The join carries no broadcast hint:
-    Spark broadcasts the list while it is known to be small and splits a hot
-    plate's partition when it is not.
+    ``watchlist`` has one row per plate.
     """
     time = time_text(passes).alias("GCSJ")
-    hits = passes.select(
+    used = passes.select(
         "plate", time, "device_id", "alarm_type", "plate_color", "plate_type",
         "vehicle_logo", "vehicle_color", "vehicle_type", "speed",
-    ).join(watchlist.select("plate", "bkxxbh", "bkjb"), "plate")
+    )
+    hits = join(used, watchlist.select("plate", "bkxxbh", "bkjb"), "plate", "inner")
     moment, plate, device = F.col("GCSJ"), F.col("plate"), F.col("device_id")
     return hits.select(
         keys.alarm_key(moment, plate, device).alias("row_key"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators import limits, watch
-from kerbside.operators.lookup import checked_broadcast
+from kerbside.operators.lookup import Join, plain_join, size_up
 from kerbside.sources import decode
 from kerbside.streaming import sinks
 
@@ -39,21 +39,29 @@ def start(df: DataFrame, sink: Batch, cfg: JobConfig) -> StreamingQuery:
     return writer.trigger(processingTime=cfg.trigger).start()
 
 
-def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int, DataFrame], None],
+def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int, DataFrame, Join], None],
                  version: Callable[[], object] | None = None) -> Batch:
-    """Batch function that hands ``work`` a current reference table.
+    """Batch function that hands ``work`` a current reference table and the join for its size.
 
     The table is loaded for every micro-batch, or only when ``version()``
-    changes. It replaces the old one, so deleted rows stop matching. The size is
-    measured at each load, which decides whether the table is broadcast.
+    changes. It replaces the old one, so deleted rows stop matching.
     """
     held: dict = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         now = version() if version else batch_id
         if not held or held["version"] != now:
-            held.update(version=now, table=checked_broadcast(load()))
-        work(batch, batch_id, held["table"])
+            held.update(version=now, sized=size_up(load()))
+        table, join = held["sized"]
+        if join is plain_join:
+            work(batch, batch_id, table, join)
+            return
+        # The split join reads the batch more than once.
+        kept = batch.persist()
+        try:
+            work(kept, batch_id, table, join)
+        finally:
+            kept.unpersist()
 
     return run
 
@@ -63,8 +71,8 @@ def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
                 version: Callable[[], object] | None = None) -> Batch:
     """Watchlist hits of each batch into the alarm table, and to ``send`` as messages."""
 
-    def work(batch: DataFrame, batch_id: int, watchlist: DataFrame) -> None:
-        alerts = watch.watchlist_alerts(batch, watchlist)
+    def work(batch: DataFrame, batch_id: int, watchlist: DataFrame, join: Join) -> None:
+        alerts = watch.watchlist_alerts(batch, watchlist, join)
         if send is None:
             sinks.write_batch(watch.alarm_table(alerts), batch_id, path)
             return
@@ -82,8 +90,8 @@ def overspeed_sink(load_gates: Callable[[], DataFrame], path: str,
                    version: Callable[[], object] | None = None) -> Batch:
     """Violations of each batch into the violation table."""
 
-    def work(batch: DataFrame, batch_id: int, gates: DataFrame) -> None:
-        sinks.write_batch(limits.overspeed(batch, gates), batch_id, path)
+    def work(batch: DataFrame, batch_id: int, gates: DataFrame, join: Join) -> None:
+        sinks.write_batch(limits.overspeed(batch, gates, join), batch_id, path)
 
     return with_refresh(load_gates, work, version)
 
