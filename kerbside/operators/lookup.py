@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Past this estimate a table is not worth measuring: it will not fit.
 MEASURE_BYTES = 64 * BROADCAST_BYTES
+# Spark's estimates reach this only where it knows nothing, as for a database table.
+UNKNOWN_BYTES = 1 << 60
 # Keys that are looked up apart from the rest; any other key holds less than 1/HOT_KEYS of the rows.
 HOT_KEYS = 1000
 
@@ -41,7 +43,8 @@ def size_up(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFra
     estimate = _estimated_bytes(table)
     if estimate <= _planner_threshold(table):
         return table, plain_join
-    if estimate <= MEASURE_BYTES and measured_bytes(table) <= max_bytes:
+    worth_measuring = estimate <= MEASURE_BYTES or estimate >= UNKNOWN_BYTES
+    if worth_measuring and measured_bytes(table) <= max_bytes:
         return F.broadcast(table), plain_join
     return table, split_join
 

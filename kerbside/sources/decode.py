@@ -132,7 +132,7 @@ def _has_protobuf_functions(df: DataFrame) -> bool:
     """Whether the spark-protobuf package is on the session's class path."""
     try:
         df.sparkSession._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.protobuf.functions", False,
+            "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst", False,
             df.sparkSession._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
         )
         return True
