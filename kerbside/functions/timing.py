@@ -1,4 +1,4 @@
-"""Event-time parsing and time predicates."""
+"""Event-time parsing, ranges and formatting."""
 
 from __future__ import annotations
 
@@ -37,9 +37,18 @@ def parse_event_time(text: Column | str, fallback: Column, lenient: bool = False
     return F.coalesce(rolled, fallback)
 
 
-def in_time_range(ts: Column | str, start, end) -> Column:
-    """Inclusive at both ends. Bounds are literals, so the scan can prune on them."""
-    return _col(ts).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))
+def in_time_range(column: Column | str, start=None, end=None, kind: str = "timestamp") -> Column:
+    """Inclusive at both ends, open where a bound is None. Literal bounds reach the scan."""
+
+    def bound(value) -> Column:
+        return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp").cast(kind)
+
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (_col(column) >= bound(start))
+    if end is not None:
+        inside = inside & (_col(column) <= bound(end))
+    return inside
 
 
 def time_text(df: DataFrame) -> Column:

@@ -94,3 +94,34 @@ def traffic_image_all(passes: DataFrame, row_key: Column | None = None) -> DataF
     key = archive_key(passes) if row_key is None else row_key
     each = passes.select(key.alias("row_key"), F.posexplode("pics").alias("pos", "pic"))
     return each.select("row_key", "pos", *_picture("pic"))
+
+
+# Detail row of a recognition result. The stored names.
+RESULT = (
+    "taskid", "cameraId", "License", "LicenseAttribution", "PlateColor", "PlateType", "Confidence", "Bright",
+    "Direction", "LocationLeft", "LocationTop", "LocationRight", "LocationBottom", "CostTime", "CarBright", "CarColor",
+    "CarLogo", "ImagePath", "ImageURL", "ResultTime", "CreateTime", "frame_index", "carspeed", "LabelInfoData",
+    "vehicleKind", "vehicleBrand", "vehicleSeries", "vehicleStyle", "tag", "paper", "sun", "drop", "call", "crash",
+    "danger", "mainBelt", "secondBelt", "vehicleLeft", "vehicleTop", "vehicleRight", "vehicleBootom",
+    "vehicleConfidence", "face", "face_url1", "face_url2", "vehicleUrl", "fileName",
+)
+# Search document of a result, under the names that the search reads.
+RESULT_INDEX = (
+    "ResultTime", "PlateColor", "Direction", "vehicleBrand", "tag", "drop", "secondBelt", "call", "crash", "danger",
+    "paper", "sun", "resultId", "taskId", "cameraId", "dataSourceId",
+)
+
+
+def result_detail(results: DataFrame) -> DataFrame:
+    """Row key and the 47 detail columns; one that the input lacks is null."""
+    present = {c.lower() for c in results.columns}
+    cells = [
+        F.col(f"`{name}`").alias(name) if name.lower() in present else F.lit(None).cast("string").alias(name)
+        for name in RESULT
+    ]
+    return results.select(F.col("resultId").cast("string").alias("row_key"), *cells)
+
+
+def result_index(results: DataFrame) -> DataFrame:
+    """The 16 fields of the search document; ``resultId`` leads to the detail row."""
+    return results.select(*[F.col(f"`{name}`").alias(name) for name in RESULT_INDEX])

@@ -24,19 +24,18 @@ def attr_search(docs: DataFrame, start=None, end=None, time: str = "pass_ts", **
     found = docs
     for name, value in terms.items():
         found = found.filter(F.col(f"`{name}`") == F.lit(value))
-    return found if start is None and end is None else _between(found, time, start, end)
+    return _between(found, time, start, end)
 
 
 def _between(docs: DataFrame, time: str, start, end) -> DataFrame:
-    if start is not None and end is not None:
-        return docs.filter(in_time_range(time, start, end))
-    bound = F.lit(start if end is None else end).cast("timestamp")
-    return docs.filter(F.col(time) >= bound if end is None else F.col(time) <= bound)
+    """The range on ``time``; where the table has a ``day`` folder column, on that too."""
+    found = docs.filter(in_time_range(time, start, end))
+    return found.filter(in_time_range("day", start, end, "date")) if "day" in docs.columns else found
 
 
 def time_range(docs: DataFrame, start, end, time: str = "pass_ts") -> DataFrame:
-    """Documents within the inclusive range. Partition by day to prune whole folders."""
-    return docs.filter(in_time_range(time, start, end))
+    """Documents within the inclusive range."""
+    return _between(docs, time, start, end)
 
 
 def time_count(docs: DataFrame, start, end, time: str = "pass_ts") -> DataFrame:
@@ -53,10 +52,9 @@ def plate_search(
     which the scan can use to skip row groups; a pattern cannot be pushed down.
     ``end`` defaults to now.
     """
-    until = F.current_timestamp() if end is None else F.lit(end).cast("timestamp")
     # (?s): a dot stands for any character; \z: the very end, also before a line break.
     whole = F.col(plate).rlike(f"(?s)^(?:{province}.{{5}}{suffix})\\z")
-    found = docs.filter(F.col(time).between(F.lit(start).cast("timestamp"), until))
+    found = _between(docs, time, start, F.current_timestamp() if end is None else end)
     alternatives = "|" in suffix
     if province and not _PATTERN_CHARS.search(province) and not alternatives:
         found = found.filter(F.col(plate).startswith(province))

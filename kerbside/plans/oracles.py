@@ -292,6 +292,13 @@ BODIES: dict[str, str] = {
         select row_key, device_id as SBBH, {TIME} as Time, plate as Plate_License,
           case when event_id % 3 > 0 then event_id || '_' || (event_id % 3) end as Data
         from archived""",
+    "stream_results": f"""
+        select {TIME} as ResultTime, plate_color as PlateColor, dir as Direction, vehicle_brand as vehicleBrand,
+          cast(tag as int) as tag, cast("drop" as int) as "drop", cast(second_belt as int) as secondBelt,
+          pilot_call as call, cast(crash as int) as crash, cast(danger as int) as danger, cast(paper as int) as paper,
+          cast(sun as int) as sun, cast(event_id as varchar) as resultId, task_id as taskId, camera_id as cameraId,
+          data_source_id as dataSourceId, plate as License, plate_type as PlateType, cast(null as varchar) as fileName
+        from passes""",
     "stream_decode": "select event_id, outcome from outcome",
 }
 

@@ -446,6 +446,32 @@ def stream_fan_out(spark, sf_dir):
     )
 
 
+def _results(passes):
+    """Passes in the shape of recognition results."""
+    number = {"tag": "tag", "paper": "paper", "sun": "sun", "drop": "drop", "secondBelt": "second_belt",
+              "crash": "crash", "danger": "danger"}
+    return passes.select(
+        F.col("event_id").cast("string").alias("resultId"),
+        F.col("task_id").alias("taskId"), F.col("camera_id").alias("cameraId"),
+        F.col("data_source_id").alias("dataSourceId"),
+        F.col("plate").alias("License"), F.col("plate_color").alias("PlateColor"),
+        F.col("plate_type").alias("PlateType"), F.col("dir").alias("Direction"),
+        F.col("vehicle_brand").alias("vehicleBrand"), F.col("pilot_call").alias("call"),
+        time_text(passes).alias("ResultTime"),
+        *[F.col(f"`{c}`").cast("int").alias(name) for name, c in number.items()],
+    )
+
+
+@query
+def stream_results(spark, sf_dir):
+    """Results written as detail rows and search documents, joined again on the key."""
+    stream = _results(inputs.pass_stream_input(spark, sf_dir))
+    out = _drain(spark, stream, lambda path: jobs.fan_out_sink(path, sinks.RESULTS))
+    detail, index = (sinks.read_batches(spark, f"{out}/{name}").drop("batch_id") for name in ("result", "index"))
+    found = detail.select(F.col("row_key").alias("resultId"), "License", "PlateType", "fileName")
+    return index.join(found, "resultId")
+
+
 @query
 def stream_decode(spark, sf_dir):
     """Payloads through a stream: passes and quarantine by outcome."""

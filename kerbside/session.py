@@ -19,7 +19,8 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A skewed lookup is split even when that costs one more exchange downstream.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.sources.partitionOverwriteMode": "static",
+        # Checkpointed frames leave the shared folder once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

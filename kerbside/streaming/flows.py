@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from kerbside.operators.flow import GRAINS, RETENTION_SECONDS
 
@@ -36,3 +39,56 @@ def speed_stream(passes: DataFrame, lateness: str | None = DEFAULT_LATENESS) ->
         .agg(F.avg("speed").alias("speed"), F.avg("length").alias("length"))
         .select("device_id", F.col("slot.start").alias("minute"), "speed", "length")
     )
+
+
+def speed_fold_stream(passes: DataFrame, lateness: str | None = DEFAULT_LATENESS) -> DataFrame:
+    """The order-dependent running mean over a stream; run it in update mode.
+
+    State is the two means of a device-minute. Passes of one micro-batch are
+    taken by (pass_ts, event_id), behind all earlier batches: a task holds the
+    numbers of a device-minute within one micro-batch, which the source's
+    ``max_per_trigger`` bounds. ``lateness`` drops the state of a minute once
+    that time has gone by after its end.
+    """
+    timed = passes if lateness is None else passes.withWatermark("pass_ts", lateness)
+    rows = timed.select(
+        "device_id", F.date_trunc("minute", "pass_ts").alias("minute"), "pass_ts", "event_id", "speed", "length"
+    )
+    expires = lateness is not None
+
+    def update(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = list(state.get) if state.exists else [None, None]
+        # Numbers alone: the key columns repeat in every row.
+        parts = [[b[c].to_numpy() for c in ("pass_ts", "event_id", "speed", "length")] for b in batches]
+        time, event, *measured = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((event, time))
+        means = [_running_mean(mean, values[order]) for mean, values in zip(held, measured)]
+        state.update((float(means[0]), float(means[1])))
+        if expires:
+            minute_end = int(pd.Timestamp(key[1]).timestamp() * 1000) + 60_000
+            state.setTimeoutTimestamp(max(minute_end, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({
+            "device_id": [key[0]], "minute": [key[1]], "speed": [means[0]], "length": [means[1]],
+        })
+
+    return rows.groupBy("device_id", "minute").applyInPandasWithState(
+        update,
+        "device_id string, minute timestamp, speed float, length float",
+        "speed float, length float",
+        "update",
+        GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout,
+    )
+
+
+def _running_mean(mean: float | None, values: np.ndarray) -> np.float32:
+    """The float steps of `halving_mean`, one value after another."""
+    f32 = np.float32
+    held = values[0] if mean is None else f32(mean)
+    for value in values[1:] if mean is None else values:
+        scaled = f32(f32(f32(held + value) / f32(2)) * f32(100))
+        ticks = 0 if np.isnan(scaled) else int(min(max(float(scaled), -2147483648.0), 2147483647.0))
+        held = f32(f32(ticks) / f32(100))
+    return held

@@ -20,9 +20,9 @@ BATCH = "batch_id"
 FLOW_KEY = ("device_id", "grain", "bucket", "vehicle_type")
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Replaceable write of one micro-batch."""
-    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replaceable write of one micro-batch. Partition by ``day`` what is searched by time."""
+    batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -80,6 +80,12 @@ ARCHIVE: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "index": archive.traffic_index,
 }
 
+# The same fan-out for recognition results: detail rows and their search documents.
+RESULTS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
+    "result": archive.result_detail,
+    "index": archive.result_index,
+}
+
 
 def fan_out(
     batch: DataFrame, batch_id: int, path: str,

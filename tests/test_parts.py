@@ -164,6 +164,21 @@ def test_range_is_inclusive(spark):
     assert search.attr_search(docs, end=times[1]).count() == 2
 
 
+def test_day_folders_are_pruned(spark, sf_dir, tmp_path):
+    from kerbside.streaming import sinks
+
+    path = str(tmp_path / "docs")
+    docs = inputs.passes(spark, sf_dir).select("event_id", "pass_ts", "plate", F.to_date("pass_ts").alias("day"))
+    sinks.write_batch(docs, 0, path, ["day"])
+    stored = sinks.read_batches(spark, path)
+    bounds = "2024-01-02 00:00:00", "2024-01-02 10:00:00"
+    found = search.time_range(stored, *bounds)
+    assert {f.split("day=")[1][:10] for f in found.select(F.input_file_name().alias("f")).toPandas()["f"]} == {"2024-01-02"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert found.count() == search.time_range(docs.drop("day"), *bounds).count() > 0
+
+
 def test_pages_in_order_are_the_sorted_result(spark, sf_dir):
     # Few distinct times, so that pages break within one.
     docs = inputs.passes(spark, sf_dir).select(
