@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INT_MIN, _INT_MAX = -2147483648, 2147483647
+INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
-def hundredths(n: Column) -> Column:
+# The steps of the running mean are SQL texts, as they stand inside lambda functions.
+
+
+def hundredths(n: str) -> str:
     """An int count of hundredths as a float."""
-    return (n.cast("float") / F.lit(100).cast("float")).cast("float")
+    return f"cast(cast({n} as float) / 100 as float)"
 
 
-def halving_ticks(mean: Column, value: Column) -> Column:
+def halving_ticks(mean: str, value: str) -> str:
     """Mean of two floats in whole hundredths, cut towards zero and held inside int range."""
-    half = ((mean + value).cast("float") / F.lit(2).cast("float")).cast("float")
-    scaled = F.nanvl((half * F.lit(100).cast("float")).cast("float"), F.lit(0).cast("float"))
-    held = F.least(F.greatest(scaled.cast("double"), F.lit(float(_INT_MIN))), F.lit(float(_INT_MAX)))
-    return held.cast("int")
+    half = f"cast(({mean} + {value}) / 2 as float)"
+    scaled = f"cast(nanvl({half} * cast(100 as float), cast(0 as float)) as double)"
+    return f"cast(least(greatest({scaled}, {INT_MIN}D), {INT_MAX}D) as int)"
 
 
-def halving_mean(mean: Column, value: Column) -> Column:
+def halving_mean(mean: str, value: str) -> str:
     """One step of the running mean that weighs the newest value one half."""
     return hundredths(halving_ticks(mean, value))
 

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.numbers import halving_mean, halving_ticks, hundredths
+from kerbside.functions.numbers import INT_MAX, INT_MIN, halving_mean, halving_ticks, hundredths
 
 # Newest passes of a device-minute that are enough to know its running mean, but for rare ties.
 TAIL = 64
 # Passes per piece when a tied device-minute is worked through whole.
 PIECE = 65536
 
-_INT_MIN, _INT_MAX = -2147483648, 2147483647
 _GROUP = ["device_id", "minute"]
 _MEASURES = ("speed", "length")
 
@@ -33,17 +32,18 @@ def speed_length(passes: DataFrame) -> DataFrame:
     )
 
 
-def _fold(values: Column, start: Column) -> Column:
-    return F.aggregate(values, start, halving_mean)
+def _fold(values: str, start: str) -> str:
+    return f"aggregate({values}, {start}, (mean, v) -> {halving_mean('mean', 'v')})"
 
 
-def _fold_ticks(values: Column, start: Column) -> Column:
+def _fold_ticks(values: str, start) -> str:
     """The same fold from a start in hundredths to a result in hundredths."""
-    return F.aggregate(values, start.cast("int"), lambda ticks, v: halving_ticks(hundredths(ticks), v))
+    step = halving_ticks(hundredths("ticks"), "v")
+    return f"aggregate({values}, cast({start} as int), (ticks, v) -> {step})"
 
 
-def _rest(values: Column) -> Column:
-    return F.slice(values, F.lit(2), F.size(values))
+def _rest(values: str) -> str:
+    return f"slice({values}, 2, size({values}))"
 
 
 def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -> DataFrame:
@@ -63,10 +63,9 @@ def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -
         F.array_sort(F.collect_list(F.struct("pass_ts", "event_id", *_MEASURES))).alias("t")
     )
     # Through a generator, so that the filters below do not fold a second time.
-    folded = tails.select(*_GROUP, F.explode(F.array(F.struct(
-        *[_fold_tail(F.col("t")[m], tail).alias(m) for m in _MEASURES]
-    ))).alias("f"))
-    tied = F.col("f.speed.tied") | F.col("f.length.tied")
+    both = ", ".join(f"{_fold_tail(f't.{m}', tail)} as {m}" for m in _MEASURES)
+    folded = tails.selectExpr(*_GROUP, f"explode(array(struct({both}))) as f")
+    tied = F.expr("f.speed.tied or f.length.tied")
     settled = folded.filter(~tied).select(*_GROUP, *[F.col(f"f.{m}.mean").alias(m) for m in _MEASURES])
     open_groups = folded.filter(tied).select(*[F.col(g).alias(f"open_{g}") for g in _GROUP])
     # Null-safe keys add no filter, so both uses of the tails share one exchange.
@@ -75,18 +74,16 @@ def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -
     return settled.unionByName(whole)
 
 
-def _fold_tail(values: Column, tail: int) -> Column:
-    """(mean, tied): exact where the tail is the whole group or all starts end on one value."""
-    whole = F.struct(_fold(_rest(values), F.get(values, F.lit(0))).alias("mean"), F.lit(False).alias("tied"))
+def _fold_tail(values: str, tail: int) -> str:
+    """struct(mean, tied): exact where the tail is the whole group or all starts end on one value."""
+    whole = f"struct({_fold(_rest(values), values + '[0]')} as mean, false as tied)"
     # Whatever came before, the mean after the first kept row is an int of hundredths.
-    ends = F.struct(
-        _fold_ticks(_rest(values), F.lit(_INT_MIN)).alias("low"),
-        _fold_ticks(_rest(values), F.lit(_INT_MAX)).alias("high"),
+    low, high = (_fold_ticks(_rest(values), bound) for bound in (INT_MIN, INT_MAX))
+    cut = (
+        f"transform(array(struct({low} as low, {high} as high)), "
+        f"e -> struct({hundredths('e.low')} as mean, not (e.low <=> e.high) as tied))[0]"
     )
-    cut = F.transform(F.array(ends), lambda e: F.struct(
-        hundredths(e["low"]).alias("mean"), (~e["low"].eqNullSafe(e["high"])).alias("tied")
-    ))
-    return F.when(F.size(values) < tail, whole).otherwise(F.get(cut, F.lit(0)))
+    return f"if(size({values}) < {tail}, {whole}, {cut})"
 
 
 def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
@@ -107,13 +104,13 @@ def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
         F.min("at").alias("at"),
         F.array_sort(F.collect_list(F.struct("at", *_MEASURES))).alias("r"),
     )
-    maps = runs.select(*_GROUP, "at", *[_run_map(F.col("r")[m]).alias(m) for m in _MEASURES])
+    maps = runs.selectExpr(*_GROUP, "at", *[f"{_run_map(f'r.{m}')} as {m}" for m in _MEASURES])
     return maps.groupBy(*_GROUP).agg(
         F.array_sort(F.collect_list(F.struct("at", *_MEASURES))).alias("m")
-    ).select(*_GROUP, *[_apply_runs(F.col("m")[m]).alias(m) for m in _MEASURES])
+    ).selectExpr(*_GROUP, *[f"{_apply_runs(f'm.{m}')} as {m}" for m in _MEASURES])
 
 
-def _run_map(values: Column) -> Column:
+def _run_map(values: str) -> str:
     """What a run of rows does to the mean before it.
 
     ``first`` is the run's first value. A short run keeps its values in ``few``.
@@ -121,39 +118,34 @@ def _run_map(values: Column) -> Column:
     ``low`` result and the starts from which the result ``rises`` by one.
     ``alone`` is the result where the run opens its device-minute.
     """
-    rest, short = _rest(values), F.size(values) <= TAIL
-    first = F.get(values, F.lit(0))
-    low, high = (_fold_ticks(rest, F.lit(bound)) for bound in (_INT_MIN, _INT_MAX))
-    rises = F.transform(F.sequence(low + 1, high), lambda result: _least_start(rest, result))
-    return F.struct(
-        first.alias("first"),
-        _fold(rest, first).alias("alone"),
-        F.when(short, values).alias("few"),
-        F.when(~short, low).alias("low"),
-        F.when(~short & (low < high), rises).otherwise(F.array().cast("array<bigint>")).alias("rises"),
+    rest = _rest(values)
+    low, high = (_fold_ticks(rest, bound) for bound in (INT_MIN, INT_MAX))
+    rises = (
+        f"flatten(transform(array(struct({low} as low, {high} as high)), e -> if(e.low < e.high, "
+        f"transform(sequence(e.low + 1, e.high), result -> {_least_start(rest, 'result')}), "
+        "cast(array() as array<bigint>))))"
     )
+    return f"""struct(
+        {values}[0] as first,
+        {_fold(rest, values + '[0]')} as alone,
+        if(size({values}) <= {TAIL}, {values}, null) as few,
+        if(size({values}) <= {TAIL}, null, {low}) as low,
+        if(size({values}) <= {TAIL}, null, {rises}) as rises)"""
 
 
-def _least_start(values: Column, result: Column) -> Column:
+def _least_start(values: str, result: str) -> str:
     """Least start, in hundredths, from which the fold reaches ``result``; found by bisection."""
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["lo"] + span["hi"], 1)
-        return F.when(
-            _fold_ticks(values, middle) >= result,
-            F.struct(span["lo"].alias("lo"), middle.alias("hi")),
-        ).otherwise(F.struct((middle + 1).alias("lo"), span["hi"].alias("hi")))
-
-    whole = F.struct(F.lit(_INT_MIN).cast("bigint").alias("lo"), F.lit(_INT_MAX).cast("bigint").alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(33)), whole, halve)["hi"]
-
-
-def _apply_runs(run_maps: Column) -> Column:
-    def after(mean: Column, run: Column) -> Column:
-        ticks = halving_ticks(mean, run["first"])
-        risen = F.size(F.filter(run["rises"], lambda start: start <= ticks))
-        return F.when(run["few"].isNotNull(), _fold(run["few"], mean)).otherwise(
-            hundredths(run["low"] + risen)
-        )
-
-    return F.aggregate(_rest(run_maps), F.get(run_maps, F.lit(0))["alone"], after)
+    middle = "shiftright(span.lo + span.hi, 1)"
+    return f"""aggregate(
+        sequence(1, 33),
+        struct({INT_MIN}L as lo, {INT_MAX}L as hi),
+        (span, i) -> if({_fold_ticks(values, middle)} >= {result},
+            struct(span.lo as lo, {middle} as hi),
+            struct({middle} + 1 as lo, span.hi as hi))).hi"""
+
+
+def _apply_runs(run_maps: str) -> str:
+    """Mean after the first run, then through the maps of the others."""
+    risen = f"size(filter(run.rises, start -> start <= {halving_ticks('mean', 'run.first')}))"
+    after = f"if(run.few is not null, {_fold('run.few', 'mean')}, {hundredths(f'run.low + {risen}')})"
+    return f"aggregate({_rest(run_maps)}, {run_maps}[0].alone, (mean, run) -> {after})"
