@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +73,7 @@ def decode_passes(
 def check_payloads(df: DataFrame, payload: str = "payload", wire: str = "json") -> DataFrame:
     """Adds the parsed message and whether it is sound; persist this to use both outcomes."""
     read = read_payload(df, payload, wire)
-    return read.withColumn(_SOUND, ~F.col(_BROKEN) & ~_lacks(F.col("m"), PASS_MESSAGE))
+    return read.withColumn(_SOUND, F.expr(f"not {_BROKEN} and not ({_lacks('m', PASS_MESSAGE)})"))
 
 
 def valid_passes(
@@ -86,19 +83,18 @@ def valid_passes(
     return checked.filter(_SOUND).select(
         *_carried(checked, payload),
         *[F.col(f"m.{path}").alias(name) for name, path in FLAT.items()],
-        _pictures("m.PicInfo").alias("pics"),
+        F.expr(_PICTURES).alias("pics"),
         parse_event_time("m.Time", arrival, lenient_time).alias("pass_ts"),
     )
 
 
 def quarantined(checked: DataFrame, payload: str = "payload") -> DataFrame:
-    named = F.filter(F.array(*_missing_fields("m", PASS_MESSAGE)), lambda name: name.isNotNull())
-    nothing = F.array().cast("array<string>")
+    named = f"filter(array({', '.join(_missing_fields('m', PASS_MESSAGE))}), name -> name is not null)"
     return checked.filter(~F.col(_SOUND)).select(
         *_carried(checked, payload),
         payload,
         F.when(F.col(_BROKEN), "unreadable").otherwise("missing field").alias("reason"),
-        F.when(F.col(_BROKEN), nothing).otherwise(named).alias("missing"),
+        F.expr(f"if({_BROKEN}, cast(array() as array<string>), {named})").alias("missing"),
     )
 
 
@@ -179,79 +175,67 @@ def _protobuf_to_json(payload: Column) -> Column:
     return to_json(payload)
 
 
-def _missing_fields(path: str, message: str) -> list[Column]:
-    """One column per required field: its name where it is null."""
-    found: list[Column] = []
+def _missing_fields(path: str, message: str) -> list[str]:
+    """SQL per required field: its name where it is null, or where an element lacks something."""
+    found: list[str] = []
     for field in MESSAGES[message]:
         at = f"{path}.{field.name}"
         label = at.split(".", 1)[1]
-        if field.label == OPTIONAL:
-            continue
         if field.label == REPEATED:
-            found.append(F.when(F.exists(F.col(at), _lacking(field.type)), F.lit(label)))
-        elif field.type in MESSAGES:
-            found.append(F.when(F.col(at).isNull(), F.lit(label)))
-            inner = _missing_fields(at, field.type)
-            found.extend(F.when(F.col(at).isNotNull(), name) for name in inner)
-        else:
-            found.append(F.when(F.col(at).isNull(), F.lit(label)))
+            found.append(f"if({_element_lacks(at, field.type)}, '{label}', null)")
+        elif field.label != OPTIONAL:
+            found.append(f"if({at} is null, '{label}', null)")
+            inner = _missing_fields(at, field.type) if field.type in MESSAGES else []
+            found.extend(f"if({at} is not null, {name}, null)" for name in inner)
     return found
 
 
-def _lacking(message: str) -> Callable[[Column], Column]:
-    return lambda value: _lacks(value, message)
-
-
-def _lacks(value: Column, message: str) -> Column:
-    """Whether a message lacks a required field, at any depth."""
-    checks = []
+def _lacks(path: str, message: str) -> str:
+    """SQL for whether a message lacks a required field, at any depth."""
+    checks: list[str] = []
     for field in MESSAGES[message]:
-        inner = value[field.name]
+        at = f"{path}.{field.name}"
         if field.label == REPEATED:
-            checks.append(inner.isNotNull() & F.exists(inner, _lacking(field.type)))
+            checks.append(_element_lacks(at, field.type))
         elif field.label != OPTIONAL:
-            checks.append(inner.isNull())
+            checks.append(f"{at} is null")
             if field.type in MESSAGES:
-                checks.append(_lacks(inner, field.type))
-    return reduce(lambda a, b: a | b, checks)
+                checks.append(_lacks(at, field.type))
+    return " or ".join(checks)
 
 
-def _pictures(path: str) -> Column:
-    pics = F.coalesce(F.col(path), F.array())
-    return F.transform(pics, lambda p: F.struct(
-        p["Type"].alias("type"),
-        p["PicRecogMode"].alias("recog_mode"),
-        p["RedLightTime"].alias("red_light_time"),
-        F.struct(
-            p["PlateRect"]["X"].alias("x"), p["PlateRect"]["Y"].alias("y"),
-            p["PlateRect"]["Width"].alias("w"), p["PlateRect"]["Height"].alias("h"),
-        ).alias("rect"),
-        p["Data"].alias("data"),
-    ))
+def _element_lacks(path: str, message: str) -> str:
+    return f"({path} is not null and exists({path}, e -> {_lacks('e', message)}))"
+
+
+_PICTURES = """
+    transform(coalesce(m.PicInfo, array()), p -> struct(
+        p.Type as type, p.PicRecogMode as recog_mode, p.RedLightTime as red_light_time,
+        struct(p.PlateRect.X as x, p.PlateRect.Y as y, p.PlateRect.Width as w, p.PlateRect.Height as h) as rect,
+        p.Data as data))"""
+
+
+_PICTURE_MESSAGES = """
+    transform(pics, p -> struct(
+        p.type as Type, p.recog_mode as PicRecogMode, p.red_light_time as RedLightTime,
+        struct(p.rect.x as X, p.rect.y as Y, p.rect.w as Width, p.rect.h as Height) as PlateRect,
+        p.data as Data))"""
 
 
 def encode_passes(passes: DataFrame) -> Column:
     """The message of a pass as a struct: the inverse of the flattening, for writing payloads."""
+    column_of = {path: name for name, path in FLAT.items() if name in passes.columns}
 
-    def build(message: str, prefix: str) -> Column:
-        flat = {path: name for name, path in FLAT.items()}
+    def build(message: str, prefix: str) -> str:
         parts = []
         for field in MESSAGES[message]:
             path = prefix + field.name
-            if path in flat and flat[path] in passes.columns:
-                parts.append(F.col(flat[path]).alias(field.name))
+            if path in column_of:
+                parts.append(f"`{column_of[path]}` as {field.name}")
             elif field.label != REPEATED and field.type in MESSAGES:
-                parts.append(build(field.type, path + ".").alias(field.name))
+                parts.append(f"{build(field.type, path + '.')} as {field.name}")
         if message == PASS_MESSAGE and "pics" in passes.columns:
-            parts.append(F.transform("pics", lambda p: F.struct(
-                p["type"].alias("Type"), p["recog_mode"].alias("PicRecogMode"),
-                p["red_light_time"].alias("RedLightTime"),
-                F.struct(
-                    p["rect"]["x"].alias("X"), p["rect"]["y"].alias("Y"),
-                    p["rect"]["w"].alias("Width"), p["rect"]["h"].alias("Height"),
-                ).alias("PlateRect"),
-                p["data"].alias("Data"),
-            )).alias("PicInfo"))
-        return F.struct(*parts)
-
-    return build(PASS_MESSAGE, "")
+            parts.append(f"{_PICTURE_MESSAGES} as PicInfo")
+        return f"struct({', '.join(parts)})"
+
+    return F.expr(build(PASS_MESSAGE, ""))
