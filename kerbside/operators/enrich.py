@@ -32,7 +32,7 @@ def enrich_result(hits: DataFrame, result: DataFrame, task: DataFrame) -> DataFr
     """
     details = result.select("result_id", F.create_map(F.lit("HP"), F.col("license")).alias("_detail"))
     detailed = hits.join(details, "result_id", "left")
-    joined = lookup_join(detailed, task.select("task_id", F.col("attrs").alias("_task")), "task_id", "left")
+    joined = lookup_join(detailed, task.select("task_id", F.col("attrs").alias("_task")), "task_id", "left", hits)
     merged = merge_maps(F.col("_detail"), F.col("_task")).alias("merged")
     return joined.select(*hits.columns, merged)
 
@@ -41,6 +41,6 @@ def enrich_dims(hits: DataFrame, task: DataFrame, camera: DataFrame, data_source
     """Hits with ``task`` (its attributes alone) and ``merged``: task, camera, then data source."""
     joined = hits
     for dim, key in ((task, "task_id"), (camera, "camera_id"), (data_source, "data_source_id")):
-        joined = lookup_join(joined, dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left")
+        joined = lookup_join(joined, dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left", hits)
     merged = merge_maps(F.col("_task_id"), F.col("_camera_id"), F.col("_data_source_id"))
     return joined.select(*hits.columns, F.col("_task_id").alias("task"), merged.alias("merged"))

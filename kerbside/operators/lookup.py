@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest measured table that is sent to every executor, in bytes of its JSON text.
@@ -13,10 +13,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 MEASURE_BYTES = 64 * BROADCAST_BYTES
 # Spark's estimates reach this only where it knows nothing, as for a database table.
 UNKNOWN_BYTES = 1 << 60
-# Keys that are looked up apart from the rest; any other key holds less than 1/HOT_KEYS of the rows.
+# Keys that are spread out; any other key holds less than 1/HOT_KEYS of the rows.
 HOT_KEYS = 1000
 
-Join = Callable[[DataFrame, DataFrame, str, str], DataFrame]
+Join = Callable[..., DataFrame]
 
 
 def last_row_wins(table: DataFrame, key: str, order: str) -> DataFrame:
@@ -26,10 +26,12 @@ def last_row_wins(table: DataFrame, key: str, order: str) -> DataFrame:
     return table.groupBy(key).agg(latest).select(key, *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
-def lookup_join(fact: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup_join(
+    fact: DataFrame, table: DataFrame, key: str, how: str = "inner", counted_on: DataFrame | None = None
+) -> DataFrame:
     """``fact`` joined with a reference table that has one row per ``key``."""
     sized, join = size_up(table)
-    return join(fact, sized, key, how)
+    return join(fact, sized, key, how, counted_on)
 
 
 def size_up(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, Join]:
@@ -38,7 +40,7 @@ def size_up(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFra
     Where Spark's own estimate is below its broadcast threshold it will
     broadcast by itself. Above that the table is measured once, unless it is
     plainly too large; what fits is broadcast, what does not is joined with the
-    busy keys set apart.
+    busy keys spread out.
     """
     estimate = _estimated_bytes(table)
     if estimate <= _planner_threshold(table):
@@ -46,7 +48,7 @@ def size_up(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFra
     worth_measuring = estimate <= MEASURE_BYTES or estimate >= UNKNOWN_BYTES
     if worth_measuring and measured_bytes(table) <= max_bytes:
         return F.broadcast(table), plain_join
-    return table, split_join
+    return table, salted_join
 
 
 def _estimated_bytes(table: DataFrame) -> int:
@@ -61,24 +63,41 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
-def plain_join(fact: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+def plain_join(
+    fact: DataFrame, table: DataFrame, key: str, how: str, counted_on: DataFrame | None = None
+) -> DataFrame:
     return fact.join(table, key, how)
 
 
-def split_join(fact: DataFrame, table: DataFrame, key: str, how: str, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Join with the busiest keys, and null keys, kept off the exchange.
+def salted_join(
+    fact: DataFrame, table: DataFrame, key: str, how: str, counted_on: DataFrame | None = None,
+    hot_keys: int = HOT_KEYS,
+) -> DataFrame:
+    """Join where the rows of a busy key, and of no key at all, go to many tasks.
 
-    Their rows of ``table`` are few, ``hot_keys`` at most, and are broadcast; the
-    other keys take the usual join, where no key is heavy. The order on key
-    settles ties, so that both branches agree on what is busy.
+    A busy key gets a number of salts in proportion to its rows, all busy keys
+    together about one per shuffle partition, so ``table`` grows by no more than
+    that. The salt is a hash of the row, which a repeated task computes again.
+    ``counted_on`` is a frame with the same keys that is cheaper to count,
+    such as ``fact`` before earlier joins.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    counted = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(counted.orderBy(F.desc("_n"), key).limit(hot_keys).select(key))
-    hot_rows = fact.join(hot, key, "left_semi")
-    if how != "inner":
-        hot_rows = hot_rows.unionByName(fact.filter(F.col(key).isNull()))
-    hot_table = F.broadcast(table.join(hot, key, "left_semi"))
-    rest = fact.filter(F.col(key).isNotNull()).join(hot, key, "left_anti")
-    return hot_rows.join(hot_table, key, how).unionByName(rest.join(table, key, how))
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(_salts_per_key(fact if counted_on is None else counted_on, key, hot_keys, partitions))
+    hashable = [f"`{name}`" for name, kind in fact.dtypes if "map<" not in kind]
+    salts = F.when(F.col(key).isNull(), partitions).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = fact.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*hashable), salts))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))
+    spread = table.join(hot, key, "left").select(*table.columns, every_salt.alias("_salt"))
+    joined = salted.drop("_salts").join(spread, [key, "_salt"], how)
+    return joined.drop("_salt")
+
+
+def _salts_per_key(rows: DataFrame, key: str, hot_keys: int, partitions: int) -> DataFrame:
+    """(key, _salts) of the busiest keys; the order on key settles ties."""
+    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counted.orderBy(F.desc("_n"), key).limit(hot_keys)
+    # At most `hot_keys` rows reach this window.
+    share = F.col("_n") / F.sum("_n").over(Window.partitionBy())
+    return top.select(key, F.ceil(share * partitions).cast("int").alias("_salts"))

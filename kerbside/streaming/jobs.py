@@ -56,7 +56,7 @@ def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int,
         if join is plain_join:
             work(batch, batch_id, table, join)
             return
-        # The split join reads the batch more than once.
+        # The salted join also counts the batch.
         kept = batch.persist()
         try:
             work(kept, batch_id, table, join)

@@ -27,20 +27,33 @@ def table(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 @pytest.mark.parametrize("hot_keys", [1, 7, 1000])
-def test_split_join_equals_plain_join(fact, table, how, hot_keys):
-    got = lookup.split_join(fact, table, "key", how, hot_keys)
-    assert pairs(got) == pairs(lookup.plain_join(fact, table, "key", how))
+def test_salted_join_equals_plain_join(fact, table, how, hot_keys):
+    got = lookup.salted_join(fact, table, "key", how, hot_keys=hot_keys)
+    expected = lookup.plain_join(fact, table, "key", how)
+    assert got.columns == expected.columns
+    assert pairs(got) == pairs(expected)
 
 
-def test_hot_key_does_not_reach_the_exchange_of_the_rest(spark, fact, table):
+def test_salts_follow_the_share_of_a_key(fact):
+    salts = {r.key: r._salts for r in lookup._salts_per_key(fact, "key", 1000, 30).collect()}
+    # The hot key has about a third of the rows, every other key far less than a partition's worth.
+    assert 9 <= salts.pop("hot") <= 12 and set(salts.values()) == {1}
+
+
+def test_busy_and_missing_keys_are_spread(spark, fact, table):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = lookup.split_join(fact, table, "key", "inner", 1)._jdf.queryExecution().executedPlan().toString()
+        joined = lookup.salted_join(fact, table, "key", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        placed = joined.groupBy("key", F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan
-    assert "SortMergeJoin" in plan and "CartesianProduct" not in plan
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    for key in ("hot", None):
+        assert len([r for r in placed if r.key == key]) >= 2
 
 
 def test_size_decides_the_join(spark, table, monkeypatch):
@@ -51,10 +64,10 @@ def test_size_decides_the_join(spark, table, monkeypatch):
     for small in (known, table):
         sized, join = lookup.size_up(small)
         assert join is lookup.plain_join and "strategy=broadcast" in sized._jdf.queryExecution().analyzed().toString()
-        assert lookup.size_up(small, max_bytes=10)[1] is lookup.split_join
+        assert lookup.size_up(small, max_bytes=10)[1] is lookup.salted_join
     monkeypatch.setattr(lookup, "MEASURE_BYTES", 1)
     monkeypatch.setattr(lookup, "measured_bytes", lambda t: pytest.fail("measured a table that is too large"))
-    assert lookup.size_up(known)[1] is lookup.split_join
+    assert lookup.size_up(known)[1] is lookup.salted_join
 
 
 def test_last_row_wins(spark):

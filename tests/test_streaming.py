@@ -177,10 +177,10 @@ def test_refresh_replaces_the_table(spark, tmp_path):
     assert matched == [1, 1, 0] and state["loads"] == 2
 
 
-def test_large_reference_table_takes_the_split_join(spark, passes, ordered, tmp_path, monkeypatch):
+def test_large_reference_table_takes_the_salted_join(spark, passes, ordered, tmp_path, monkeypatch):
     from kerbside.operators import lookup
 
-    monkeypatch.setattr(jobs, "size_up", lambda table: (table, lookup.split_join))
+    monkeypatch.setattr(jobs, "size_up", lambda table: (table, lookup.salted_join))
     out = str(tmp_path / "violations")
     gates = snapshots.load_gates(inputs.derived(spark, "gate"))
     drain(source(spark, ordered, passes, 3), jobs.overspeed_sink(lambda: gates, out), tmp_path)
