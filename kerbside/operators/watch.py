@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.timing import time_text
 from kerbside.operators.lookup import Join, lookup_join
+from kerbside.sources.messages import ALARM_MESSAGE
+from kerbside.sources.wire import serialize
 
 
 def watchlist_alerts(passes: DataFrame, watchlist: DataFrame, join: Join = lookup_join) -> DataFrame:
@@ -66,11 +68,17 @@ def alarm_fields(alerts: DataFrame) -> DataFrame:
     )
 
 
-def alarm_messages(alerts: DataFrame) -> DataFrame:
-    """(key, value) records with a JSON value. Priority is required: see `alarm_rejects`."""
+def alarm_messages(alerts: DataFrame, wire: str = "json") -> DataFrame:
+    """(key, value) records, the value as JSON text or protobuf bytes.
+
+    The priority is required: see `alarm_rejects`.
+    """
+    if wire not in ("json", "protobuf"):
+        raise ValueError(f"wire must be json or protobuf, not {wire!r}")
     fields = alarm_fields(alerts).filter(F.col("Priority").isNotNull())
-    body = [c for c in fields.columns if c != "key"]
-    return fields.select("key", F.to_json(F.struct(*body)).alias("value"))
+    body = F.struct(*[c for c in fields.columns if c != "key"])
+    value = F.to_json(body) if wire == "json" else serialize(body, ALARM_MESSAGE, alerts.sparkSession)
+    return fields.select("key", value.alias("value"))
 
 
 def alarm_rejects(alerts: DataFrame) -> DataFrame:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.functions.timing import parse_event_time
-from kerbside.sources.messages import (
-    MESSAGES, OPTIONAL, PASS_MESSAGE, REPEATED, descriptor_set, spark_schema,
-)
+from kerbside.sources.messages import MESSAGES, OPTIONAL, PASS_MESSAGE, REPEATED, spark_schema
+from kerbside.sources.wire import has_spark_protobuf, parse, wire_to_json
 
 _BROKEN, _SOUND = "_broken", "_sound"
 
@@ -103,15 +101,12 @@ def _carried(checked: DataFrame, payload: str) -> list[str]:
 
 
 def read_payload(df: DataFrame, payload: str, wire: str) -> DataFrame:
-    """Adds the message struct ``m`` and whether the payload is unreadable."""
-    if wire == "json":
-        text = F.col(payload).cast("string")
-    elif wire == "protobuf":
-        if _has_protobuf_functions(df):
-            return _read_protobuf(df, payload)
-        text = _protobuf_to_json(F.col(payload))
-    else:
+    """Adds the message struct ``m`` and whether the payload is unreadable; ``wire`` is json or protobuf."""
+    if wire not in ("json", "protobuf"):
         raise ValueError(f"wire must be json or protobuf, not {wire!r}")
+    if wire == "protobuf" and has_spark_protobuf(df.sparkSession):
+        return _evaluated_once(df, parse(F.col(payload), PASS_MESSAGE)).withColumn(_BROKEN, F.col("m").isNull())
+    text = F.col(payload).cast("string") if wire == "json" else wire_to_json(F.col(payload), PASS_MESSAGE)
     schema = T.StructType(spark_schema(PASS_MESSAGE).fields + [T.StructField(_BROKEN, T.StringType())])
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
     return _evaluated_once(df, parsed).withColumn(
@@ -124,57 +119,6 @@ def _evaluated_once(df: DataFrame, parsed: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(parsed)).alias("m"))
 
 
-def _has_protobuf_functions(df: DataFrame) -> bool:
-    """Whether the spark-protobuf package is on the session's class path."""
-    try:
-        df.sparkSession._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst", False,
-            df.sparkSession._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-        return True
-    except Exception:
-        return False
-
-
-def _read_protobuf(df: DataFrame, payload: str) -> DataFrame:
-    from pyspark.sql.protobuf.functions import from_protobuf
-
-    parsed = from_protobuf(
-        F.col(payload), f"protocol.{PASS_MESSAGE}", options={"mode": "PERMISSIVE"},
-        binaryDescriptorSet=descriptor_set(),
-    )
-    return _evaluated_once(df, parsed).withColumn(_BROKEN, F.col("m").isNull())
-
-
-def _protobuf_to_json(payload: Column) -> Column:
-    """Wire bytes to JSON text in Arrow batches, where spark-protobuf is not deployed.
-
-    A field that is absent stays absent, so the required check sees it.
-    """
-    descriptors = descriptor_set()
-
-    @F.pandas_udf("string")
-    def to_json(payloads: pd.Series) -> pd.Series:
-        from google.protobuf import descriptor_pb2, descriptor_pool, json_format, message_factory
-
-        pool = descriptor_pool.DescriptorPool()
-        for file in descriptor_pb2.FileDescriptorSet.FromString(descriptors).file:
-            pool.Add(file)
-        kind = message_factory.GetMessageClass(pool.FindMessageTypeByName(f"protocol.{PASS_MESSAGE}"))
-
-        def one(raw):
-            message = kind()
-            try:
-                message.MergeFromString(bytes(raw))
-                return json_format.MessageToJson(message, preserving_proto_field_name=True, indent=None)
-            except Exception:
-                return None
-
-        return payloads.map(one, na_action="ignore")
-
-    return to_json(payload)
-
-
 def _missing_fields(path: str, message: str) -> list[str]:
     """SQL per required field: its name where it is null, or where an element lacks something."""
     found: list[str] = []

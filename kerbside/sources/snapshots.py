@@ -21,9 +21,20 @@ def read_table(spark: SparkSession, source: str, options: Mapping[str, str] | No
     return spark.read.options(**(options or {})).parquet(source)
 
 
-def load_watchlist(prey: DataFrame) -> DataFrame:
-    """One row per plate: the one read last (greatest ``seq``)."""
-    return last_row_wins(prey.select("plate", "bkxxbh", "bkjb", "seq"), "plate", "seq")
+def load_watchlist(prey: DataFrame, order: str = "seq") -> DataFrame:
+    """One row (plate, bkxxbh, bkjb) per plate: the one read last, by ``order``.
+
+    The plate column may also bear its database name, HPHM. A table without
+    ``order`` has no last row; there the content settles repeated plates.
+    """
+    named = {c.lower(): c for c in prey.columns}
+    rows = prey.select(
+        F.col(named.get("plate") or named["hphm"]).alias("plate"),
+        F.col(named["bkxxbh"]).alias("bkxxbh"),
+        F.col(named["bkjb"]).alias("bkjb"),
+        (F.col(order) if order in prey.columns else F.struct(named["bkxxbh"], named["bkjb"])).alias("_order"),
+    )
+    return last_row_wins(rows, "plate", "_order")
 
 
 def load_gates(gate: DataFrame, order: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from kerbside.functions import keys, maps
 from kerbside.functions.timing import parse_event_time
 from kerbside.operators import archive, device_day, enrich, flow, paging, search
 from kerbside.plans import inputs
-from kerbside.sources import decode, messages, snapshots
+from kerbside.sources import decode, messages, snapshots, wire
 
 
 def one(spark, column):
@@ -72,6 +72,12 @@ def test_unknown_dimension_gives_null_and_no_merged_entries(spark):
     assert got["T9"].merged == {} and got["T9"].task is None
 
 
+def test_watchlist_under_database_names(spark):
+    rows = spark.createDataFrame([("p", "n1", "2"), ("p", "n2", "1"), ("q", "n3", "1")], "HPHM string, BKXXBH string, BKJB string")
+    got = sorted(tuple(r) for r in snapshots.load_watchlist(rows).collect())
+    assert got == [("p", "n2", "1"), ("q", "n3", "1")]
+
+
 def test_gates_by_order(spark):
     rows = spark.createDataFrame([(1, "40", 1), (1, "50", 2)], "id int, speedlimit string, at int")
     assert [tuple(r) for r in snapshots.load_gates(rows, "at").collect()] == [("1", "50")]
@@ -271,14 +277,8 @@ def test_whole_nested_message_missing_is_named_once(spark):
 
 
 def test_decode_protobuf(spark):
-    pb = pytest.importorskip("google.protobuf")
-    from google.protobuf import descriptor_pb2, descriptor_pool, json_format, message_factory
-
-    assert pb
-    pool = descriptor_pool.DescriptorPool()
-    for file in descriptor_pb2.FileDescriptorSet.FromString(messages.descriptor_set()).file:
-        pool.Add(file)
-    kind = message_factory.GetMessageClass(pool.FindMessageTypeByName("protocol.OffenceSnapData"))
+    json_format = pytest.importorskip("google.protobuf.json_format")
+    kind = wire._message_class(messages.descriptor_set(), messages.PASS_MESSAGE)
     message = json_format.Parse(GOOD, kind())
     raw = message.SerializeToString()
     (row,), bad = decoded(spark, bytearray(raw), wire="protobuf")
@@ -291,6 +291,21 @@ def test_decode_protobuf(spark):
     assert bad[0].reason == "unreadable"
 
 
+def test_alarm_messages_in_wire_form(spark, sf_dir):
+    json_format = pytest.importorskip("google.protobuf.json_format")
+    from kerbside.operators import watch
+
+    passes = inputs.passes(spark, sf_dir)
+    listed = snapshots.load_watchlist(inputs.derived(spark, "prey", passes))
+    alerts = watch.watchlist_alerts(passes, listed)
+    kind = wire._message_class(messages.descriptor_set(), messages.ALARM_MESSAGE)
+    raw = {r.key: r.value for r in watch.alarm_messages(alerts, "protobuf").collect()}
+    text = {r.key: r.value for r in watch.alarm_messages(alerts).collect()}
+    assert raw.keys() == text.keys() and raw
+    for key in raw:
+        assert kind.FromString(bytes(raw[key])) == json_format.Parse(text[key], kind())
+
+
 def test_payload_is_parsed_once(spark):
     df = spark.createDataFrame([(GOOD,)], "payload string")
     plan = decode.decode_passes(df)[0]._jdf.queryExecution().optimizedPlan().toString()
