@@ -27,3 +27,9 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def check_dir():
+    """Large enough for every query to find rows."""
+    return f"{TESTDATA}/sf0.01"

@@ -11,9 +11,9 @@ def test_each_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_query_equals_sql(spark, sf_dir, name):
-    con = connect(sf_dir)
-    assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
+def test_query_equals_sql(spark, check_dir, name):
+    con = connect(check_dir)
+    assert differences(QUERIES[name](spark, check_dir), con, ORACLES[name]) == []
 
 
 def test_entry(spark):
