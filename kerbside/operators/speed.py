@@ -113,24 +113,22 @@ def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
 def _run_map(values: str) -> str:
     """What a run of rows does to the mean before it.
 
-    ``first`` is the run's first value. A short run keeps its values in ``few``.
-    A long one keeps, for the mean in hundredths after its first row, the
-    ``low`` result and the starts from which the result ``rises`` by one.
-    ``alone`` is the result where the run opens its device-minute.
+    A run of up to ``TAIL`` rows keeps them in ``few``. A longer one keeps its
+    ``first`` two values, as the mean after them is an int of hundredths. From
+    there the next rows leave very few results, whatever the start: ``rises``
+    are the starts from which that result is one higher, and ``ends`` what the
+    remaining rows make of each result.
     """
-    rest = _rest(values)
-    low, high = (_fold_ticks(rest, bound) for bound in (INT_MIN, INT_MAX))
-    rises = (
-        f"flatten(transform(array(struct({low} as low, {high} as high)), e -> if(e.low < e.high, "
-        f"transform(sequence(e.low + 1, e.high), result -> {_least_start(rest, 'result')}), "
-        "cast(array() as array<bigint>))))"
+    head, remaining = f"slice({values}, 3, {TAIL - 2})", f"slice({values}, {TAIL + 1}, size({values}))"
+    low, high = (_fold_ticks(head, bound) for bound in (INT_MIN, INT_MAX))
+    rises = f"if(e.low < e.high, transform(sequence(e.low + 1, e.high), result -> {_least_start(head, 'result')}), array())"
+    ends = f"transform(sequence(e.low, e.high), result -> {_fold_ticks(remaining, 'result')})"
+    long_run = (
+        f"transform(array(struct({low} as low, {high} as high)), e -> "
+        f"struct(slice({values}, 1, 2) as first, {rises} as rises, {ends} as ends))[0]"
     )
-    return f"""struct(
-        {values}[0] as first,
-        {_fold(rest, values + '[0]')} as alone,
-        if(size({values}) <= {TAIL}, {values}, null) as few,
-        if(size({values}) <= {TAIL}, null, {low}) as low,
-        if(size({values}) <= {TAIL}, null, {rises}) as rises)"""
+    short = f"size({values}) <= {TAIL}"
+    return f"struct(if({short}, {values}, null) as few, if({short}, null, {long_run}) as long)"
 
 
 def _least_start(values: str, result: str) -> str:
@@ -145,7 +143,14 @@ def _least_start(values: str, result: str) -> str:
 
 
 def _apply_runs(run_maps: str) -> str:
-    """Mean after the first run, then through the maps of the others."""
-    risen = f"size(filter(run.rises, start -> start <= {halving_ticks('mean', 'run.first')}))"
-    after = f"if(run.few is not null, {_fold('run.few', 'mean')}, {hundredths(f'run.low + {risen}')})"
-    return f"aggregate({_rest(run_maps)}, {run_maps}[0].alone, (mean, run) -> {after})"
+    """Mean after all runs, the first of which has no mean before it."""
+
+    def after(run: str, from_mean: str, first_mean: str) -> str:
+        ticks = halving_ticks(first_mean, f"{run}.long.first[1]")
+        end = f"{run}.long.ends[size(filter({run}.long.rises, start -> start <= {ticks}))]"
+        return f"if({run}.few is not null, {from_mean}, {hundredths(end)})"
+
+    opening = after(
+        f"{run_maps}[0]", _fold(_rest(f"{run_maps}[0].few"), f"{run_maps}[0].few[0]"), f"{run_maps}[0].long.first[0]")
+    following = after("run", _fold("run.few", "mean"), halving_mean("mean", "run.long.first[0]"))
+    return f"aggregate({_rest(run_maps)}, {opening}, (mean, run) -> {following})"
