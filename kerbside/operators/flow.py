@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.operators.speed import speed_length_fold
+
 GRAINS = ("minute", "hour", "day")
 
 # Fixed value: how long a pass keeps its buckets live, in seconds.
@@ -112,22 +114,23 @@ def flow_live_asof(passes: DataFrame, as_of) -> DataFrame:
     )
 
 
-def speed_live_asof(passes: DataFrame, as_of) -> DataFrame:
-    """Mean speed and length of the device-minutes still held at ``as_of``."""
+def speed_live_asof(
+    passes: DataFrame, as_of, average: Callable[[DataFrame], DataFrame] = speed_length_fold
+) -> DataFrame:
+    """Speed and length of the device-minutes still held at ``as_of``.
+
+    ``average`` is `speed_length_fold` or `speed_length`.
+    """
     as_of = F.lit(as_of).cast("timestamp")
     cut = as_of - F.expr(f"interval {RETENTION_SECONDS} seconds")
     # A minute that starts more than a minute before the cut cannot be live, which prunes the scan.
     recent = passes.filter(F.col("pass_ts").between(cut - F.expr("interval 60 seconds"), as_of))
-    return (
+    live = (
         recent.groupBy("device_id", F.date_trunc("minute", "pass_ts").alias("minute"))
-        .agg(
-            F.min("pass_ts").alias("first_ts"),
-            F.avg("speed").alias("speed"),
-            F.avg("length").alias("length"),
-        )
+        .agg(F.min("pass_ts").alias("first_ts"))
         .filter(F.col("first_ts") > cut)
-        .drop("first_ts")
     )
+    return average(recent).join(live, ["device_id", "minute"], "left_semi")
 
 
 def _check(grain: str) -> None:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from kerbside.functions.timing import in_time_range
 
@@ -13,23 +15,37 @@ from kerbside.functions.timing import in_time_range
 TERMS = (
     "vehicle_brand", "plate_color", "dir", "tag", "paper", "sun", "drop", "second_belt", "crash", "danger",
 )
+# The same attributes under the names of the result documents.
+RESULT_NAMES = {
+    "vehicle_brand": "vehicleBrand", "plate_color": "PlateColor", "dir": "Direction", "second_belt": "secondBelt",
+}
 _PATTERN_CHARS = re.compile(r"[.?+*|{}\[\]()\"\\#@&<>~^$]")
 
 
-def attr_search(docs: DataFrame, start=None, end=None, time: str = "pass_ts", **terms) -> DataFrame:
-    """Documents that equal every given term, within the inclusive time range."""
+def attr_search(
+    docs: DataFrame, start=None, end=None, time: str = "pass_ts", names: Mapping[str, str] | None = None, **terms
+) -> DataFrame:
+    """Documents that equal every given term, within the inclusive time range.
+
+    ``names`` gives the columns of terms that the documents call otherwise:
+    `RESULT_NAMES`, with ``time="ResultTime"``, for result documents.
+    """
     unknown = set(terms) - set(TERMS)
     if unknown:
         raise ValueError(f"unknown terms: {sorted(unknown)}")
     found = docs
     for name, value in terms.items():
-        found = found.filter(F.col(f"`{name}`") == F.lit(value))
+        found = found.filter(F.col(f"`{(names or {}).get(name, name)}`") == F.lit(value))
     return _between(found, time, start, end)
 
 
 def _between(docs: DataFrame, time: str, start, end) -> DataFrame:
-    """The range on ``time``; where the table has a ``day`` folder column, on that too."""
-    found = docs.filter(in_time_range(time, start, end))
+    """The range on ``time``; where the table has a ``day`` folder column, on that too.
+
+    Time as text compares as text, which is the same order and reaches the scan.
+    """
+    kind = "string" if isinstance(docs.schema[time].dataType, StringType) else "timestamp"
+    found = docs.filter(in_time_range(time, start, end, kind))
     return found.filter(in_time_range("day", start, end, "date")) if "day" in docs.columns else found
 
 

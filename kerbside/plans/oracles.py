@@ -10,6 +10,18 @@ from kerbside.plans.queries import ARRIVAL, AS_OF, RANGE
 
 TIME = inputs.DUCKDB["FMT"]
 
+
+def _folded(rows: str) -> str:
+    """Running means by folding each device-minute's ordered list."""
+    step = "cast(trunc(cast((x + y) / 2 as float) * cast(100 as float)) / 100 as float)"
+    return f"""
+        select device_id, minute, first_ts, list_reduce(s, lambda x, y: {step}) as speed,
+          list_reduce(l, lambda x, y: {step}) as length
+        from (select device_id, date_trunc('minute', pass_ts) as minute, min(pass_ts) as first_ts,
+                list(speed order by pass_ts, event_id) as s, list(length order by pass_ts, event_id) as l
+              from {rows} group by all)"""
+
+
 # Views used by the checks alone.
 CHECK_VIEWS = {
     "watchlist": "select plate, max_by(bkxxbh, seq) as bkxxbh, max_by(bkjb, seq) as bkjb from prey group by plate",
@@ -46,13 +58,8 @@ CHECK_VIEWS = {
         select device_id, 'hour', date_trunc('hour', pass_ts), vehicle_type, count(*) from passes group by all
         union all
         select device_id, 'day', date_trunc('day', pass_ts), vehicle_type, count(*) from passes group by all""",
-    "folded": """
-        select device_id, minute, list_reduce(s, lambda x, y: {step}) as speed,
-          list_reduce(l, lambda x, y: {step}) as length
-        from (select device_id, date_trunc('minute', pass_ts) as minute,
-                list(speed order by pass_ts, event_id) as s, list(length order by pass_ts, event_id) as l
-              from passes group by all)""".format(
-        step="cast(trunc(cast((x + y) / 2 as float) * cast(100 as float)) / 100 as float)"),
+    "folded": "select device_id, minute, speed, length from (" + _folded("passes") + ")",
+    "folded_asof": _folded(f"(select * from passes where pass_ts <= timestamp '{AS_OF}')"),
     "archived": f"""
         select md5(concat_ws('|', plate, device_id, {TIME}, cast(event_id as varchar))) as row_key, *
         from passes""",
@@ -250,9 +257,17 @@ BODIES: dict[str, str] = {
           from seen left join gone using (device_id) group by device_id, bucket, vehicle_type)
         where live""",
     "speed_live_asof": f"""
+        select device_id, minute, speed, length from folded_asof
+        where first_ts > timestamp '{AS_OF}' - interval 600 seconds""",
+    "speed_live_asof_mean": f"""
         select device_id, date_trunc('minute', pass_ts) as minute, avg(speed) as speed, avg(length) as length
         from passes where pass_ts <= timestamp '{AS_OF}'
         group by all having min(pass_ts) > timestamp '{AS_OF}' - interval 600 seconds""",
+    "result_index_search": f"""
+        select {TIME} as ResultTime, cast(event_id as varchar) as resultId, task_id as taskId
+        from passes where vehicle_brand = '别克' and plate_color = '黄' and dir = 1 and not tag
+          and not paper and not sun and not "drop" and not second_belt and not crash and not danger
+          and date_trunc('second', pass_ts) between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'""",
     "payload_decode": f"""
         select event_id,
           coalesce(try_strptime(substr(json_extract_string(doc, '$.Time'), 1, 19), '%Y-%m-%d %H:%M:%S'),

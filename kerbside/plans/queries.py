@@ -210,6 +210,30 @@ def plate_search_pattern(spark, sf_dir):
 # Detail and dimensions
 
 
+def _results(passes):
+    """Passes in the shape of recognition results."""
+    number = {"tag": "tag", "paper": "paper", "sun": "sun", "drop": "drop", "secondBelt": "second_belt",
+              "crash": "crash", "danger": "danger"}
+    return passes.select(
+        F.col("event_id").cast("string").alias("resultId"),
+        F.col("task_id").alias("taskId"), F.col("camera_id").alias("cameraId"),
+        F.col("data_source_id").alias("dataSourceId"),
+        F.col("plate").alias("License"), F.col("plate_color").alias("PlateColor"),
+        F.col("plate_type").alias("PlateType"), F.col("dir").alias("Direction"),
+        F.col("vehicle_brand").alias("vehicleBrand"), F.col("pilot_call").alias("call"),
+        time_text(passes).alias("ResultTime"),
+        *[F.col(f"`{c}`").cast("int").alias(name) for name, c in number.items()],
+    )
+
+
+@query
+def result_index_search(spark, sf_dir):
+    """The attribute search over result documents, under their names."""
+    terms = {name: int(value) if isinstance(value, bool) else value for name, value in TERMS.items()}
+    documents = archive.result_index(_results(inputs.passes(spark, sf_dir)))
+    found = search.attr_search(documents, *RANGE, time="ResultTime", names=search.RESULT_NAMES, **terms)
+    return paging.sort_result(found, ("ResultTime", "resultId")).select("ResultTime", "resultId", "taskId")
+
 @query
 def result_lookup(spark, sf_dir):
     passes = inputs.passes(spark, sf_dir)
@@ -319,6 +343,11 @@ def speed_live_asof(spark, sf_dir):
     return flow.speed_live_asof(inputs.passes(spark, sf_dir), AS_OF)
 
 
+@query
+def speed_live_asof_mean(spark, sf_dir):
+    return flow.speed_live_asof(inputs.passes(spark, sf_dir), AS_OF, speed.speed_length)
+
+
 # Decoding
 
 
@@ -446,22 +475,6 @@ def stream_fan_out(spark, sf_dir):
     )
 
 
-def _results(passes):
-    """Passes in the shape of recognition results."""
-    number = {"tag": "tag", "paper": "paper", "sun": "sun", "drop": "drop", "secondBelt": "second_belt",
-              "crash": "crash", "danger": "danger"}
-    return passes.select(
-        F.col("event_id").cast("string").alias("resultId"),
-        F.col("task_id").alias("taskId"), F.col("camera_id").alias("cameraId"),
-        F.col("data_source_id").alias("dataSourceId"),
-        F.col("plate").alias("License"), F.col("plate_color").alias("PlateColor"),
-        F.col("plate_type").alias("PlateType"), F.col("dir").alias("Direction"),
-        F.col("vehicle_brand").alias("vehicleBrand"), F.col("pilot_call").alias("call"),
-        time_text(passes).alias("ResultTime"),
-        *[F.col(f"`{c}`").cast("int").alias(name) for name, c in number.items()],
-    )
-
-
 @query
 def stream_results(spark, sf_dir):
     """Results written as detail rows and search documents, joined again on the key."""

@@ -39,6 +39,12 @@ def start(df: DataFrame, sink: Batch, cfg: JobConfig) -> StreamingQuery:
     return writer.trigger(processingTime=cfg.trigger).start()
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Passes that came too late for their bucket, over the query's recent progress."""
+    operators = [op for progress in query.recentProgress for op in progress["stateOperators"]]
+    return sum(op["numRowsDroppedByWatermark"] for op in operators)
+
+
 def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int, DataFrame, Join], None],
                  version: Callable[[], object] | None = None) -> Batch:
     """Batch function that hands ``work`` a current reference table and the join for its size.

@@ -61,8 +61,12 @@ def flow_sink(path: str, grain: str) -> Callable[[DataFrame, int], None]:
 
 
 def read_flow(spark: SparkSession, path: str) -> DataFrame:
-    """Long counts, as `device_day` and `flow_wide` take them."""
-    return read_latest(spark, path, FLOW_KEY).select("device_id", "grain", "bucket", "vehicle_type", "n")
+    """Long counts, as `device_day` and `flow_wide` take them.
+
+    A batch has one row per key, so plain numbers decide, which a hash aggregate can do.
+    """
+    counted = read_batches(spark, path).groupBy(*FLOW_KEY).agg(F.max_by("n", BATCH).alias("n"))
+    return counted.select("device_id", "grain", "bucket", "vehicle_type", "n")
 
 
 def table_sink(path: str) -> Callable[[DataFrame, int], None]:
