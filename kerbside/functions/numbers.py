@@ -17,10 +17,15 @@ def hundredths(n: str) -> str:
 
 
 def halving_ticks(mean: str, value: str) -> str:
-    """Mean of two floats in whole hundredths, cut towards zero and held inside int range."""
+    """Mean of two floats in whole hundredths, cut towards zero and held inside int range.
+
+    NaN counts as 0. Null gives null, but speed and length are required fields.
+    """
     half = f"cast(({mean} + {value}) / 2 as float)"
     scaled = f"cast(nanvl({half} * cast(100 as float), cast(0 as float)) as double)"
-    return f"cast(least(greatest({scaled}, {INT_MIN}D), {INT_MAX}D) as int)"
+    held = f"cast(least(greatest({scaled}, {INT_MIN}D), {INT_MAX}D) as int)"
+    # `least` and `greatest` skip nulls.
+    return f"if({mean} is null or {value} is null, null, {held})"
 
 
 def halving_mean(mean: str, value: str) -> str:

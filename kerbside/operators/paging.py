@@ -22,7 +22,9 @@ def _after(order: Sequence[str], last: Sequence) -> Column:
     return (F.col(name) >= F.lit(value)) & (here | _after(names, values))
 
 
-def page(df: DataFrame, size: int, after: Sequence | None = None, order: Sequence[str] = ("pass_ts", "event_id")) -> DataFrame:
+def page(
+    df: DataFrame, size: int, after: Sequence | None = None, order: Sequence[str] = ("pass_ts", "event_id")
+) -> DataFrame:
     """The ``size`` rows behind the key ``after``. Needs no sort of the whole result."""
     rows = df if after is None else df.filter(_after(order, after))
     return rows.orderBy(*order).limit(size)

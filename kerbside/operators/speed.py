@@ -92,8 +92,8 @@ def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
     Rows are range-partitioned on the full order, so a busy device-minute spreads
     over many tasks, and cut into runs of at most ``piece`` rows. A run maps the
     mean before it to the mean after it. That map never decreases and, past a few
-    dozen rows, has very few results: it is stored as its lowest result and the
-    starts from which it rises. Applying the runs in order gives the mean.
+    dozen rows, has very few results, so it is small to store (`_run_map`).
+    Applying the runs in order gives the mean.
     """
     ordered = rows.repartitionByRange(*_GROUP, "pass_ts", "event_id").sortWithinPartitions(
         *_GROUP, "pass_ts", "event_id"
@@ -121,7 +121,8 @@ def _run_map(values: str) -> str:
     """
     head, remaining = f"slice({values}, 3, {TAIL - 2})", f"slice({values}, {TAIL + 1}, size({values}))"
     low, high = (_fold_ticks(head, bound) for bound in (INT_MIN, INT_MAX))
-    rises = f"if(e.low < e.high, transform(sequence(e.low + 1, e.high), result -> {_least_start(head, 'result')}), array())"
+    each = f"transform(sequence(e.low + 1, e.high), result -> {_least_start(head, 'result')})"
+    rises = f"if(e.low < e.high, {each}, array())"
     ends = f"transform(sequence(e.low, e.high), result -> {_fold_ticks(remaining, 'result')})"
     long_run = (
         f"transform(array(struct({low} as low, {high} as high)), e -> "

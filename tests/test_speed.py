@@ -73,6 +73,12 @@ def test_each_step_cuts_to_two_decimals_and_one_value_stays(spark):
     assert np.float32(got["b"]) == np.float32(1.99)
 
 
+def test_null_stays_null(spark):
+    rows = spark.createDataFrame([("a", T0, i, v, 1.0) for i, v in enumerate([5.0, None, 7.0])], SCHEMA)
+    got = S.speed_length_fold(rows).first()
+    assert got.speed is None and got.length == 1.0
+
+
 def test_mean(spark):
     got = S.speed_length(frame(spark, {"a": [1.0, 2.0, 6.0]})).first()
     assert got.speed == 3.0
