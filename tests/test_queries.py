@@ -3,7 +3,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, differences
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from kerbside.plans.oracles import oracle_sql
+from kerbside.plans.queries import QUERIES
+
+ORACLES = oracle_sql()
 
 
 def test_each_query_has_an_oracle():
