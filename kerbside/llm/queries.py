@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import byte_bpe, quality_rules, secret_scan
+from kerbside.llm import byte_bpe, language_id, quality_classifier, quality_rules, secret_scan, warc
+from kerbside.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(spark, table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -28,9 +41,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op6_warc": op6_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), k AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN keeper END AS refers_to,
+               CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 0 ELSE payload_bytes END AS block_bytes
+        FROM k
+    """,
+}
