@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import byte_bpe, language_id, quality_classifier, quality_rules, secret_scan, warc
+from kerbside.llm import byte_bpe, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, warc
 from kerbside.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(spark, table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_warc": op6_warc,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
