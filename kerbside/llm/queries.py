@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import byte_bpe, decontamination, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, warc
+from kerbside.llm import byte_bpe, decontamination, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, suffix_dedup, warc
 from kerbside.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
     "op8_jaccard_join": op8_jaccard_join,
