@@ -195,13 +195,17 @@ def encode(
     docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY,
     pattern: str = public_tokenizers.PATTERN,
 ) -> DataFrame:
-    """Per row: key and ``ids``."""
+    """Per row: key, ``ids``, and whether they decode to the text again."""
 
     def work(block):
-        own = encoder(path, pattern)
-        return {"ids": [np.asarray(own.encode(t), np.int32) for t in block[1]]}
+        own, out = encoder(path, pattern), {"ids": [], "same": []}
+        for t in block[1]:
+            ids = own.encode(t)
+            out["ids"].append(np.asarray(ids, np.int32))
+            out["same"].append(own.decode(ids) == t.encode("utf-8", "surrogatepass"))
+        return out
 
-    return map_blocks(keyed(docs, key, text), work, "ids array<int>", dict(docs.dtypes)[key]).withColumnRenamed("key", key)
+    return map_blocks(keyed(docs, key, text), work, "ids array<int>, same boolean").withColumnRenamed("key", key)
 
 
 def decode(
@@ -244,7 +248,7 @@ def round_trip(
         return out
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean"
-    return map_blocks(keyed(docs, key, text), work, schema, dict(docs.dtypes)[key]).withColumnRenamed("key", key)
+    return map_blocks(keyed(docs, key, text), work, schema).withColumnRenamed("key", key)
 
 
 def digest(docs: DataFrame) -> DataFrame:

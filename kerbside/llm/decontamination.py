@@ -195,11 +195,11 @@ def _find(rows: DataFrame, items: Items, kind: str, item_kind: str) -> DataFrame
                 inside[width] = h[lo:hi] - a
             local = {width: s[a:max(a, b - width + 1)] for width, s in shingles.items()}
             for row in document_hits(words[d], local, inside, items):
-                for name, value in zip(out, (block[0][d], *row), strict=True):
+                for name, value in zip(out, (block[0][d].as_py(), *row), strict=True):
                     out[name].append(value)
         return out
 
-    return map_blocks(rows, work, f"key {kind}, item {item_kind}, start_word long, n_words long, similarity double", None)
+    return map_blocks(rows, work, f"key {kind}, item {item_kind}, start_word long, n_words long, similarity double", with_key=False)
 
 
 def find_leaks(

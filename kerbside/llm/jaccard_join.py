@@ -200,7 +200,7 @@ def send_signatures(batches):
                 ], schema=SIGNATURE)
 
 
-def shingle_sets(rows: DataFrame, kind: str) -> DataFrame:
+def shingle_sets(rows: DataFrame) -> DataFrame:
     """Per row of a ``keyed`` frame: key, size of its set, band, and two digests of the set."""
     hashes: list[Hashes] = []
 
@@ -213,7 +213,7 @@ def shingle_sets(rows: DataFrame, kind: str) -> DataFrame:
             "whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
         }
 
-    return map_blocks(rows, work, "n_shingles long, cls long, whole binary", kind)
+    return map_blocks(rows, work, "n_shingles long, cls long, whole binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -244,9 +244,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles and component_id, the smallest key reachable by links."""
-    kind = dict(docs.dtypes)[key]
     rows = keyed(docs, key, text)
-    sets = stored(shingle_sets(rows, kind), "shingle-sets")
+    sets = stored(shingle_sets(rows), "shingle-sets")
     classes = stored(
         sets.where("n_shingles > 0").groupBy("whole").agg(
             F.min("key").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls")

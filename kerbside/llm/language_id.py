@@ -242,7 +242,7 @@ def predict(docs: DataFrame, network: ByteNetwork, key: str = "doc_id", text: st
 
     schema = "lang_pred string, score double, probabilities array<struct<lang: string, p: double>>"
     limit = max(1 << 18, BLOCK_BYTES * 8 // max(8, len(network.languages)))
-    return map_blocks(keyed(docs, key, text), work, schema, dict(docs.dtypes)[key], limit).withColumnRenamed("key", key)
+    return map_blocks(keyed(docs, key, text), work, schema, limit).withColumnRenamed("key", key)
 
 
 def digest(docs: DataFrame) -> DataFrame:

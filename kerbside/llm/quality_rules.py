@@ -125,7 +125,7 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", limits: RuleLi
                 out[name].append(value)
         return out
 
-    judged = map_blocks(keyed(df, key, text), work, SCHEMA, dict(df.dtypes)[key])
+    judged = map_blocks(keyed(df, key, text), work, SCHEMA)
     return judged.withColumnRenamed("key", key)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import byte_bpe, decontamination, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, suffix_dedup, warc
+from kerbside.llm import byte_bpe, decontamination, html_wrappers, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, suffix_dedup, warc
 from kerbside.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(spark, table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
 
 
+def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.digest(table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.digest(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
+    "op7_html_wrappers": op7_html_wrappers,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,

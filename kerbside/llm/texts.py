@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 #: Text bytes worked on at once; one longer text makes a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -16,55 +18,48 @@ CACHE_ENTRIES = 300_000
 #: A word is a run of bytes other than these.
 ASCII_SPACE = " \t\n\r\x0b\x0c"
 
-Block = tuple[list, list[str]]
+Block = tuple[pa.Array, list[str]]
 
 
 def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Key and text under fixed names, so other columns of the table cannot clash."""
+    """Key and text under fixed names, so other columns of the table cannot clash. A key may be a struct."""
     return df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
 
 def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Keys and texts in blocks of about ``limit`` bytes; a null text counts as empty."""
     for batch in batches:
-        keys, texts, size = [], [], 0
-        for key, value in zip(batch.column(0), batch.column(1), strict=True):
+        keys, texts, size, first = batch.column(0), [], 0, 0
+        for at, value in enumerate(batch.column(1)):
             text = value.as_py() or ""
-            if keys and size + len(text) > limit:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-            keys.append(key.as_py())
+            if texts and size + len(text) > limit:
+                yield keys.slice(first, len(texts)), texts
+                texts, size, first = [], 0, at
             texts.append(text)
             size += len(text)
-        if keys:
-            yield keys, texts
+        if texts:
+            yield keys.slice(first, len(texts)), texts
 
 
 def map_blocks(
-    df: DataFrame, work: Callable[[Block], dict[str, list]], schema: str, key_type: str = "long",
-    limit: int = BLOCK_BYTES,
+    df: DataFrame, work: Callable[[Block], dict[str, list]], schema: str, limit: int = BLOCK_BYTES, with_key: bool = True,
 ) -> DataFrame:
-    """``work`` over each block of a ``keyed`` frame; it returns columns by name."""
-    schema = f"{schema}" if key_type is None else f"key {key_type}, {schema}"
-    arrow = _arrow_schema(df, schema)
+    """``work`` over each block of a ``keyed`` frame; it returns columns by name, one row a text unless ``with_key`` is off."""
+    shape = StructType.fromDDL(schema)
+    if with_key:
+        shape = StructType([StructField("key", df.schema["key"].dataType), *shape.fields])
+    arrow = to_arrow_schema(shape)
 
     def run(batches):
         for block in blocks(batches, limit):
             columns = work(block)
-            if key_type is not None and "key" not in columns:
-                columns["key"] = block[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[field.name], type=field.type) for field in arrow], schema=arrow
-            )
+            if with_key:
+                columns["key"] = block[0].cast(arrow.field("key").type)
+            yield pa.RecordBatch.from_arrays([
+                c if isinstance(c := columns[field.name], pa.Array) else pa.array(c, type=field.type) for field in arrow
+            ], schema=arrow)
 
-    return df.mapInArrow(run, schema)
-
-
-def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))
+    return df.mapInArrow(run, shape)
 
 
 def split_words(text: str) -> list[bytes]:
