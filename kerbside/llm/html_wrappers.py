@@ -168,17 +168,22 @@ def alike(a, b) -> bool:
     return isinstance(a, tuple) and isinstance(b, tuple) and a[0] == b[0] and a[1][0] == b[1][0]
 
 
+def weight(seq) -> int:
+    """Tokens in a sequence, those in its groups included."""
+    return sum(1 if isinstance(x, str) else weight(x[1]) for x in seq)
+
+
 def aligned(a: list, b: list) -> list:
     """The least wrapper by this alignment that takes both; unmatched runs become optional."""
     n, m = len(a), len(b)
 
     def steps(i: int, j: int):
         if i < n and j < m and alike(a[i], b[j]):
-            yield i + 1, j + 1, 2
+            yield i + 1, j + 1, min(weight(a[i:i + 1]), weight(b[j:j + 1]))
         if i < n and isinstance(a[i], tuple) and b[j:j + len(a[i][1])] == list(a[i][1]):
-            yield i + 1, j + len(a[i][1]), 2
+            yield i + 1, j + len(a[i][1]), weight(a[i][1])
         if j < m and isinstance(b[j], tuple) and a[i:i + len(b[j][1])] == list(b[j][1]):
-            yield i + len(b[j][1]), j + 1, 2
+            yield i + len(b[j][1]), j + 1, weight(b[j][1])
 
     best = [[0] * (m + 1) for _ in range(n + 1)]
     move: list[list] = [[None] * (m + 1) for _ in range(n + 1)]
