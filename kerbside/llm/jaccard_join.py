@@ -10,7 +10,8 @@ more is worth two, matched also when one shingle is missing on either side. How
 segments a band has, and whether it uses deletions, is allocated by expected cost.
 
 Signatures that only one class has are dropped, and so are classes whose remaining
-signatures could not make up a link. Classes that share a signature are first compared
+signatures could not make up a link. Units to spare are allocated to a class's most frequent
+signatures, which are left out, as a passage that many documents share makes them costly. Classes that share a signature are first compared
 with the smallest of them, and later only across components, so that a group of n copies
 costs about n comparisons. Every link is verified on the texts.
 
@@ -150,7 +151,8 @@ def signatures(sets: list[np.ndarray], band: np.ndarray, partner: np.ndarray) ->
         of.append(owner[less])
     units = np.bincount(set_of, np.where(deletes[set_of] & (count[held] >= 2), 2, 1), len(sets)).astype(np.int64)
     spare = units - (size + partner) * (100 - PERCENT) // (100 + PERCENT)
-    needed = np.where(spare < 1, 0, np.where(deletes, 1, spare))
+    # A segment worth two units shows as one signature at least.
+    needed = np.where(spare < 1, 0, np.where(deletes, (spare + 1) // 2, spare))
     return np.concatenate(out), np.concatenate(of), needed
 
 
@@ -266,14 +268,16 @@ def candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFram
     by_sig = Window.partitionBy("sig")
     several = F.min("cls").over(by_sig) != F.max("cls").over(by_sig)
     shared = stored(
-        sent.withColumn("several", several).where("several or sig is null").drop("several"), "shared-signatures"
+        sent.withColumns({"several": several, "often": F.count("*").over(by_sig)}).where("several or sig is null").drop("several"),
+        "shared-signatures",
     )
     short = shared.where("sig is null").select("cls").distinct()
-    shared = shared.where("sig is not null").distinct()
-    enough = shared.groupBy("cls", "own").agg(F.count("*").alias("n"), F.min("needed").alias("needed")).where(
-        "n >= needed"
-    ).select("cls", "own")
-    kept = shared.join(enough, ["cls", "own"]).select("sig", "cls").join(classes.select("cls", "rep", "size"), "cls")
+    # A link of a class needs ``needed`` of its signatures here, so the most frequent ones but these can be spared.
+    of_class = Window.partitionBy("cls", "own")
+    ranked = shared.where("sig is not null").repartition("cls", "own").distinct().withColumns({
+        "n": F.count("*").over(of_class), "rank": F.row_number().over(of_class.orderBy(F.desc("often"), "sig")),
+    })
+    kept = ranked.where("n >= needed and rank >= needed").select("sig", "cls").join(classes.select("cls", "rep", "size"), "cls")
     members = stored(
         kept.where("rep is not null").select("sig", "rep", "size").withColumn(
             "place", F.row_number().over(by_sig.orderBy("rep"))
@@ -312,9 +316,9 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     texts = stored(rows.join(wanted, "key").dropDuplicates(["key"]), "linked-texts")
     tested = stored(pairs.distinct(), "pairs")
     labels = components(verified(tested, texts))
-    first, last = 2, 2
+    first, last, open_ = 2, 5, members
     while True:
-        known = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+        known = open_.drop("component").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
             "component", F.coalesce("component", "rep")
         )
         by_sig = Window.partitionBy("sig")
@@ -345,7 +349,7 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
             ).select("node", F.col("root").alias("component")), "labels",
         )
         tested = tested.unionAll(new)
-        first, last = last + 1, last + 2 * (last - first + 1)
+        first, last = last + 1, last + 4 * (last - first + 1)
 
 
 def digest(docs: DataFrame) -> DataFrame:
