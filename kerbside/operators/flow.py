@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.operators.speed import speed_length_fold
@@ -28,11 +28,17 @@ def flow(passes: DataFrame, grain: str) -> DataFrame:
 
 def flow_all_grains(passes: DataFrame) -> DataFrame:
     """All three grains in long form from one scan: coarser counts add up minute counts."""
-    minute = flow(passes, "minute")
+    return grains_of(flow(passes, "minute"))
+
+
+def grains_of(minute: DataFrame, grains: Sequence[str] = GRAINS) -> DataFrame:
+    """Long counts of the grains from minute counts."""
+    for grain in grains:
+        _check(grain)
     grained = minute.select(
         "device_id", "vehicle_type", "n",
         F.explode(F.array(*[
-            F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "bucket").alias("bucket")) for g in GRAINS
+            F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "bucket").alias("bucket")) for g in grains
         ])).alias("b"),
     )
     return (
@@ -72,12 +78,6 @@ def interval_summary(passes: DataFrame, interval: str, class_map: Mapping[str, l
     )
 
 
-def _last_expired(passes: DataFrame, as_of: Column) -> DataFrame:
-    """Latest pass per device that has left the retention window; one row per device."""
-    gone = passes.filter(F.col("pass_ts") <= as_of - F.expr(f"interval {RETENTION_SECONDS} seconds"))
-    return gone.groupBy("device_id").agg(F.max("pass_ts").alias("expired_ts"))
-
-
 def flow_live_asof(passes: DataFrame, as_of) -> DataFrame:
     """Buckets still held at ``as_of``: (device, grain, bucket, type, n), n being complete.
 
@@ -86,21 +86,26 @@ def flow_live_asof(passes: DataFrame, as_of) -> DataFrame:
     have lost no pass keep everything.
     """
     as_of = F.lit(as_of).cast("timestamp")
+    cut = as_of - F.expr(f"interval {RETENTION_SECONDS} seconds")
     seen = passes.filter(F.col("pass_ts") <= as_of)
     minute = seen.groupBy(
         "device_id", "vehicle_type", F.date_trunc("minute", "pass_ts").alias("minute")
-    ).agg(F.count(F.lit(1)).alias("n"), F.min("pass_ts").alias("first_ts"))
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.min("pass_ts").alias("first_ts"),
+        F.max(F.when(F.col("pass_ts") <= cut, F.col("pass_ts"))).alias("gone_ts"),
+    )
     counted = (
         minute.select(
-            "device_id", "vehicle_type", "n", "first_ts",
+            "device_id", "vehicle_type", "n", "first_ts", "gone_ts",
             F.explode(F.array(*[
                 F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "minute").alias("bucket")) for g in GRAINS
             ])).alias("b"),
         )
         .groupBy("device_id", "b.grain", "b.bucket", "vehicle_type")
-        .agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"))
+        .agg(F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"), F.max("gone_ts").alias("gone_ts"))
+        # A device has one row per bucket and type here, however many passes it has.
+        .withColumn("expired_ts", F.max("gone_ts").over(Window.partitionBy("device_id")))
     )
-    cut = as_of - F.expr(f"interval {RETENTION_SECONDS} seconds")
     expired = F.col("expired_ts")
     live = (
         F.when(F.col("grain") == "minute", F.col("first_ts") > cut)
@@ -108,8 +113,7 @@ def flow_live_asof(passes: DataFrame, as_of) -> DataFrame:
         .otherwise(F.col("bucket") >= F.date_trunc("day", expired))
     )
     return (
-        counted.join(_last_expired(passes, as_of), "device_id", "left")
-        .filter(expired.isNull() | live)
+        counted.filter(expired.isNull() | live)
         .select("device_id", "grain", "bucket", "vehicle_type", "n")
     )
 

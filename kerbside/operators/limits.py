@@ -21,10 +21,15 @@ def limit_for(limit_text: Column, vehicle_type: Column) -> Column:
 
 
 def with_limit(passes: DataFrame, gates: DataFrame, how: str = "inner", join: Join = lookup_join) -> DataFrame:
-    """Passes with ``limit``; ``gates`` has one row (id, speedlimit) per gate."""
-    at_gate = gates.select(F.col("id").alias("device_id"), "speedlimit")
+    """Passes with ``limit`` and whether their gate is ``known``; ``gates`` has one row (id, speedlimit) per gate."""
+    at_gate = gates.select(F.col("id").alias("device_id"), "speedlimit", F.lit(True).alias("known"))
     joined = join(passes, at_gate, "device_id", how)
-    return joined.withColumn("limit", limit_for(F.col("speedlimit"), F.col("vehicle_type")))
+    return joined.withColumns({
+        "limit": limit_for(F.col("speedlimit"), F.col("vehicle_type")), "known": F.coalesce("known", F.lit(False)),
+    })
+
+
+USED = ("device_id", "vehicle_type", "speed", "plate", "plate_type", "chan_index", "dir", "site_id", "illegal_type")
 
 
 def _violates() -> Column:
@@ -33,11 +38,13 @@ def _violates() -> Column:
 
 def overspeed(passes: DataFrame, gates: DataFrame, join: Join = lookup_join) -> DataFrame:
     """One row per violation: row key and 14 text cells, three of them always empty."""
-    used = passes.select(
-        "device_id", "vehicle_type", "speed", "plate", "plate_type", "chan_index", "dir", "site_id",
-        "illegal_type", time_text(passes).alias("WFSJ"),
-    )
-    over = with_limit(used, gates, join=join).filter(_violates())
+    used = passes.select(*USED, time_text(passes).alias("WFSJ"))
+    return violations(with_limit(used, gates, join=join))
+
+
+def violations(limited: DataFrame) -> DataFrame:
+    """The violations among passes with limits; their time as text is ``WFSJ``."""
+    over = limited.filter(_violates())
 
     def text(name: str) -> Column:
         return F.col(name).cast("string")
@@ -68,7 +75,12 @@ def unknown_gates(passes: DataFrame, gates: DataFrame) -> DataFrame:
 
 def unusable_limits(passes: DataFrame, gates: DataFrame) -> DataFrame:
     """Passes whose gate is known but gives them no limit to divide by, with the reason."""
-    limited = with_limit(passes, gates)
+    return unusable(with_limit(passes, gates))
+
+
+def unusable(limited: DataFrame) -> DataFrame:
+    """The same of passes with limits; those at unknown gates are no part of it."""
+    limited = limited.filter("known")
     reason = (
         F.when(F.col("limit") == 0, "zero limit")
         .when(F.col("limit").isNotNull(), None)

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.session import use_checkpoints
+
 # Largest measured table that is sent to every executor, in bytes of its JSON text.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Past this estimate a table is not worth measuring: it will not fit.
 MEASURE_BYTES = 64 * BROADCAST_BYTES
 # Spark's estimates reach this only where it knows nothing, as for a database table.
 UNKNOWN_BYTES = 1 << 60
-# Keys that are spread out; any other key holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1000
 
 Join = Callable[..., DataFrame]
 
@@ -70,21 +70,21 @@ def plain_join(
 
 
 def salted_join(
-    fact: DataFrame, table: DataFrame, key: str, how: str, counted_on: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
+    fact: DataFrame, table: DataFrame, key: str, how: str, counted_on: DataFrame | None = None
 ) -> DataFrame:
     """Join where the rows of a busy key, and of no key at all, go to many tasks.
 
-    A busy key gets a number of salts in proportion to its rows, all busy keys
-    together about one per shuffle partition, so ``table`` grows by no more than
-    that. The salt is a hash of the row, which a repeated task computes again.
+    A key with more rows than a shuffle partition has on average is busy; there
+    are fewer of these than partitions. It gets a number of salts in proportion
+    to its rows, all busy keys together at most two per shuffle partition, so
+    ``table`` grows by no more than that. The salt is a hash of the row, which a repeated task computes again.
     ``counted_on`` is a frame with the same keys that is cheaper to count,
     such as ``fact`` before earlier joins.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(_salts_per_key(fact if counted_on is None else counted_on, key, hot_keys, partitions))
+    hot = F.broadcast(_salts_per_key(fact if counted_on is None else counted_on, key, partitions))
     hashable = [f"`{name}`" for name, kind in fact.dtypes if "map<" not in kind]
     salts = F.when(F.col(key).isNull(), partitions).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = fact.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*hashable), salts))
@@ -94,10 +94,10 @@ def salted_join(
     return joined.drop("_salt")
 
 
-def _salts_per_key(rows: DataFrame, key: str, hot_keys: int, partitions: int) -> DataFrame:
-    """(key, _salts) of the busiest keys; the order on key settles ties."""
-    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counted.orderBy(F.desc("_n"), key).limit(hot_keys)
-    # At most `hot_keys` rows reach this window.
-    share = F.col("_n") / F.sum("_n").over(Window.partitionBy())
-    return top.select(key, F.ceil(share * partitions).cast("int").alias("_salts"))
+def _salts_per_key(rows: DataFrame, key: str, partitions: int) -> DataFrame:
+    """(key, _salts) of the keys with more than a partition's share of all rows."""
+    use_checkpoints(rows.sparkSession)
+    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    busy = counted.filter(F.col("_n") * partitions > total)
+    return busy.select(key, F.ceil(F.col("_n") * partitions / F.lit(max(total, 1))).cast("int").alias("_salts"))

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.numbers import INT_MAX, INT_MIN, halving_mean, halving_ticks, hundredths
+from kerbside.session import use_checkpoints
 
 # Newest passes of a device-minute that are enough to know its running mean, but for rare ties.
 TAIL = 64
+# Tied device-minutes up to which their keys are sent to every task.
+OPEN_GROUPS = 500_000
 # Passes per piece when a tied device-minute is worked through whole.
 PIECE = 65536
 
@@ -52,10 +55,12 @@ def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -
     Each step halves the distance between two possible starts and never swaps
     their order. So the newest ``tail`` passes are folded from the lowest and
     from the highest possible start: where both end on one value, no older pass
-    can matter. Map tasks keep only those newest rows, which bounds what a busy
-    device-minute sends. Device-minutes where the ends differ are folded whole,
-    in pieces (`_fold_in_pieces`).
+    can matter. All rows pass one exchange, after which only those newest rows are
+    kept. The results are written to the checkpoint folder, so that it is known whether
+    any device-minute has ends that differ: only the rows of such ones are
+    exchanged again and folded whole, in pieces (`run_maps`).
     """
+    use_checkpoints(passes.sparkSession)
     rows = _by_minute(passes)
     newest = Window.partitionBy(*_GROUP).orderBy(F.desc("pass_ts"), F.desc("event_id"))
     kept = rows.withColumn("age", F.row_number().over(newest)).filter(F.col("age") <= tail)
@@ -64,14 +69,18 @@ def speed_length_fold(passes: DataFrame, tail: int = TAIL, piece: int = PIECE) -
     )
     # Through a generator, so that the filters below do not fold a second time.
     both = ", ".join(f"{_fold_tail(f't.{m}', tail)} as {m}" for m in _MEASURES)
-    folded = tails.selectExpr(*_GROUP, f"explode(array(struct({both}))) as f")
+    folded = tails.selectExpr(*_GROUP, f"explode(array(struct({both}))) as f").checkpoint()
     tied = F.expr("f.speed.tied or f.length.tied")
     settled = folded.filter(~tied).select(*_GROUP, *[F.col(f"f.{m}.mean").alias(m) for m in _MEASURES])
     open_groups = folded.filter(tied).select(*[F.col(g).alias(f"open_{g}") for g in _GROUP])
-    # Null-safe keys add no filter, so both uses of the tails share one exchange.
+    open_count = open_groups.count()
+    if not open_count:
+        return settled
+    if open_count <= OPEN_GROUPS:
+        open_groups = F.broadcast(open_groups)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"open_{g}")) for g in _GROUP])
-    whole = _fold_in_pieces(rows.join(open_groups, same, "left_semi"), piece)
-    return settled.unionByName(whole)
+    whole = rows.join(open_groups, same, "left_semi")
+    return settled.unionByName(apply_maps(_run_maps(whole, piece), "at"))
 
 
 def _fold_tail(values: str, tail: int) -> str:
@@ -86,8 +95,13 @@ def _fold_tail(values: str, tail: int) -> str:
     return f"if(size({values}) < {tail}, {whole}, {cut})"
 
 
-def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
-    """Exact running mean of large device-minutes, with no task holding one whole.
+def run_maps(passes: DataFrame, piece: int = PIECE) -> DataFrame:
+    """What the passes do to the running means: (device_id, minute, at, speed, length) per run of passes."""
+    return _run_maps(_by_minute(passes), piece)
+
+
+def _run_maps(rows: DataFrame, piece: int) -> DataFrame:
+    """Maps of runs, with no task holding a device-minute whole.
 
     Rows are range-partitioned on the full order, so a busy device-minute spreads
     over many tasks, and cut into runs of at most ``piece`` rows. A run maps the
@@ -104,9 +118,16 @@ def _fold_in_pieces(rows: DataFrame, piece: int) -> DataFrame:
         F.min("at").alias("at"),
         F.array_sort(F.collect_list(F.struct("at", *_MEASURES))).alias("r"),
     )
-    maps = runs.selectExpr(*_GROUP, "at", *[f"{_run_map(f'r.{m}')} as {m}" for m in _MEASURES])
+    return runs.selectExpr(*_GROUP, "at", *[f"{_run_map(f'r.{m}')} as {m}" for m in _MEASURES])
+
+
+def apply_maps(maps: DataFrame, *order: str) -> DataFrame:
+    """Running mean per device-minute from its maps, applied by ``order``.
+
+    A device-minute has one map per run; a stored one has one per batch that brought passes of it, besides.
+    """
     return maps.groupBy(*_GROUP).agg(
-        F.array_sort(F.collect_list(F.struct("at", *_MEASURES))).alias("m")
+        F.array_sort(F.collect_list(F.struct(*order, *_MEASURES))).alias("m")
     ).selectExpr(*_GROUP, *[f"{_apply_runs(f'm.{m}')} as {m}" for m in _MEASURES])
 
 

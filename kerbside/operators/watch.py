@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import keys
 from kerbside.functions.timing import time_text
 from kerbside.operators.lookup import Join, lookup_join
-from kerbside.sources.messages import ALARM_MESSAGE
+from kerbside.sources.messages import ALARM_MESSAGE, MESSAGES, REQUIRED
 from kerbside.sources.wire import serialize
 
 
@@ -71,16 +73,26 @@ def alarm_fields(alerts: DataFrame) -> DataFrame:
 def alarm_messages(alerts: DataFrame, wire: str = "json") -> DataFrame:
     """(key, value) records, the value as JSON text or protobuf bytes.
 
-    The priority is required: see `alarm_rejects`.
+    Alerts that lack a required field make no message: see `alarm_rejects`.
     """
     if wire not in ("json", "protobuf"):
         raise ValueError(f"wire must be json or protobuf, not {wire!r}")
-    fields = alarm_fields(alerts).filter(F.col("Priority").isNotNull())
+    fields = alarm_fields(alerts).filter(~_lacks_required())
     body = F.struct(*[c for c in fields.columns if c != "key"])
     value = F.to_json(body) if wire == "json" else serialize(body, ALARM_MESSAGE, alerts.sparkSession)
     return fields.select("key", value.alias("value"))
 
 
+def _required() -> list[str]:
+    return [f.name for f in MESSAGES[ALARM_MESSAGE] if f.label == REQUIRED]
+
+
+def _lacks_required() -> Column:
+    return reduce(lambda a, b: a | b, [F.col(name).isNull() for name in _required()])
+
+
 def alarm_rejects(alerts: DataFrame) -> DataFrame:
-    """Alerts that make no message because the list's level is no number."""
-    return alerts.filter(F.col("BKJB").try_cast("int").isNull())
+    """Alerts that make no message, with the fields they lack; a level that is no number is a lack."""
+    missing = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in _required()]))
+    rejected = alarm_fields(alerts).filter(_lacks_required())
+    return rejected.select("key", "PlateLicense", "DeviceId", "Time", F.array_join(missing, ",").alias("missing"))

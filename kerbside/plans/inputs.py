@@ -17,6 +17,7 @@ SPARK = {
     "Q": "`",
     "BYTES": "encode({0}, 'UTF-8')",
     "FMT": "date_format(pass_ts,'yyyy-MM-dd HH:mm:ss')",
+    "LONG": "timestamp_micros(1704067200000000 + (unix_micros(pass_ts) - 1704067200000000) div 1000)",
 }
 DUCKDB = {
     "STR": "varchar",
@@ -25,6 +26,7 @@ DUCKDB = {
     "Q": '"',
     "BYTES": "encode({0})",
     "FMT": "strftime(pass_ts,'%Y-%m-%d %H:%M:%S')",
+    "LONG": "make_timestamp(1704067200000000 + (epoch_us(pass_ts) - 1704067200000000) // 1000)",
 }
 
 PASS_COLUMNS = {
@@ -79,10 +81,18 @@ VIEWS = {
     "passes": "select "
     + ", ".join(f"{sql} as {{Q}}{name}{{Q}}" for name, sql in PASS_COLUMNS.items())
     + " from events",
-    # Gate 4 is missing: its passes take the unknown-gate path.
+    # Gate 4 is missing: its passes take the unknown-gate path. Gates 1 and 2 are listed twice; the greatest seq counts.
     "gate": "select cast(id as int) as id, "
-            "case when id % 2 = 0 then '60' else '40,50,60,70,80' end as speedlimit "
-            "from range(4) r(id)",
+            "case when id % 2 = 0 then '60' else '40,50,60,70,80' end as speedlimit, 2 as seq "
+            "from range(4) r(id) union all "
+            "select cast(id as int), '99', 1 from range(1, 3) r(id)",
+    # Device-minutes of several hundred passes; device 1 has one speed, so that its fold never forgets its start.
+    "passes_long": "select event_id, device_id, vehicle_type, length, {LONG} as pass_ts, "
+                   "case when device_id = '1' then cast(50 as float) else speed end as speed from passes",
+    # The clock of device 0 runs a day ahead in the first of four files, and files are in no time order.
+    "passes_late": "select event_id, device_id, vehicle_type, speed, length, "
+                   "case when device_id = '0' and event_id % 4 = 0 then pass_ts + interval '1' day else pass_ts end as pass_ts "
+                   "from passes",
     # The greatest seq wins for a plate.
     "prey": """
         select plate, concat('BK', substr(plate, 3)) as bkxxbh,
@@ -137,6 +147,13 @@ def pass_stream_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_passes(spark.readStream.schema(schema).parquet(path.replace(".parquet", ".parque[t]")))
 
 
+def files_stream(spark: SparkSession, parts: list[DataFrame], folder: str) -> DataFrame:
+    """The frames as a stream of one micro-batch each, in this order."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def with_pics(df: DataFrame) -> DataFrame:
     """Adds ``event_id % 3`` pictures to each pass."""
     number = F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), (F.col("event_id") % 3).cast("int"))

@@ -25,17 +25,25 @@ def _folded(rows: str) -> str:
 # Views used by the checks alone.
 CHECK_VIEWS = {
     "watchlist": "select plate, max_by(bkxxbh, seq) as bkxxbh, max_by(bkjb, seq) as bkjb from prey group by plate",
+    "gates": "select cast(id as varchar) as id, max_by(speedlimit, seq) as speedlimit from gate group by id",
     "limited": """
         select p.*, g.speedlimit,
           try_cast(case when contains(g.speedlimit, ',') then split_part(g.speedlimit, ',', p.vehicle_type + 1)
                    else g.speedlimit end as float) as lim, g.id is not null as known
-        from passes p left join gate g on p.device_id = cast(g.id as varchar)""",
+        from passes p left join gates g on p.device_id = g.id""",
     "alerts": f"""
         select {TIME} || p.plate || device_id as row_key, bkxxbh as BKXXBH, bkjb as BKJB, alarm_type as BKLX,
           plate_color as HPYS, plate_type as HPZL, vehicle_logo as CLPP1, vehicle_color as CSYS,
           vehicle_type as CLLX, p.plate || {TIME} as CLXXBH, device_id as KKBH, {TIME} as GCSJ, speed as CLSD,
           device_id || {TIME} as BJBH, p.plate
         from passes p join watchlist w on p.plate = w.plate""",
+    "alerts_refreshed": f"""
+        select {TIME} || p.plate || device_id as row_key, bkxxbh as BKXXBH, bkjb as BKJB, alarm_type as BKLX,
+          plate_color as HPYS, plate_type as HPZL, vehicle_logo as CLPP1, vehicle_color as CSYS,
+          vehicle_type as CLLX, p.plate || {TIME} as CLXXBH, device_id as KKBH, {TIME} as GCSJ, speed as CLSD,
+          device_id || {TIME} as BJBH, p.plate
+        from passes p join watchlist w on p.plate = w.plate
+        where event_id % 2 = 0 or p.plate not like '%0'""",
     "violations": f"""
         select {TIME} || '_' || plate || '_' || device_id as row_key, device_id as KKBH,
           cast(chan_index as varchar) as CLBH, cast(dir as varchar) as FXBH, plate as HPHM, plate_type as HPZL,
@@ -58,6 +66,7 @@ CHECK_VIEWS = {
         select device_id, 'hour', date_trunc('hour', pass_ts), vehicle_type, count(*) from passes group by all
         union all
         select device_id, 'day', date_trunc('day', pass_ts), vehicle_type, count(*) from passes group by all""",
+    "folded_long": "select device_id, minute, speed, length from (" + _folded("passes_long") + ")",
     "folded": "select device_id, minute, speed, length from (" + _folded("passes") + ")",
     "folded_asof": _folded(f"(select * from passes where pass_ts <= timestamp '{AS_OF}')"),
     "archived": f"""
@@ -134,6 +143,10 @@ BODIES: dict[str, str] = {
     "flow_all_grains": "select device_id, grain, bucket, vehicle_type, n from counts",
     "speed_length_mean": _MEAN,
     "speed_length_fold": "select device_id, minute, speed, length from folded",
+    "speed_length_fold_long": "select device_id, minute, speed, length from folded_long",
+    "gate_snapshot": """
+        select g.id, g.speedlimit, n from gates g left join
+          (select device_id, count(*) as n from passes group by device_id) p on p.device_id = g.id""",
     "interval_summary": """
         select device_id as Id, strftime(date_trunc('hour', pass_ts), '%Y-%m-%d %H:%M:%S') as Time,
           count(*) as TotalVehicle, count(*) filter (vehicle_type = 2) as LargeVehicle,
@@ -301,6 +314,21 @@ BODIES: dict[str, str] = {
     "stream_flow_hour": _flow("hour"),
     "stream_flow_day": _flow("day"),
     "stream_speed_length": _MEAN,
+    "stream_speed_length_fold": "select device_id, minute, speed, length from folded",
+    "stream_flow_late": """
+        select device_id, g as grain, date_trunc(g, pass_ts) as bucket, vehicle_type, count(*) as n
+        from passes_late, (select unnest(['minute', 'hour', 'day']) as g) gs group by all""",
+    "stream_unknown_gates": f"""
+        select device_id, vehicle_type, {TIME} as WFSJ, count(*) as n from limited where not known group by all""",
+    "stream_overspeed_counters": """
+        select count(*) as "all", count(*) filter (speed > lim) as illegal from limited""",
+    "stream_alarm_rejects": f"""
+        select row_key as key, plate as PlateLicense, KKBH as DeviceId, GCSJ as Time, 'Priority' as missing, count(*) as n
+        from alerts where BKJB = '9' group by all""",
+    "stream_archive_search": f"""
+        select row_key, device_id as SBBH, {TIME} as Time, plate as Plate_License
+        from archived where {TIME} between '{RANGE[0]}' and '{RANGE[1]}'""",
+    "stream_alerts_refresh": _newest("alerts_refreshed", ALARM),
     "stream_alerts": _newest("alerts", ALARM),
     "stream_overspeed": _newest("violations", VIOLATION),
     "stream_fan_out": f"""

@@ -46,7 +46,7 @@ def _watchlist(spark, passes):
 
 
 def _gates(spark):
-    return snapshots.load_gates(inputs.derived(spark, "gate"))
+    return snapshots.load_gates(inputs.derived(spark, "gate"), "seq")
 
 
 def _dim(spark, name):
@@ -86,6 +86,12 @@ def speed_length_fold(spark, sf_dir):
     return speed.speed_length_fold(inputs.passes(spark, sf_dir))
 
 
+@query
+def speed_length_fold_long(spark, sf_dir):
+    """Device-minutes of hundreds of passes, some of which never forget their start."""
+    return speed.speed_length_fold(inputs.derived(spark, "passes_long", inputs.passes(spark, sf_dir)))
+
+
 @query
 def interval_summary(spark, sf_dir):
     return flow.interval_summary(inputs.passes(spark, sf_dir), "1 hour", CLASSES)
@@ -114,6 +120,13 @@ def alarm_messages(spark, sf_dir):
     return messages.select("key", body.alias("m")).select("key", "m.*").drop("VehicleColor")
 
 
+@query
+def gate_snapshot(spark, sf_dir):
+    """The limits that count, and how many passes each gate has."""
+    passes = inputs.passes(spark, sf_dir).groupBy(F.col("device_id").alias("id")).agg(F.count("*").alias("n"))
+    return _gates(spark).join(passes, "id", "left")
+
+
 @query
 def overspeed(spark, sf_dir):
     return limits.overspeed(inputs.passes(spark, sf_dir), _gates(spark))
@@ -418,11 +431,28 @@ def _drain(spark, df, make_sink, mode="append"):
     return out
 
 
+def _quarters(passes):
+    """Four parts in time order, each of 18 hours."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    quarter = F.least(F.floor((F.unix_seconds("pass_ts") - F.unix_seconds(start)) / (18 * 3600)), F.lit(3))
+    return [passes.filter(quarter == i) for i in range(4)]
+
+
+def _shuffled(passes):
+    """Four parts in no time order."""
+    return [passes.filter(F.col("event_id") % 4 == i) for i in range(4)]
+
+
+def _flow_tables(spark, parts):
+    """Folder of the flow tables after one micro-batch for each part."""
+    used = [p.select("event_id", "device_id", "vehicle_type", "pass_ts", "speed", "length") for p in parts]
+    stream = inputs.files_stream(spark, used, fresh_dir(spark, "passes"))
+    return _drain(spark, stream, flows.flow_sink)
+
+
 def _stream_flow(spark, sf_dir, grain):
-    # The input files are in no time order, so no bucket may be closed early.
-    counted = flows.flow_stream(inputs.pass_stream_input(spark, sf_dir), grain, lateness=None)
-    out = _drain(spark, counted, lambda path: sinks.flow_sink(path, grain), "update")
-    return sinks.read_flow(spark, out).drop("grain")
+    out = _flow_tables(spark, _shuffled(inputs.passes(spark, sf_dir)))
+    return flows.read_flow(spark, out, grain).drop("grain")
 
 
 @query
@@ -440,11 +470,23 @@ def stream_flow_day(spark, sf_dir):
     return _stream_flow(spark, sf_dir, "day")
 
 
+@query
+def stream_flow_late(spark, sf_dir):
+    """Late passes, and a device a day ahead in the first batch: nothing is lost in any grain."""
+    late = inputs.derived(spark, "passes_late", inputs.passes(spark, sf_dir))
+    return flows.read_flow(spark, _flow_tables(spark, _shuffled(late)))
+
+
 @query
 def stream_speed_length(spark, sf_dir):
-    means = flows.speed_stream(inputs.pass_stream_input(spark, sf_dir), lateness=None)
-    out = _drain(spark, means, sinks.table_sink, "update")
-    return sinks.read_latest(spark, out, ["device_id", "minute"])
+    out = _flow_tables(spark, _shuffled(inputs.passes(spark, sf_dir)))
+    return flows.read_speed_length(spark, out)
+
+
+@query
+def stream_speed_length_fold(spark, sf_dir):
+    """The order-dependent mean over four batches in time order."""
+    return flows.read_running_mean(spark, _flow_tables(spark, _quarters(inputs.passes(spark, sf_dir))))
 
 
 @query
@@ -462,6 +504,63 @@ def stream_overspeed(spark, sf_dir):
     return sinks.read_rows(spark, out)
 
 
+def _overspeed_tables(spark, sf_dir):
+    parts = _shuffled(inputs.passes(spark, sf_dir))
+    stream = inputs.files_stream(spark, parts, fresh_dir(spark, "passes"))
+    return _drain(spark, stream, lambda path: jobs.overspeed_sink(lambda: _gates(spark), path, lambda: 1))
+
+
+@query
+def stream_unknown_gates(spark, sf_dir):
+    found = sinks.read_batches(spark, f"{_overspeed_tables(spark, sf_dir)}-unknown-gates")
+    return found.groupBy("device_id", "vehicle_type", "WFSJ").agg(F.count("*").alias("n"))
+
+
+@query
+def stream_overspeed_counters(spark, sf_dir):
+    counted = sinks.read_batches(spark, f"{_overspeed_tables(spark, sf_dir)}-counters")
+    return counted.agg(F.sum("all").alias("all"), F.sum("illegal").alias("illegal"))
+
+
+@query
+def stream_alarm_rejects(spark, sf_dir):
+    """Alarms of listed plates whose level is no number."""
+    passes = inputs.passes(spark, sf_dir)
+    stream = inputs.files_stream(spark, _shuffled(passes), fresh_dir(spark, "passes"))
+
+    def listed():
+        return _watchlist(spark, passes).withColumn("bkjb", F.when(F.col("bkjb") == "9", "high").otherwise(F.col("bkjb")))
+
+    out = _drain(spark, stream, lambda path: jobs.alerts_sink(listed, path, None, lambda: 1))
+    found = sinks.read_batches(spark, f"{out}-rejects")
+    return found.groupBy("key", "PlateLicense", "DeviceId", "Time", "missing").agg(F.count("*").alias("n"))
+
+
+@query
+def stream_alerts_refresh(spark, sf_dir):
+    """Two batches; before the second, every plate that ends in 0 leaves the watchlist."""
+    passes = inputs.passes(spark, sf_dir)
+    halves = [passes.filter(F.col("event_id") % 2 == i) for i in range(2)]
+    stream = inputs.files_stream(spark, halves, fresh_dir(spark, "passes"))
+    loads = []
+
+    def listed():
+        loads.append(1)
+        table = _watchlist(spark, passes)
+        return table if len(loads) == 1 else table.filter("not plate like '%0'")
+
+    return sinks.read_rows(spark, _drain(spark, stream, lambda path: jobs.alerts_sink(listed, path)))
+
+
+@query
+def stream_archive_search(spark, sf_dir):
+    """A time range of the index that a stream has written, by day folders."""
+    stream = inputs.with_pics(inputs.pass_stream_input(spark, sf_dir))
+    out = _drain(spark, stream, jobs.fan_out_sink)
+    found = sinks.read_days(spark, f"{out}/index", "Time", *RANGE)
+    return found.select(F.col("RowKey").alias("row_key"), "SBBH", "Time", "Plate_License")
+
+
 @query
 def stream_fan_out(spark, sf_dir):
     """Per pass, which of the three outputs hold its key."""

@@ -38,11 +38,12 @@ def load_watchlist(prey: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def load_gates(gate: DataFrame, order: str | None = None) -> DataFrame:
-    """Limits by gate id as text. ``order`` names the load order where ids repeat."""
-    gates = gate.withColumn("id", F.col("id").cast("string"))
-    if order is None:
-        return gates.select("id", "speedlimit")
-    return last_row_wins(gates.select("id", "speedlimit", order), "id", order)
+    """One row (id as text, speedlimit) per gate: the one read last, by ``order``.
+
+    A table without ``order`` has no last row; there the content settles repeated ids.
+    """
+    last = F.col(order) if order and order in gate.columns else F.col("speedlimit")
+    return last_row_wins(gate.select(F.col("id").cast("string"), "speedlimit", last.alias("_order")), "id", "_order")
 
 
 def load_dim(dim: DataFrame, key: str) -> DataFrame:

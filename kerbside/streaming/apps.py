@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.operators.flow import GRAINS
-from kerbside.sources import decode
 from kerbside.streaming import flows, jobs, sinks
 
 
@@ -26,13 +24,10 @@ class Setup:
     wire: str = "protobuf"
     trigger: str = "1 second"
     available_now: bool = False
-    lateness: str | None = flows.DEFAULT_LATENESS
+    alarm_wire: str = "protobuf"
 
-    def query(self, name: str, output_mode: str = "append") -> jobs.JobConfig:
-        return jobs.JobConfig(
-            f"{self.checkpoints}/{name}", trigger=self.trigger, available_now=self.available_now,
-            output_mode=output_mode,
-        )
+    def query(self, name: str) -> jobs.JobConfig:
+        return jobs.JobConfig(f"{self.checkpoints}/{name}", trigger=self.trigger, available_now=self.available_now)
 
 
 def arrival(payloads: DataFrame) -> Column:
@@ -56,7 +51,7 @@ def alerts_app(
     send: Callable[[DataFrame, int], None] | None = None, version: Callable[[], object] | None = None,
 ) -> list[StreamingQuery]:
     """Watchlist alarms, stored and sent."""
-    sink = jobs.alerts_sink(load_watchlist, f"{setup.out}/alarms", send, version)
+    sink = jobs.alerts_sink(load_watchlist, f"{setup.out}/alarms", send, version, setup.alarm_wire)
     return _per_batch(payloads, sink, "alarms", setup)
 
 
@@ -69,26 +64,17 @@ def overspeed_app(
 
 
 def flow_app(payloads: DataFrame, setup: Setup) -> list[StreamingQuery]:
-    """Counts by minute, hour and day, and the running means; unreadable payloads are left to `archive_app`."""
-    passes = decode.valid_passes(decode.check_payloads(payloads, wire=setup.wire), arrival=arrival(payloads))
-    queries = [
-        jobs.start(
-            flows.flow_stream(passes, grain, setup.lateness),
-            sinks.flow_sink(f"{setup.out}/flow-{grain}", grain), setup.query(f"flow-{grain}", "update"),
-        )
-        for grain in GRAINS
-    ]
-    # Messages of one device and second are ordered by where they lie in the topic.
-    if "event_id" not in passes.columns:
-        passes = passes.withColumn("event_id", F.col("offset"))
-    means = flows.speed_fold_stream(passes, setup.lateness)
-    queries.append(
-        jobs.start(means, sinks.table_sink(f"{setup.out}/speed"), setup.query("speed", "update")))
-    return queries
+    """Counts of all grains and the running means, each payload being parsed once."""
+    sink = flows.flow_sink(f"{setup.out}/flow")
+
+    def placed(passes: DataFrame, batch_id: int) -> None:
+        # Messages of one device and second are ordered by where they lie in the topic.
+        sink(passes if "event_id" in passes.columns else passes.withColumn("event_id", F.col("offset")), batch_id)
+
+    return _per_batch(payloads, placed, "flow", setup)
 
 
 def read_flow_tables(spark: SparkSession, setup: Setup) -> tuple[DataFrame, DataFrame]:
     """(counts, speeds) as `device_day` and `flow_wide` take them."""
-    counts = [sinks.read_flow(spark, f"{setup.out}/flow-{grain}") for grain in GRAINS]
-    speeds = sinks.read_latest(spark, f"{setup.out}/speed", ["device_id", "minute"])
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]), speeds
+    path = f"{setup.out}/flow"
+    return flows.read_flow(spark, path), flows.read_running_mean(spark, path)

@@ -1,94 +1,63 @@
-"""Traffic flow over a stream."""
+"""Traffic flow over a stream, without state and without loss.
+
+A micro-batch stores what it adds, in a folder of its own that a replay overwrites:
+minute counts with sums of speed and length, and what its passes do to the running mean
+of their device-minute. Readers sum the counts and apply the means' steps in the order of
+the batches. So a pass counts however late it comes, and a device whose clock is ahead
+costs no other device anything.
+"""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from kerbside.operators.flow import GRAINS, RETENTION_SECONDS
-
-DEFAULT_LATENESS = f"{RETENTION_SECONDS} seconds"
-
-
-def flow_stream(
-    passes: DataFrame, grain: str, lateness: str | None = DEFAULT_LATENESS, day_starts: str = "0 seconds"
-) -> DataFrame:
-    """Running counts per device, type and bucket; run it in update mode.
-
-    A bucket is dropped from state once ``lateness`` has gone by after its end.
-    Passes that come later than that are left out and show up in the query's
-    dropped-row metric. ``lateness=None`` keeps every bucket, so nothing is ever
-    left out. ``day_starts`` shifts buckets for zones off UTC.
-    """
-    if grain not in GRAINS:
-        raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
-    timed = passes if lateness is None else passes.withWatermark("pass_ts", lateness)
-    slot = F.window("pass_ts", f"1 {grain}", startTime=day_starts).alias("slot")
-    counted = timed.groupBy("device_id", "vehicle_type", slot).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("device_id", "vehicle_type", F.col("slot.start").alias("bucket"), "n")
-
-
-def speed_stream(passes: DataFrame, lateness: str | None = DEFAULT_LATENESS) -> DataFrame:
-    """Running mean speed and length per device-minute; run it in update mode."""
-    timed = passes if lateness is None else passes.withWatermark("pass_ts", lateness)
-    return (
-        timed.groupBy("device_id", F.window("pass_ts", "1 minute").alias("slot"))
-        .agg(F.avg("speed").alias("speed"), F.avg("length").alias("length"))
-        .select("device_id", F.col("slot.start").alias("minute"), "speed", "length")
-    )
 
+from kerbside.operators import speed
+from kerbside.operators.flow import GRAINS, grains_of
+from kerbside.streaming import sinks
 
-def speed_fold_stream(passes: DataFrame, lateness: str | None = DEFAULT_LATENESS) -> DataFrame:
-    """The order-dependent running mean over a stream; run it in update mode.
+_USED = ("device_id", "vehicle_type", "pass_ts", "event_id", "speed", "length")
 
-    State is the two means of a device-minute. Passes of one micro-batch are
-    taken by (pass_ts, event_id), behind all earlier batches: a task holds the
-    numbers of a device-minute within one micro-batch, which the source's
-    ``max_per_trigger`` bounds. ``lateness`` drops the state of a minute once
-    that time has gone by after its end.
-    """
-    timed = passes if lateness is None else passes.withWatermark("pass_ts", lateness)
-    rows = timed.select(
-        "device_id", F.date_trunc("minute", "pass_ts").alias("minute"), "pass_ts", "event_id", "speed", "length"
-    )
-    expires = lateness is not None
-
-    def update(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = list(state.get) if state.exists else [None, None]
-        # Numbers alone: the key columns repeat in every row.
-        parts = [[b[c].to_numpy() for c in ("pass_ts", "event_id", "speed", "length")] for b in batches]
-        time, event, *measured = (np.concatenate(column) for column in zip(*parts))
-        order = np.lexsort((event, time))
-        means = [_running_mean(mean, values[order]) for mean, values in zip(held, measured)]
-        state.update((float(means[0]), float(means[1])))
-        if expires:
-            minute_end = int(pd.Timestamp(key[1]).timestamp() * 1000) + 60_000
-            state.setTimeoutTimestamp(max(minute_end, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({
-            "device_id": [key[0]], "minute": [key[1]], "speed": [means[0]], "length": [means[1]],
-        })
-
-    return rows.groupBy("device_id", "minute").applyInPandasWithState(
-        update,
-        "device_id string, minute timestamp, speed float, length float",
-        "speed float, length float",
-        "update",
-        GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout,
+
+def flow_sink(path: str) -> sinks.Batch:
+    """Adds the counts and running-mean steps of each batch to the tables below ``path``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.select(*_USED).persist()
+        try:
+            day = F.to_date("minute").alias("day")
+            sinks.write_batch(batch_counts(kept).select("*", day), batch_id, f"{path}/counts", ["day"])
+            sinks.write_batch(speed.run_maps(kept).select("*", day), batch_id, f"{path}/runs", ["day"])
+        finally:
+            kept.unpersist()
+
+    return write
+
+
+def batch_counts(passes: DataFrame) -> DataFrame:
+    """Per device, type and minute: passes, and the sums that a mean needs."""
+    sums = [
+        column for m in ("speed", "length")
+        for column in (F.count(m).alias(f"{m}_n"), F.sum(F.col(m).cast("double")).alias(f"{m}_sum"))
+    ]
+    minute = F.date_trunc("minute", "pass_ts").alias("minute")
+    return passes.groupBy("device_id", "vehicle_type", minute).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def read_flow(spark: SparkSession, path: str, *grains: str) -> DataFrame:
+    """Long counts of the asked grains (all by default), as `device_day` and `flow_wide` take them."""
+    minutes = sinks.read_batches(spark, f"{path}/counts").groupBy("device_id", "vehicle_type", "minute").agg(
+        F.sum("n").alias("n")
     )
+    return grains_of(minutes.withColumnRenamed("minute", "bucket"), grains or GRAINS)
+
+
+def read_speed_length(spark: SparkSession, path: str) -> DataFrame:
+    """Mean speed and length per device-minute."""
+    means = [(F.sum(f"{m}_sum") / F.sum(f"{m}_n")).alias(m) for m in ("speed", "length")]
+    return sinks.read_batches(spark, f"{path}/counts").groupBy("device_id", "minute").agg(*means)
 
 
-def _running_mean(mean: float | None, values: np.ndarray) -> np.float32:
-    """The float steps of `halving_mean`, one value after another."""
-    f32 = np.float32
-    held = values[0] if mean is None else f32(mean)
-    for value in values[1:] if mean is None else values:
-        scaled = f32(f32(f32(held + value) / f32(2)) * f32(100))
-        ticks = 0 if np.isnan(scaled) else int(min(max(float(scaled), -2147483648.0), 2147483647.0))
-        held = f32(f32(ticks) / f32(100))
-    return held
+def read_running_mean(spark: SparkSession, path: str) -> DataFrame:
+    """The order-dependent running mean per device-minute, batches following one another."""
+    return speed.apply_maps(sinks.read_batches(spark, f"{path}/runs"), sinks.BATCH, "at")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from kerbside.functions.timing import time_text
 from kerbside.operators import limits, watch
 from kerbside.operators.lookup import Join, plain_join, size_up
 from kerbside.sources import decode
@@ -39,25 +41,24 @@ def start(df: DataFrame, sink: Batch, cfg: JobConfig) -> StreamingQuery:
     return writer.trigger(processingTime=cfg.trigger).start()
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Passes that came too late for their bucket, over the query's recent progress."""
-    operators = [op for progress in query.recentProgress for op in progress["stateOperators"]]
-    return sum(op["numRowsDroppedByWatermark"] for op in operators)
-
-
 def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int, DataFrame, Join], None],
                  version: Callable[[], object] | None = None) -> Batch:
     """Batch function that hands ``work`` a current reference table and the join for its size.
 
-    The table is loaded for every micro-batch, or only when ``version()``
-    changes. It replaces the old one, so deleted rows stop matching.
+    The table is loaded when ``version()`` changes, or for every micro-batch without it. What
+    is loaded is held, so that it is read once and measured as it will be used. It
+    replaces the old one, so deleted rows stop matching.
     """
     held: dict = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         now = version() if version else batch_id
         if not held or held["version"] != now:
-            held.update(version=now, sized=size_up(load()))
+            table = load().persist()
+            sized = size_up(table)
+            if held:
+                held["table"].unpersist()
+            held.update(version=now, table=table, sized=sized)
         table, join = held["sized"]
         if join is plain_join:
             work(batch, batch_id, table, join)
@@ -72,20 +73,33 @@ def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int,
     return run
 
 
+def every(seconds: float) -> Callable[[], object]:
+    """A version that changes once in that time at most, when a batch asks for it."""
+    state = {"at": float("-inf"), "n": 0}
+
+    def version() -> int:
+        if time.monotonic() - state["at"] >= seconds:
+            state.update(at=time.monotonic(), n=state["n"] + 1)
+        return state["n"]
+
+    return version
+
+
 def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
                 send: Callable[[DataFrame, int], None] | None = None,
-                version: Callable[[], object] | None = None) -> Batch:
-    """Watchlist hits of each batch into the alarm table, and to ``send`` as messages."""
+                version: Callable[[], object] | None = None, wire: str = "json") -> Batch:
+    """Watchlist hits of each batch into the alarm table, and to ``send`` as messages.
+
+    Alerts that make no message go to the table ``{path}-rejects``.
+    """
 
     def work(batch: DataFrame, batch_id: int, watchlist: DataFrame, join: Join) -> None:
-        alerts = watch.watchlist_alerts(batch, watchlist, join)
-        if send is None:
-            sinks.write_batch(watch.alarm_table(alerts), batch_id, path)
-            return
-        kept = alerts.persist()
+        kept = watch.watchlist_alerts(batch, watchlist, join).persist()
         try:
-            sinks.write_batch(watch.alarm_table(kept), batch_id, path)
-            send(watch.alarm_messages(kept), batch_id)
+            sinks.write_by_day(watch.alarm_table(kept), batch_id, path, "GCSJ")
+            sinks.write_some(watch.alarm_rejects(kept), batch_id, f"{path}-rejects")
+            if send is not None:
+                send(watch.alarm_messages(kept, wire), batch_id)
         finally:
             kept.unpersist()
 
@@ -94,10 +108,22 @@ def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
 
 def overspeed_sink(load_gates: Callable[[], DataFrame], path: str,
                    version: Callable[[], object] | None = None) -> Batch:
-    """Violations of each batch into the violation table."""
+    """Violations of each batch into the violation table.
+
+    Beside it go the passes at unknown gates, those whose gate gives no usable limit, and the
+    batch's counters, into ``{path}-unknown-gates``, ``-unusable-limits`` and ``-counters``.
+    """
 
     def work(batch: DataFrame, batch_id: int, gates: DataFrame, join: Join) -> None:
-        sinks.write_batch(limits.overspeed(batch, gates, join), batch_id, path)
+        used = batch.select(*limits.USED, time_text(batch).alias("WFSJ"))
+        kept = limits.with_limit(used, gates, "left", join).persist()
+        try:
+            sinks.write_by_day(limits.violations(kept), batch_id, path, "WFSJ")
+            sinks.write_some(kept.filter("not known").drop("speedlimit", "limit", "known"), batch_id, f"{path}-unknown-gates")
+            sinks.write_some(limits.unusable(kept).drop("limit", "known"), batch_id, f"{path}-unusable-limits")
+            sinks.write_batch(kept.agg(*limits.counters()), batch_id, f"{path}-counters")
+        finally:
+            kept.unpersist()
 
     return with_refresh(load_gates, work, version)
 
@@ -117,7 +143,7 @@ def decoded_sink(sink: Batch, quarantine_path: str, payload: str = "payload", wi
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = decode.check_payloads(batch, payload, wire).persist()
         try:
-            sinks.write_batch(decode.quarantined(kept, payload), batch_id, quarantine_path)
+            sinks.write_some(decode.quarantined(kept, payload), batch_id, quarantine_path)
             sink(decode.valid_passes(kept, payload, arrival, lenient_time), batch_id)
         finally:
             kept.unpersist()

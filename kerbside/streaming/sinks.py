@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from kerbside.operators import archive
 
 BATCH = "batch_id"
-FLOW_KEY = ("device_id", "grain", "bucket", "vehicle_type")
+DAY = "day"
+
+Batch = Callable[[DataFrame, int], None]
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -25,6 +27,24 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: Sequen
     batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def write_by_day(batch: DataFrame, batch_id: int, path: str, time: str) -> None:
+    """The same, in folders by the day of a time column or text; rows without a day have a folder of their own."""
+    day = F.try_to_timestamp(F.substring(F.col(time).cast("string"), 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    write_batch(batch.withColumn(DAY, day), batch_id, path, [DAY])
+
+
+def write_some(batch: DataFrame, batch_id: int, path: str) -> None:
+    """The same for what is mostly empty: a batch without rows leaves no folder."""
+    if not batch.isEmpty():
+        write_batch(batch, batch_id, path)
+
+
+def read_days(spark: SparkSession, path: str, time: str, start: str, end: str) -> DataFrame:
+    """Rows whose time text lies between two, both included; only folders of those days are read."""
+    days = F.col(DAY).between(F.to_date(F.lit(start[:10])), F.to_date(F.lit(end[:10])))
+    return read_batches(spark, path).filter(days & F.col(time).between(start, end))
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
@@ -36,7 +56,7 @@ def read_latest(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame
 
 def newest(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key; two rows of one key in one batch are settled by their content."""
-    rest = [c for c in rows.columns if c not in (*key, BATCH)]
+    rest = [c for c in rows.columns if c not in (*key, BATCH, DAY)]
     kept = rows.groupBy(*key).agg(F.max(F.struct(BATCH, *rest)).alias("row"))
     return kept.select(*key, *[F.col(f"row.{c}").alias(c) for c in rest])
 
@@ -51,25 +71,7 @@ def compact(spark: SparkSession, path: str, target: str, key: Sequence[str], las
     write_batch(newest(rows, key), last_batch, target)
 
 
-def flow_sink(path: str, grain: str) -> Callable[[DataFrame, int], None]:
-    """Upsert of changed counts; cells that are not in the batch survive."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.withColumn("grain", F.lit(grain)), batch_id, path)
-
-    return write
-
-
-def read_flow(spark: SparkSession, path: str) -> DataFrame:
-    """Long counts, as `device_day` and `flow_wide` take them.
-
-    A batch has one row per key, so plain numbers decide, which a hash aggregate can do.
-    """
-    counted = read_batches(spark, path).groupBy(*FLOW_KEY).agg(F.max_by("n", BATCH).alias("n"))
-    return counted.select("device_id", "grain", "bucket", "vehicle_type", "n")
-
-
-def table_sink(path: str) -> Callable[[DataFrame, int], None]:
+def table_sink(path: str) -> Batch:
     """Upsert on ``row_key``: the alarm and the violation table."""
     return lambda batch, batch_id: write_batch(batch, batch_id, path)
 
@@ -78,6 +80,9 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return read_latest(spark, path, ["row_key"])
 
 
+# Outputs that are searched by time, and the column that has it.
+TIMED = {"meta": "Time", "index": "Time"}
+
 ARCHIVE: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "meta": archive.traffic_meta,
     "image": archive.traffic_image,
@@ -102,7 +107,11 @@ def fan_out(
     kept = batch.persist()
     try:
         for name, project in outputs.items():
-            write_batch(project(kept), batch_id, f"{path}/{name}")
+            out = project(kept)
+            if TIMED.get(name) in out.columns:
+                write_by_day(out, batch_id, f"{path}/{name}", TIMED[name])
+            else:
+                write_batch(out, batch_id, f"{path}/{name}")
     finally:
         kept.unpersist()
 

@@ -310,3 +310,16 @@ def test_payload_is_parsed_once(spark):
     df = spark.createDataFrame([(GOOD,)], "payload string")
     plan = decode.decode_passes(df)[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_repeated_gates_count_once(spark):
+    gates = spark.createDataFrame([(1, "60"), (1, "50"), (2, "70")], "id int, speedlimit string")
+    assert sorted(map(tuple, snapshots.load_gates(gates).collect())) == [("1", "60"), ("2", "70")]
+
+
+def test_live_flow_reads_the_passes_once(spark, sf_dir):
+    from kerbside.operators.flow import flow_live_asof
+    from kerbside.plans import inputs
+
+    live = flow_live_asof(inputs.passes(spark, sf_dir), "2024-01-02 12:00:30")
+    assert live._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -61,7 +61,7 @@ def test_pieces_alone_give_the_same_answer(spark):
     data = groups()
     rows = S._by_minute(frame(spark, data))
     for piece in (50, 130, 1000):
-        got = {r.device_id: r.speed for r in S._fold_in_pieces(rows, piece).collect()}
+        got = {r.device_id: r.speed for r in S.apply_maps(S._run_maps(rows, piece), "at").collect()}
         for device, values in data.items():
             assert np.float32(got[device]) == running_mean(values), (device, piece)
 
@@ -82,3 +82,17 @@ def test_null_stays_null(spark):
 def test_mean(spark):
     got = S.speed_length(frame(spark, {"a": [1.0, 2.0, 6.0]})).first()
     assert got.speed == 3.0
+
+
+def test_untied_rows_are_exchanged_once(spark, sf_dir):
+    from kerbside.plans import inputs
+
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        folded = S.speed_length_fold(inputs.passes(spark, sf_dir))
+        plan = folded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    # The folded tails are read from the checkpoint; no device-minute is tied, so the passes are not read again.
+    assert "Exchange" not in plan and "FileScan" not in plan
