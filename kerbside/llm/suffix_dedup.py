@@ -7,7 +7,8 @@ group of the anchor's hash. Consecutive windows with one anchor are one context.
 contexts are counted before any bytes are moved; where an anchor has several different
 contexts, a suffix array over these gives, by previous and next smaller positions in suffix
 order, the longest factor that also starts earlier (and, mirrored, later) for each window.
-Anchors with very many different contexts are split further, to single windows, which are counted.
+Anchors with very many different contexts are split further, to blocks of windows and where
+needed to single ones, which are counted.
 
 Removed are all copies, or all but the first one by key and place (``keep_first``).
 
@@ -30,8 +31,10 @@ from kerbside.llm.texts import keyed, mixed
 LENGTH, GRAM = 400, 16
 #: Windows of a text worked on at once.
 PIECE_WINDOWS = 1 << 20
-#: Different contexts of an anchor above which it is split to single windows.
+#: Different contexts of an anchor above which it is split.
 SPLIT = 512
+#: Windows of a block when an anchor is split.
+BLOCK = 16
 #: Bytes of contexts in one suffix array.
 ARRAY_BYTES = 1 << 20
 
@@ -225,16 +228,73 @@ def match_contexts(batches):
         yield flush()
 
 
-def single_windows(batches):
-    """One row a window of a context, with a hash of its bytes."""
+BLOCK_ROWS = "anchor long, context long, key {kind}, start long, block long, core long, whole long, low long, high long, piece binary"
+
+
+def send_blocks(batches):
+    """Rows (anchor, context, bytes, key, start) as blocks of windows of like distance to the anchor.
+
+    All windows of a block hold its core; ``whole`` is all that the block's own windows cover. The bytes of
+    the latter go along.
+    """
     for batch in batches:
-        for anchor, context, piece in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            view, n = memoryview(piece), len(piece) - LENGTH + 1
-            hashes = [xxhash.xxh3_64_intdigest(view[i:i + LENGTH]) - (1 << 63) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([anchor] * n, pa.int64()), pa.array([context] * n, pa.int64()), pa.array(range(n), pa.int64()),
-                pa.array(hashes, pa.int64()),
-            ], names=["anchor", "context", "place", "window"])
+        out = {name: [] for name in ("anchor", "context", "key", "start", "block", "core", "whole", "low", "high", "piece")}
+        for anchor, context, piece, key, start in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            last = len(piece) - LENGTH
+            at = int(rightmost_smallest(gram_hashes(np.frombuffer(piece[:LENGTH], np.uint8)), LENGTH - GRAM + 1)[0])
+            for block in range(max(0, at - last) // BLOCK, at // BLOCK + 1):
+                highest = at - BLOCK * block
+                low, high = max(0, highest - BLOCK + 1), min(last, highest)
+                core = piece[highest:highest - BLOCK + 1 + LENGTH]
+                own = piece[low:high + LENGTH]
+                for name, value in zip(out, (
+                    anchor, context, key, start, block, xxhash.xxh3_64_intdigest(core) - (1 << 63),
+                    xxhash.xxh3_64_intdigest(own, seed=at - low) - (1 << 63), low, high, own,
+                ), strict=True):
+                    out[name].append(value)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(v, {"key": batch.schema.field(3).type, "piece": pa.binary()}.get(name, pa.int64())) for name, v in out.items()
+        ], names=list(out))
+
+
+def send_windows(batches):
+    """Block rows (anchor, context, key, start, low, bytes) as single windows, with a hash of each."""
+    for batch in batches:
+        out = {name: [] for name in ("anchor", "context", "key", "start", "place", "window")}
+        for anchor, context, key, start, low, piece in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            view = memoryview(piece)
+            for i in range(len(piece) - LENGTH + 1):
+                for name, value in zip(out, (anchor, context, key, start, low + i, xxhash.xxh3_64_intdigest(view[i:i + LENGTH]) - (1 << 63)), strict=True):
+                    out[name].append(value)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(v, batch.schema.field(2).type if name == "key" else pa.int64()) for name, v in out.items()
+        ], names=list(out))
+
+
+def split_ranges(many: DataFrame, kind: str, keep_first: bool) -> DataFrame:
+    """(anchor, context, low, high) of contexts whose anchor has very many different ones, without holding an anchor whole.
+
+    Blocks that are equal as a whole are counted; only where blocks share their core but
+    differ around it are single windows counted, with one block for each whole.
+    """
+    blocks = many.select("anchor", "context", "piece", "key", "start").mapInArrow(send_blocks, BLOCK_ROWS.format(kind=kind))
+    core, whole = ["anchor", "block", "core"], ["anchor", "block", "core", "whole"]
+    counted = stored(blocks.withColumns({
+        "n_core": F.count("*").over(Window.partitionBy(*core)), "n_whole": F.count("*").over(Window.partitionBy(*whole)),
+        "copy": F.row_number().over(Window.partitionBy(*whole).orderBy("key", "start")),
+    }).where("n_core > 1"), "blocks")
+    equal = counted.where("copy > 1" if keep_first else "n_whole > 1").select(
+        "anchor", "context", "low", (F.col("high") + LENGTH).alias("high")
+    )
+    windows = counted.where("copy = 1 and n_core > n_whole").select("anchor", "context", "key", "start", "low", "piece").mapInArrow(
+        send_windows, f"anchor long, context long, key {kind}, start long, place long, window long"
+    )
+    same = Window.partitionBy("anchor", "window")
+    found = windows.select(
+        "anchor", "context", "place", F.count("*").over(same).alias("n"),
+        F.row_number().over(same.orderBy("key", "start", "place")).alias("copy"),
+    ).where("copy > 1" if keep_first else "n > 1")
+    return equal.unionByName(found.select("anchor", "context", F.col("place").alias("low"), (F.col("place") + LENGTH).alias("high")))
 
 
 def repeated_ranges(docs: DataFrame, kind: str, keep_first: bool) -> DataFrame:
@@ -258,17 +318,7 @@ def repeated_ranges(docs: DataFrame, kind: str, keep_first: bool) -> DataFrame:
         "anchor", "context", "piece"
     ).mapInArrow(match_contexts, RANGES)
     many = pieces.where(f"different > {SPLIT}").dropDuplicates(["anchor", "context"])
-    windows = many.select("anchor", "context", "piece").mapInArrow(
-        single_windows, "anchor long, context long, place long, window long"
-    ).join(many.select("context", F.col("anchor").alias("at"), "key", "start"), ["context"]).where("at = anchor")
-    same = Window.partitionBy("anchor", "window")
-    counted_windows = windows.select(
-        "anchor", "context", "place", F.count("*").over(same).alias("n"),
-        (F.row_number().over(same.orderBy("key", "start", "place")) > 1).alias("later"),
-    ).where("n > 1")
-    split = counted_windows.where("later" if keep_first else "true").select(
-        "anchor", "context", F.col("place").alias("low"), (F.col("place") + LENGTH).alias("high")
-    )
+    split = split_ranges(many, kind, keep_first)
     ranges = few.where("later" if keep_first else "not later").drop("later").unionByName(split)
     # What holds for a context holds for each of its occurrences.
     whole = groups.where("n > 1").select("anchor", "context", F.col("first.key").alias("k"), F.col("first.start").alias("s"))
