@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from kerbside.operators.archive import INDEX, META
 from kerbside.plans import inputs
 from kerbside.plans.queries import ARRIVAL, AS_OF, RANGE
 
@@ -109,11 +108,50 @@ def _newest(view: str, columns: list[str]) -> str:
     )
 
 
-def _archive(names) -> str:
-    return ", ".join(
-        f"{TIME} as Time" if META[n] is None else f"cast({META[n]} as varchar) as {n}" for n in names
-    )
-
+# Stored columns, written out so that a wrong mapping in the library shows. The stored names.
+META_COLUMNS = f"""
+      cast(device_id as varchar) as SBBH,
+      cast(drive_chan as varchar) as DriveChan,
+      {TIME} as Time,
+      cast(alarm_type as varchar) as AlarmDataType,
+      cast(copilot_safebelt as varchar) as CopilotSafebelt,
+      cast(copilot_sub_visor as varchar) as CopilotSubVisor,
+      cast(detect_type as varchar) as DetectType,
+      cast(dir as varchar) as Dir,
+      cast(illegal_type as varchar) as IllegalType,
+      cast(illegal_sub_type as varchar) as IllegalSubType,
+      cast(site_id as varchar) as MonitoringSiteID,
+      cast(pic_num as varchar) as PicNum,
+      cast(pilot_safebelt as varchar) as PilotSafebelt,
+      cast(pilot_sub_visor as varchar) as PilotSubVisor,
+      cast(speed_limit as varchar) as SpeedLimit,
+      cast(chan_index as varchar) as Vehicle_ChanIndex,
+      cast(vehicle_color as varchar) as Vehicle_Color,
+      cast(color_depth as varchar) as Vehicle_Depth,
+      cast(length as varchar) as Vehicle_Length,
+      cast(speed as varchar) as Vehicle_Speed,
+      cast(vehicle_attribute as varchar) as Vehicle_Attribute,
+      cast(vehicle_logo as varchar) as Vehicle_VehicleLogoRecog,
+      cast(vehicle_type as varchar) as Vehicle_Type,
+      cast(plate_believe as varchar) as Plate_Believe,
+      cast(plate_bright as varchar) as Plate_Bright,
+      cast(plate_color as varchar) as Plate_Color,
+      cast(plate_country as varchar) as Plate_Country,
+      cast(plate as varchar) as Plate_License,
+      cast(plate_type as varchar) as Plate_PlateType"""
+INDEX_COLUMNS = f"""
+      cast(device_id as varchar) as SBBH,
+      cast(drive_chan as varchar) as DriveChan,
+      cast(dir as varchar) as Dir,
+      cast(vehicle_color as varchar) as Vehicle_Color,
+      cast(chan_index as varchar) as Vehicle_ChanIndex,
+      cast(vehicle_type as varchar) as Vehicle_Type,
+      cast(illegal_type as varchar) as IllegalType,
+      cast(speed as varchar) as Vehicle_Speed,
+      cast(plate as varchar) as Plate_License,
+      cast(plate_type as varchar) as Plate_PlateType,
+      cast(plate_color as varchar) as Plate_Color,
+      {TIME} as Time"""
 
 ALARM = ["BKXXBH", "BKJB", "BKLX", "HPYS", "HPZL", "CLPP1", "CSYS", "CLLX", "CLXXBH", "KKBH", "GCSJ", "CLSD", "BJBH"]
 VIOLATION = [
@@ -210,8 +248,8 @@ BODIES: dict[str, str] = {
     "dim_attributes": """
         select event_id, task_id, key, json_extract_string(doc, '$.' || key) as value
         from (select event_id, task_id, doc, unnest(json_keys(doc)) as key from passes join task using (task_id))""",
-    "traffic_meta": f"select row_key, {_archive(META)} from archived",
-    "traffic_index": f"select {_archive(INDEX)}, row_key as RowKey from archived",
+    "traffic_meta": f"select row_key, {META_COLUMNS} from archived",
+    "traffic_index": f"select {INDEX_COLUMNS}, row_key as RowKey from archived",
     "traffic_image": """
         select row_key, event_id || '_' || (event_id % 3) as Data, cast(event_id % 3 + 10 as varchar) as RecogMode,
           cast(event_id % 3 * 5 as varchar) as RedLightTime

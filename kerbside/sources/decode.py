@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from kerbside.functions.timing import parse_event_time
 from kerbside.sources.messages import MESSAGES, OPTIONAL, PASS_MESSAGE, REPEATED, spark_schema
-from kerbside.sources.wire import has_spark_protobuf, parse, wire_to_json
+from kerbside.sources.wire import has_spark_protobuf, only_local, parse, wire_to_json
 
 _BROKEN, _SOUND = "_broken", "_sound"
 
@@ -106,6 +106,8 @@ def read_payload(df: DataFrame, payload: str, wire: str) -> DataFrame:
         raise ValueError(f"wire must be json or protobuf, not {wire!r}")
     if wire == "protobuf" and has_spark_protobuf(df.sparkSession):
         return _evaluated_once(df, parse(F.col(payload), PASS_MESSAGE)).withColumn(_BROKEN, F.col("m").isNull())
+    if wire == "protobuf":
+        only_local(df.sparkSession)
     text = F.col(payload).cast("string") if wire == "json" else wire_to_json(F.col(payload), PASS_MESSAGE)
     schema = T.StructType(spark_schema(PASS_MESSAGE).fields + [T.StructField(_BROKEN, T.StringType())])
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})

@@ -125,8 +125,12 @@ def spark_schema(message: str) -> T.StructType:
     return struct
 
 
-def descriptor_set() -> bytes:
-    """Serialized file descriptor set of the messages, for Spark's protobuf functions."""
+def descriptor_set(reading: bool = False) -> bytes:
+    """Serialized file descriptor set of the messages, for Spark's protobuf functions.
+
+    For ``reading`` no field is required, so that a message that lacks one is parsed and
+    the check for required fields names it, instead of being no message at all.
+    """
     from google.protobuf import descriptor_pb2 as pb
 
     kinds = pb.FieldDescriptorProto
@@ -135,7 +139,7 @@ def descriptor_set() -> bytes:
         "float": kinds.TYPE_FLOAT, "bytes": kinds.TYPE_BYTES,
     }
     labels = {
-        REQUIRED: kinds.LABEL_REQUIRED, OPTIONAL: kinds.LABEL_OPTIONAL, REPEATED: kinds.LABEL_REPEATED,
+        REQUIRED: kinds.LABEL_OPTIONAL if reading else kinds.LABEL_REQUIRED, OPTIONAL: kinds.LABEL_OPTIONAL, REPEATED: kinds.LABEL_REPEATED,
     }
     file = pb.FileDescriptorProto(name="kerbside.proto", package="protocol", syntax="proto2")
     for name, fields in MESSAGES.items():

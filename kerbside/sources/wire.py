@@ -29,7 +29,7 @@ def parse(payload: Column, message: str) -> Column:
     from pyspark.sql.protobuf.functions import from_protobuf
 
     return from_protobuf(
-        payload, f"protocol.{message}", options={"mode": "PERMISSIVE"}, binaryDescriptorSet=descriptor_set()
+        payload, f"protocol.{message}", options={"mode": "PERMISSIVE"}, binaryDescriptorSet=descriptor_set(reading=True)
     )
 
 
@@ -39,15 +39,22 @@ def serialize(struct: Column, message: str, spark: SparkSession) -> Column:
         from pyspark.sql.protobuf.functions import to_protobuf
 
         return to_protobuf(struct, f"protocol.{message}", binaryDescriptorSet=descriptor_set())
+    only_local(spark)
     return json_to_wire(F.to_json(struct), message)
 
 
+def only_local(spark: SparkSession) -> None:
+    """The Python fallback is for a local master; a cluster is to have the package."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("protobuf on a cluster needs Spark's spark-protobuf package on the class path")
+
+
 def wire_to_json(payload: Column, message: str) -> Column:
     """JSON text of wire bytes, null where they are no message.
 
     A field that is absent stays absent, so that a check for required fields sees it.
     """
-    descriptors = descriptor_set()
+    descriptors = descriptor_set(reading=True)
 
     @F.pandas_udf("string")
     def convert(payloads: pd.Series) -> pd.Series:
