@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.maps import merge_maps
-from kerbside.operators.lookup import lookup_join
+from kerbside.operators.lookup import Join, lookup_join
 
 # Columns of the detail table that a lookup returns.
 DETAIL_COLUMNS = (
@@ -37,10 +37,12 @@ def enrich_result(hits: DataFrame, result: DataFrame, task: DataFrame) -> DataFr
     return joined.select(*hits.columns, merged)
 
 
-def enrich_dims(hits: DataFrame, task: DataFrame, camera: DataFrame, data_source: DataFrame) -> DataFrame:
+def enrich_dims(
+    hits: DataFrame, task: DataFrame, camera: DataFrame, data_source: DataFrame, join: Join = lookup_join
+) -> DataFrame:
     """Hits with ``task`` (its attributes alone) and ``merged``: task, camera, then data source."""
     joined = hits
     for dim, key in ((task, "task_id"), (camera, "camera_id"), (data_source, "data_source_id")):
-        joined = lookup_join(joined, dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left", hits)
+        joined = join(joined, dim.select(key, F.col("attrs").alias(f"_{key}")), key, "left", hits)
     merged = merge_maps(F.col("_task_id"), F.col("_camera_id"), F.col("_data_source_id"))
     return joined.select(*hits.columns, F.col("_task_id").alias("task"), merged.alias("merged"))

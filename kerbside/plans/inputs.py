@@ -89,6 +89,11 @@ VIEWS = {
     # Device-minutes of several hundred passes; device 1 has one speed, so that its fold never forgets its start.
     "passes_long": "select event_id, device_id, vehicle_type, length, {LONG} as pass_ts, "
                    "case when device_id = '1' then cast(50 as float) else speed end as speed from passes",
+    # Ids into orders, customer and supplier; one order has a third of all passes.
+    "hits_large": "select event_id, case when event_id % 3 = 0 then 'T1' "
+                  "else concat('T', cast(event_id % 20000 as {STR})) end as task_id, "
+                  "concat('C', cast(event_id % 2000 as {STR})) as camera_id, "
+                  "concat('D', cast(event_id % 150 as {STR})) as data_source_id from passes",
     # The clock of device 0 runs a day ahead in the first of four files, and files are in no time order.
     "passes_late": "select event_id, device_id, vehicle_type, speed, length, "
                    "case when device_id = '0' and event_id % 4 = 0 then pass_ts + interval '1' day else pass_ts end as pass_ts "
@@ -121,6 +126,19 @@ for _view, _prefix, _label in (("task", "T", "task"), ("camera", "C", "camera"),
     )
 
 
+# Keyed JSON made of large tables: (table, id, attribute, attribute).
+LARGE = {
+    "task": ("orders", "o_orderkey", "o_orderpriority", "o_orderstatus"),
+    "camera": ("customer", "c_custkey", "c_name", "c_mktsegment"),
+    "data_source": ("supplier", "s_suppkey", "s_name", "s_suppkey"),
+}
+for _view, (_table, _id, _name, _other) in LARGE.items():
+    VIEWS[f"{_view}_large"] = (
+        f"select concat('{_view[0].upper()}', cast({_id} as {{STR}})) as {_view}_id, "
+        f"concat('{{{{\"name\":\"', {_name}, '\",\"{_view}_kind\":\"', cast({_other} as {{STR}}), '\"}}}}') as doc from {_table}"
+    )
+
+
 def view_sql(name: str, dialect: dict[str, str]) -> str:
     return VIEWS[name].format(**dialect)
 
@@ -170,6 +188,13 @@ def with_pics(df: DataFrame) -> DataFrame:
     return df.withColumn("pics", pic)
 
 
+def large_dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A keyed-JSON dimension out of one of the given tables."""
+    table = LARGE[name][0]
+    sql = view_sql(f"{name}_large", SPARK).replace(f"from {table}", "from {rows}")
+    return spark.sql(sql.replace("'{\"", "'{{\"").replace("\"}'", "\"}}'"), rows=spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
 def derived(spark: SparkSession, name: str, base: DataFrame | None = None) -> DataFrame:
     """A view of ``VIEWS`` as a DataFrame; ``base`` stands for ``passes``."""
     sql = view_sql(name, SPARK)

@@ -174,6 +174,9 @@ _DIMS = """
         union all select event_id, 3, doc from plates join data_source using (data_source_id))))
     group by all"""
 
+_DIMS_LARGE = _DIMS.replace("plates join task ", "hits_large join task_large ").replace(
+    "plates join camera ", "hits_large join camera_large ").replace("plates join data_source ", "hits_large join data_source_large ")
+
 BODIES: dict[str, str] = {
     "flow_minute": _flow("minute"),
     "flow_hour": _flow("hour"),
@@ -240,6 +243,7 @@ BODIES: dict[str, str] = {
         select event_id, task_id, key, json_extract_string(doc, '$.' || key)
         from (select event_id, task_id, doc, unnest(json_keys(doc)) as key from hits join task using (task_id))""",
     "enrich_dims": f"select event_id, key, value from ({_DIMS})",
+    "enrich_dims_large": f"select event_id, key, value from ({_DIMS_LARGE})",
     "enrich_dims_task": f"""
         select p.event_id, any_value(json_extract_string(t.doc, '$.name')) as task_name,
           cast(count(d.key) as int) as attributes

@@ -12,6 +12,7 @@ from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
 from kerbside.operators import archive, device_day, enrich, flow, limits, paging, search, speed, watch
+from kerbside.operators.lookup import salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
 from kerbside.sources import decode, snapshots
@@ -269,6 +270,15 @@ def enrich_dims(spark, sf_dir):
     return map_rows(found.drop("task", "task_id", "camera_id", "data_source_id"), "merged")
 
 
+@query
+def enrich_dims_large(spark, sf_dir):
+    """All passes with attributes out of orders, customer and supplier, by the join for large tables."""
+    hits = inputs.derived(spark, "hits_large", inputs.passes(spark, sf_dir))
+    dims = [snapshots.load_dim(inputs.large_dim(spark, sf_dir, d), f"{d}_id") for d in inputs.LARGE]
+    found = enrich.enrich_dims(hits, *dims, join=salted_join)
+    return map_rows(found.select("event_id", "merged"), "merged")
+
+
 @query
 def enrich_dims_task(spark, sf_dir):
     """The task's own attributes beside the merged ones; no match gives null."""
