@@ -31,8 +31,8 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space beside a space, and the white space beyond ASCII: texts with either are cut with more care.
 BESIDE = [pair for c in "\t\n\v\f\r" for pair in (c + " ", " " + c)] + ["  "]
 RARE_SPACE = [c for c in map(chr, range(128, 0x3001)) if regex.match(f"[{SPACE}]", c)]
-#: Entries of the per-task table of text pieces, and characters up to which a piece enters it.
-PIECES, PIECE_CHARS = 400_000, 32
+#: Entries of the per-task tables of text pieces (about 250 MB), of pre-tokens and pairs, and characters up to which one enters.
+PIECES, TOKENS, PIECE_CHARS = 1_000_000, 400_000, 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -89,7 +89,9 @@ class Vocabulary:
         self.hash = PerfectHash(tokens)
         self.keys = [tokens[i] for i in self.hash.slots]
         self.ranks = [ranks[k] for k in self.keys]
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
         self.pairs: dict[int, int] = {}
 
@@ -103,32 +105,44 @@ class Vocabulary:
         return [whole] if whole is not None else self.merged(piece)
 
     def merged(self, piece: bytes) -> list[int]:
-        n, pair = len(piece), self.pair
+        n, pair, known = len(piece), self.pair, self.pairs.get
         ids = [self.byte_ids[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n))
+        # Rank of each piece with the one after it now, -1 for none.
+        joined = []
+        for left, right in zip(ids, ids[1:]):
+            rank = known(left << 32 | right)
+            joined.append(pair(left, right) if rank is None else rank)
+        joined.append(-1)
         # Heap entries are rank * n + place, so equal ranks merge leftmost first.
-        heap = [rank * n + i for i in range(n - 1) if (rank := pair(ids[i], ids[i + 1])) >= 0]
+        heap = [rank * n + place for place, rank in enumerate(joined) if rank >= 0]
         heapq.heapify(heap)
         while heap:
             rank, left = divmod(heapq.heappop(heap), n)
-            right = after[left]
-            if right >= n or ids[left] < 0 or pair(ids[left], ids[right]) != rank:
+            if joined[left] != rank:
                 continue  # one of the two has been merged otherwise since
-            ids[left], ids[right] = rank, -1
-            after[left] = beyond = after[right]
+            right = after[left]
+            beyond, ahead = after[right], before[left]
+            ids[left], ids[right], joined[left], joined[right] = rank, -1, -1, -1
+            after[left] = beyond
             if beyond < n:
                 before[beyond] = left
-                if (next_rank := pair(rank, ids[beyond])) >= 0:
-                    heapq.heappush(heap, next_rank * n + left)
-            if (ahead := before[left]) >= 0 and (next_rank := pair(ids[ahead], rank)) >= 0:
-                heapq.heappush(heap, next_rank * n + ahead)
+                new = known(rank << 32 | ids[beyond])
+                joined[left] = new = pair(rank, ids[beyond]) if new is None else new
+                if new >= 0:
+                    heapq.heappush(heap, new * n + left)
+            if ahead >= 0:
+                new = known(ids[ahead] << 32 | rank)
+                joined[ahead] = new = pair(ids[ahead], rank) if new is None else new
+                if new >= 0:
+                    heapq.heappush(heap, new * n + ahead)
         return [i for i in ids if i >= 0]
 
     def pair(self, left: int, right: int) -> int:
         """Rank of two joined tokens, or -1."""
         known = self.pairs.get(left << 32 | right)
         if known is None:
-            if len(self.pairs) >= PIECES:
+            if len(self.pairs) >= TOKENS:
                 self.pairs.clear()
             rank = self.rank(self.bytes_of[left] + self.bytes_of[right])
             self.pairs[left << 32 | right] = known = -1 if rank is None else rank
@@ -152,7 +166,7 @@ class Encoder:
             if (got := self.tokens.get(token)) is None:
                 got = self.vocabulary.encode_piece(token.encode("utf-8", "surrogatepass"))
                 if len(token) <= PIECE_CHARS:
-                    if len(self.tokens) >= PIECES:
+                    if len(self.tokens) >= TOKENS:
                         self.tokens.clear()
                     self.tokens[token] = got
             ids += got
@@ -236,7 +250,7 @@ def round_trip(
 
     def work(block):
         own = encoder(path, pattern)
-        names = {i: str(i) for i in own.vocabulary.bytes_of}
+        names = [str(i) for i in range(len(own.vocabulary.bytes_of))]
         out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "same": []}
         for t in block[1]:
             ids = own.encode(t)
