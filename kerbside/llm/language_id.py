@@ -189,14 +189,14 @@ class WordScores:
 
 
 def labelled_sample(labelled: DataFrame, text: str, lang: str, seed: int = 0) -> list[tuple[str, str]]:
-    """About ``ROWS_A_LANGUAGE`` beginnings of texts a language, at most ``ROWS`` in all, chosen by hash."""
+    """About ``ROWS_A_LANGUAGE`` beginnings of texts a language, at most ``ROWS`` in all, chosen by hash; copies count once."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, ROWS_A_LANGUAGE / n))]), F.col("lang"))
     place = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    picked = rows.where(place < share).select("lang", F.substring("text", 1, ROW_CHARS).alias("text"))
+    picked = rows.where(place < share).select("lang", F.substring("text", 1, ROW_CHARS).alias("text")).distinct()
     return sorted((r.lang, r.text) for r in picked.limit(ROWS).collect())
 
 
