@@ -5,8 +5,9 @@ with the wrapper so far, a regular expression without unions: what repeats side
 becomes a repeated group, what only one side has becomes an optional group, and texts
 become slots. A slot is known by the containers around it. Those inside navigation, headers,
 footers, asides, forms, adverts, notices or comments are boilerplate; the main text of a
-page is that of its article or main element, or else of the container of its host's wrapper that
-holds the most text which varies from page to page.
+page is that of its article or main element, or else that of all other slots but the fixed ones,
+in page order. A slot is fixed if it has one and the same text wherever it is, is on more than half
+of its host's pages, and is in no container with a text of its own that is not fixed.
 
 Streams are shortened and made distinct before a host's are gathered, and aligned in two
 steps, so that a host with most of the pages is no larger a group than another.
@@ -116,20 +117,22 @@ def article_root(path: tuple[str, ...]) -> tuple[str, ...]:
     return path
 
 
-def page_text(page: str, plan: list[list[tuple[str, ...]]]) -> str:
-    """The text at the first places of the plan that have any, else all that is not boilerplate."""
-    kept: list[tuple[tuple[str, ...], str]] = []
-    verdicts: dict[tuple[str, ...], bool] = {}
+def page_text(page: str, plan: tuple[list[tuple[str, ...]], set[tuple[str, ...]]]) -> str:
+    """The text in the plan's articles, or else outside its fixed slots, or else all that is not boilerplate."""
+    articles, fixed = plan
+    kept: list[tuple[int, str]] = []
+    levels: dict[tuple[str, ...], int | None] = {}
     for token, path, text in pieces(page):
         if token == "#":
-            if path not in verdicts:
-                verdicts[path] = not is_boilerplate(path)
-            if verdicts[path]:
-                kept.append((path, html.unescape(text)))
+            if path not in levels:
+                inside = any(path[:len(r)] == r for r in articles)
+                levels[path] = None if is_boilerplate(path) else 2 if inside else int(path not in fixed)
+            if levels[path] is not None:
+                kept.append((levels[path], html.unescape(text)))
         elif token.lstrip("/").partition(".")[0] not in INLINE:
-            kept.append((path, " "))
-    for roots in [*plan, [()]]:
-        if words := "".join(t for p, t in kept if t == " " or any(p[:len(r)] == r for r in roots)).split():
+            kept.append((2, " "))
+    for least in (2, 1, 0):
+        if words := "".join(t for level, t in kept if level >= least).split():
             return " ".join(words)
     return ""
 
@@ -255,12 +258,9 @@ def slots(seq: list) -> Iterator[tuple[str, ...]]:
     yield from walk(seq)
 
 
-def places(seq: list, sums: dict[tuple[str, ...], tuple[int, bool]]) -> list[list[tuple[str, ...]]]:
-    """Where a wrapper's main text is: its articles, then each other slot that varies, the longest first."""
-    own = {path for path in slots(seq) if not is_boilerplate(path)}
-    articles = sorted({article_root(path) for path in own if in_article(path)})
-    others = sorted((-sums[path][0], path) for path in own if path in sums and sums[path][1] and not in_article(path))
-    return ([articles] if articles else []) + [[path] for _, path in others]
+def article_roots(seq: list) -> list[tuple[str, ...]]:
+    """The articles of a wrapper."""
+    return sorted({article_root(path) for path in slots(seq) if in_article(path) and not is_boilerplate(path)})
 
 
 def align_all(streams: list[str]) -> str:
@@ -279,11 +279,11 @@ def host_of(url: str) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1), F.lit("")))
 
 
-OBSERVED = "host string, stream string, path string, pages long, chars long, low long, high long"
+OBSERVED = "host string, stream string, path array<string>, pages long, low long, high long"
 
 
 def observe(batches):
-    """Distinct shortened streams and slot sums of each batch, per host."""
+    """Distinct shortened streams and slots of each batch, per host."""
     for batch in batches:
         streams, slots = {}, {}
         for host, page in zip(batch.column(0), batch.column(1), strict=True):
@@ -299,21 +299,35 @@ def observe(batches):
             streams[host, stream] = streams.get((host, stream), 0) + 1
             for path, own in texts.items():
                 code = xxhash.xxh3_64_intdigest("".join(own)) >> 1
-                got = slots.setdefault((host, path), [0, 0, code, code])
+                got = slots.setdefault((host, path), [0, code, code])
                 got[0] += 1
-                got[1] += sum(map(len, own))
-                got[2], got[3] = min(got[2], code), max(got[3], code)
-        rows = [(h, s, None, n, None, None, None) for (h, s), n in streams.items()]
-        rows += [(h, None, json.dumps(p), *v) for (h, p), v in slots.items()]
+                got[1], got[2] = min(got[1], code), max(got[2], code)
+        rows = [(h, s, None, n, None, None) for (h, s), n in streams.items()]
+        rows += [(h, None, p, *v) for (h, p), v in slots.items()]
         names = [part.split()[0] for part in OBSERVED.split(", ")]
-        kinds = {"string": pa.string(), "long": pa.int64()}
+        kinds = {"string": pa.string(), "long": pa.int64(), "array<string>": pa.list_(pa.string())}
         yield pa.RecordBatch.from_arrays([
             pa.array([r[i] for r in rows], kinds[part.split()[1]]) for i, part in enumerate(OBSERVED.split(", "))
         ], names=names)
 
 
+def fixed_slots(seen: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(host, fixed): the paths of a host's fixed slots, which are at most twice as many as a page has."""
+    found = seen.where("path is not null").groupBy("host", "path").agg(
+        F.sum("pages").alias("n"), (F.min("low") == F.max("high")).alias("same")
+    )
+    found = stored(found.join(hosts, "host").select("host", "path", F.expr("same and 2 * n > pages").alias("fixed")), "slots")
+    fixed = found.where("fixed").select("host", "path")
+    above = fixed.where("size(path) > 0").select("host", "path", F.explode(F.expr("sequence(0, size(path) - 1)")).alias("depth")).select(
+        "host", "path", F.expr("slice(path, 1, depth)").alias("above")
+    )
+    varying = found.where("not fixed").select("host", F.col("path").alias("above"))
+    within = above.join(varying, ["host", "above"], "left_semi").select("host", "path").distinct()
+    return fixed.join(within, ["host", "path"], "left_anti").groupBy("host").agg(F.collect_list("path").alias("fixed"))
+
+
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Per host: pages, the wrapper as text, and the plan: the containers that hold the main text, best first."""
+    """Per host: pages, the wrapper as text, and the plan: its articles and fixed slots."""
     seen = stored(
         pages.select(host_of(url).alias("host"), F.col(page).cast("string").alias("page")).mapInArrow(observe, OBSERVED), "observed"
     )
@@ -326,20 +340,18 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
 
     shape = "host string, stream string, pages long"
     parts = streams.groupBy("host", F.pmod(F.xxhash64("stream"), F.lit(PARTS)).alias("part")).applyInPandas(align, shape)
-    wrappers = parts.groupBy("host").applyInPandas(align, shape)
-    sums = seen.where("path is not null").groupBy("host", "path").agg(
-        F.sum("chars").alias("chars"), (F.min("low") != F.max("high")).alias("varies")
-    ).groupBy("host").agg(F.collect_list(F.struct("path", "chars", "varies")).alias("slots"))
+    wrappers = stored(parts.groupBy("host").applyInPandas(align, shape), "host-wrappers")
+    fixed = fixed_slots(seen, wrappers.select("host", "pages"))
 
     def plan(batches):
         for frame in batches:
             seqs = [nodes(json.loads(s)) for s in frame["stream"]]
-            known = [{tuple(json.loads(x["path"])): (x["chars"], x["varies"]) for x in (() if given is None else given)} for given in frame["slots"]]
+            known = [sorted(map(list, () if given is None else given)) for given in frame["fixed"]]
             frame["wrapper"] = [written(seq) for seq in seqs]
-            frame["plan"] = [json.dumps(places(seq, own)) for seq, own in zip(seqs, known, strict=True)]
+            frame["plan"] = [json.dumps([article_roots(seq), own]) for seq, own in zip(seqs, known, strict=True)]
             yield frame[["host", "pages", "wrapper", "plan"]]
 
-    return wrappers.join(sums, "host", "left").mapInPandas(plan, "host string, pages long, wrapper string, plan string")
+    return wrappers.join(fixed, "host", "left").mapInPandas(plan, "host string, pages long, wrapper string, plan string")
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -357,9 +369,10 @@ def extract(pages: DataFrame, wrappers: DataFrame, key: str = "page_id", url: st
                 part, known = batch.slice(at, 500), {}
                 texts = []
                 for page, given in zip(part.column(2), part.column(3), strict=True):
-                    given = given.as_py() or "[]"
+                    given = given.as_py() or "[[], []]"
                     if given not in known:
-                        known[given] = [[tuple(r) for r in roots] for roots in json.loads(given)]
+                        articles, fixed = ([tuple(r) for r in paths] for paths in json.loads(given))
+                        known[given] = articles, set(fixed)
                     texts.append(page_text(page.as_py() or "", known[given]))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["key", "url", "text"])
 

@@ -97,3 +97,20 @@ def test_articles_of_the_table(spark, check_dir):
     for r in got:
         inner = re.search(r"<article>(.*?)(?:</article>|$)", source[r.page_id], re.S)[1]
         assert r.text == " ".join(html.unescape(re.sub("<[^>]*>", " ", inner)).split()) and r.n_chars == len(r.text)
+
+
+def texts_of(spark, *pages):
+    rows = [(i, "http://h.example/x", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    return [r.text for r in html_wrappers.digest(frame).orderBy("page_id").collect()]
+
+
+def test_main_text_over_several_containers(spark):
+    fixed = '<div class="tagline">always this</div><div class="related">skip</div>'
+    story = lambda i: f"<div class=story><p>intro {i}</p><blockquote>{f'long {i} ' * 50}</blockquote><p>more {i}</p></div>"
+    got = texts_of(spark, *(fixed + story(i) for i in range(3)), fixed + "<div class=story><p>only</p></div>")
+    assert got == [f"intro {i} {f'long {i} ' * 50}more {i}" for i in range(3)] + ["only"]
+    parts = lambda i: f"<section class=intro>one {i}<table><td>same</table></section><section class=body>{f'two {i} ' * 20}</section>"
+    got = texts_of(spark, *(fixed + parts(i) for i in range(3)), fixed + parts(3) + "<section class=end>once</section>")
+    want = [f"one {i} same {f'two {i} ' * 20}".strip() for i in range(4)]
+    assert got == [*want[:3], want[3] + " once"]
