@@ -3,7 +3,8 @@
 A page is a stream of tags and texts. The streams of a host are aligned one after another
 with the wrapper so far, a regular expression without unions: what repeats side by side
 becomes a repeated group, what only one side has becomes an optional group, and texts
-become slots. A slot is known by the containers around it. Those inside navigation, headers,
+become slots. A slot is known by the containers around it, as pages have them: options that exclude
+each other stand side by side in a wrapper, so its own order does not nest them. Those inside navigation, headers,
 footers, asides, forms, adverts, notices or comments are boilerplate; the main text of a
 page is that of its article or main element, or else that of all other slots but the fixed ones,
 in page order. A slot is fixed if it has one and the same text wherever it is, is on more than half
@@ -109,24 +110,14 @@ def in_article(path: tuple[str, ...]) -> bool:
     return any(label.partition(".")[0] in ("article", "main") for label in path)
 
 
-def article_root(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The containers down to the first article or main element."""
-    for depth, label in enumerate(path):
-        if label.partition(".")[0] in ("article", "main"):
-            return path[:depth + 1]
-    return path
-
-
-def page_text(page: str, plan: tuple[list[tuple[str, ...]], set[tuple[str, ...]]]) -> str:
-    """The text in the plan's articles, or else outside its fixed slots, or else all that is not boilerplate."""
-    articles, fixed = plan
+def page_text(page: str, fixed: set[tuple[str, ...]]) -> str:
+    """The text in articles, or else outside the fixed slots, or else all that is not boilerplate."""
     kept: list[tuple[int, str]] = []
     levels: dict[tuple[str, ...], int | None] = {}
     for token, path, text in pieces(page):
         if token == "#":
             if path not in levels:
-                inside = any(path[:len(r)] == r for r in articles)
-                levels[path] = None if is_boilerplate(path) else 2 if inside else int(path not in fixed)
+                levels[path] = None if is_boilerplate(path) else 2 if in_article(path) else int(path not in fixed)
             if levels[path] is not None:
                 kept.append((levels[path], html.unescape(text)))
         elif token.lstrip("/").partition(".")[0] not in INLINE:
@@ -238,31 +229,6 @@ def nodes(seq: list) -> list:
     return [x if isinstance(x, str) else (x[0], tuple(nodes(x[1]))) for x in seq]
 
 
-def slots(seq: list) -> Iterator[tuple[str, ...]]:
-    """The containers around each text slot of a wrapper."""
-    stack: list[str] = []
-
-    def walk(part) -> Iterator[tuple[str, ...]]:
-        for x in part:
-            if isinstance(x, tuple):
-                yield from walk(x[1])
-            elif x == "#":
-                yield tuple(stack)
-            elif x.startswith("/"):
-                names = [label.partition(".")[0] for label in stack]
-                if x[1:] in names:
-                    del stack[len(names) - 1 - names[::-1].index(x[1:]):]
-            elif x.partition(".")[0] in CONTAINERS:
-                stack.append(x)
-
-    yield from walk(seq)
-
-
-def article_roots(seq: list) -> list[tuple[str, ...]]:
-    """The articles of a wrapper."""
-    return sorted({article_root(path) for path in slots(seq) if in_article(path) and not is_boilerplate(path)})
-
-
 def align_all(streams: list[str]) -> str:
     """One wrapper, as JSON, from several; the order is that of the text, so it does not depend on arrival."""
     wrapper: list | None = None
@@ -327,7 +293,7 @@ def fixed_slots(seen: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Per host: pages, the wrapper as text, and the plan: its articles and fixed slots."""
+    """Per host: pages, the wrapper as text, and the plan: its fixed slots."""
     seen = stored(
         pages.select(host_of(url).alias("host"), F.col(page).cast("string").alias("page")).mapInArrow(observe, OBSERVED), "observed"
     )
@@ -345,10 +311,8 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
 
     def plan(batches):
         for frame in batches:
-            seqs = [nodes(json.loads(s)) for s in frame["stream"]]
-            known = [sorted(map(list, () if given is None else given)) for given in frame["fixed"]]
-            frame["wrapper"] = [written(seq) for seq in seqs]
-            frame["plan"] = [json.dumps([article_roots(seq), own]) for seq, own in zip(seqs, known, strict=True)]
+            frame["wrapper"] = [written(nodes(json.loads(s))) for s in frame["stream"]]
+            frame["plan"] = [json.dumps(sorted(map(list, () if own is None else own))) for own in frame["fixed"]]
             yield frame[["host", "pages", "wrapper", "plan"]]
 
     return wrappers.join(fixed, "host", "left").mapInPandas(plan, "host string, pages long, wrapper string, plan string")
@@ -369,10 +333,9 @@ def extract(pages: DataFrame, wrappers: DataFrame, key: str = "page_id", url: st
                 part, known = batch.slice(at, 500), {}
                 texts = []
                 for page, given in zip(part.column(2), part.column(3), strict=True):
-                    given = given.as_py() or "[[], []]"
+                    given = given.as_py() or "[]"
                     if given not in known:
-                        articles, fixed = ([tuple(r) for r in paths] for paths in json.loads(given))
-                        known[given] = articles, set(fixed)
+                        known[given] = {tuple(r) for r in json.loads(given)}
                     texts.append(page_text(page.as_py() or "", known[given]))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["key", "url", "text"])
 

@@ -114,3 +114,10 @@ def test_main_text_over_several_containers(spark):
     got = texts_of(spark, *(fixed + parts(i) for i in range(3)), fixed + parts(3) + "<section class=end>once</section>")
     want = [f"one {i} same {f'two {i} ' * 20}".strip() for i in range(4)]
     assert got == [*want[:3], want[3] + " once"]
+
+
+def test_articles_of_differing_classes(spark):
+    one = lambda kind, i: f"<div class=date>day {i}</div><article class={kind}><p>{kind} {i}</p></article>"
+    kinds = ("news", "sport", "news", "sport", "weather")
+    got = texts_of(spark, *(one(kind, i) for i, kind in enumerate(kinds)))
+    assert got == [f"{kind} {i}" for i, kind in enumerate(kinds)]
