@@ -1,6 +1,7 @@
 """Benchmark decontamination: windows as long as a benchmark item, found by SimHash, verified exactly.
 
-Every document is read with windows of each item's number of words. A window and an item
+Every document is read with windows of each item's number of words; one with fewer words than the item
+is one window as a whole. A window and an item
 are sets of word shingles with multiplicities; similarity is the sum of smaller
 multiplicities over the sum of larger ones. Windows that hold too few shingles of the
 benchmark for any item of their length are left out, which loses nothing. The others get
@@ -139,9 +140,9 @@ def similarity(a: Counter, b: Counter) -> float:
     return both / (a.total() + b.total() - both)
 
 
-def enough(count: int) -> int:
-    """Common shingles that two windows of ``count`` each need."""
-    return -(-2 * count * PERCENT // (100 + PERCENT))
+def enough(count: int, other: int | None = None) -> int:
+    """Common shingles that windows of ``count`` and ``other`` (or ``count``) shingles need."""
+    return -(-(count + (count if other is None else other)) * PERCENT // (100 + PERCENT))
 
 
 def document_hits(words: list[bytes], shingles: dict[int, np.ndarray], hits: dict[int, np.ndarray], items: Items):
@@ -151,27 +152,28 @@ def document_hits(words: list[bytes], shingles: dict[int, np.ndarray], hits: dic
     for n, (ids, index, counts) in items.lengths.items():
         width = min(WORDS, n)
         size, places = n - width + 1, hits[width]
-        last = len(words) - n
-        if last < 0 or len(places) < enough(size):
+        last = max(0, len(words) - n)
+        own = min(size, len(words) - width + 1)  # shingles of a window
+        k = enough(size, own)
+        if own < k or len(places) < k:
             continue
         # A window holds its least number of hits when its k-th hit from some place on is near enough.
-        k = enough(size)
-        close = np.flatnonzero(places[k - 1:] - places[:len(places) - k + 1] < size)
-        starts = [np.arange(max(0, places[c + k - 1] - size + 1), min(last, places[c]) + 1) for c in close]
+        close = np.flatnonzero(places[k - 1:] - places[:len(places) - k + 1] < own)
+        starts = [np.arange(max(0, places[c + k - 1] - own + 1), min(last, places[c]) + 1) for c in close]
         if not starts:
             continue
         starts = np.unique(np.concatenate(starts))
         if width not in sums:
             signs = bit_signs(shingles[width])
             sums[width] = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(signs, axis=0, dtype=np.int32)))
-        prints = fingerprint(sums[width][starts + size] - sums[width][starts])
+        prints = fingerprint(sums[width][starts + own] - sums[width][starts])
         windows: dict[int, Counter] = {}
         for w, i in zip(*(x.tolist() for x in index.near(prints)), strict=True):
             if w not in windows:
                 windows[w] = shingle_counts(words[starts[w]:starts[w] + n])
             alike = similarity(windows[w], counts[i])
             if 100 * alike >= PERCENT and alike > best.get(ids[i], (0, 0, 0.0))[2]:
-                best[ids[i]] = (int(starts[w]), n, alike)
+                best[ids[i]] = (int(starts[w]), min(n, len(words)), alike)
     return [(item, *found) for item, found in best.items()]
 
 

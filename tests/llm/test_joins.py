@@ -149,6 +149,17 @@ def test_leaks(spark, odd):
     assert decontamination.find_leaks(odd, benchmark.where("false")).count() == 0
 
 
+def test_leaks_in_documents_shorter_than_the_item(spark):
+    chance = random.Random(5)
+    words = ["".join(chance.choices("abcdefgh", k=5)) for _ in range(100)]
+    docs = [(n, " ".join(words[:n])) for n in (4, 60, 75, 77, 90, 99, 100)] + [(101, " ".join(["other", *words[9:]]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "a b c d e f")], "item_id long, text string")
+    found = {r.doc_id: (r.item_id, r.start_word, r.n_words, round(r.similarity, 3)) for r in decontamination.find_leaks(frame, benchmark).collect()}
+    want = {n: (1, 0, n, round((n - 4) / 96, 3)) for n in (77, 90, 99, 100)} | {101: (1, 0, 92, round(87 / 97, 3))}
+    assert found == want
+
+
 def test_block_index_finds_all_within_radius():
     chance = np.random.default_rng(1)
     base = chance.integers(0, 2**63, 20).astype(np.uint64)
