@@ -14,7 +14,7 @@ Removed are all copies, or all but the first one by key and place (``keep_first`
 
 Defined cases: a null text counts as empty; texts below ``LENGTH`` bytes lose nothing; matches
 never cross texts; repeated rows are copies of each other; rows with a null id take part and
-are cleaned as well, each by its own text.
+are cleaned as well, each by its own text: rows are told apart by key, hash and size of the text.
 """
 
 from __future__ import annotations
@@ -81,20 +81,20 @@ def contexts(raw: bytes) -> list[tuple[int, int, int]]:
 def send_contexts(kind: str):
     def run(batches):
         for batch in batches:
-            keys, anchors, hashes, starts, sizes = [], [], [], [], []
-            for key, value in zip(batch.column(0), batch.column(1), strict=True):
+            rows, anchors, hashes, starts, sizes = [], [], [], [], []
+            for row, value in enumerate(batch.column(1)):
                 raw = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 if len(raw) < LENGTH:
                     continue
-                own, view = key.as_py(), memoryview(raw)
+                view = memoryview(raw)
                 for anchor, start, size in contexts(raw):
-                    keys.append(own)
+                    rows.append(row)
                     anchors.append(anchor)
                     starts.append(start)
                     sizes.append(size)
                     hashes.append(xxhash.xxh3_64_intdigest(view[start:start + size]) - (1 << 63))
             yield pa.RecordBatch.from_arrays([
-                pa.array(anchors, pa.int64()), pa.array(hashes, pa.int64()), pa.array(keys, batch.schema.field(0).type),
+                pa.array(anchors, pa.int64()), pa.array(hashes, pa.int64()), batch.column(0).take(pa.array(rows, pa.int64())),
                 pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
             ], names=["anchor", "context", "key", "start", "size"])
 
@@ -239,7 +239,7 @@ def send_blocks(batches):
     """
     for batch in batches:
         out = {name: [] for name in ("anchor", "context", "key", "start", "block", "core", "whole", "low", "high", "piece")}
-        for anchor, context, piece, key, start in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+        for key, (anchor, context, piece, start) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True)):
             last = len(piece) - LENGTH
             at = int(rightmost_smallest(gram_hashes(np.frombuffer(piece[:LENGTH], np.uint8)), LENGTH - GRAM + 1)[0])
             for block in range(max(0, at - last) // BLOCK, at // BLOCK + 1):
@@ -253,7 +253,8 @@ def send_blocks(batches):
                 ), strict=True):
                     out[name].append(value)
         yield pa.RecordBatch.from_arrays([
-            pa.array(v, {"key": batch.schema.field(3).type, "piece": pa.binary()}.get(name, pa.int64())) for name, v in out.items()
+            batch.column(3).take(pa.array(v, pa.int64())) if name == "key" else pa.array(v, pa.binary() if name == "piece" else pa.int64())
+            for name, v in out.items()
         ], names=list(out))
 
 
@@ -261,13 +262,13 @@ def send_windows(batches):
     """Block rows (anchor, context, key, start, low, bytes) as single windows, with a hash of each."""
     for batch in batches:
         out = {name: [] for name in ("anchor", "context", "key", "start", "place", "window")}
-        for anchor, context, key, start, low, piece in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+        for key, (anchor, context, start, low, piece) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True)):
             view = memoryview(piece)
             for i in range(len(piece) - LENGTH + 1):
                 for name, value in zip(out, (anchor, context, key, start, low + i, xxhash.xxh3_64_intdigest(view[i:i + LENGTH]) - (1 << 63)), strict=True):
                     out[name].append(value)
         yield pa.RecordBatch.from_arrays([
-            pa.array(v, batch.schema.field(2).type if name == "key" else pa.int64()) for name, v in out.items()
+            batch.column(2).take(pa.array(v, pa.int64())) if name == "key" else pa.array(v, pa.int64()) for name, v in out.items()
         ], names=list(out))
 
 
@@ -322,7 +323,7 @@ def repeated_ranges(docs: DataFrame, kind: str, keep_first: bool) -> DataFrame:
     ranges = few.where("later" if keep_first else "not later").drop("later").unionByName(split)
     # What holds for a context holds for each of its occurrences.
     whole = groups.where("n > 1").select("anchor", "context", F.col("first.key").alias("k"), F.col("first.start").alias("s"))
-    copies = sent.join(whole, ["anchor", "context"]).where("not (key <=> k and start = s)" if keep_first else "true").select(
+    copies = sent.join(whole, ["anchor", "context"]).where("not (key = k and start = s)" if keep_first else "true").select(
         "key", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high")
     )
     single = groups.where("different > 1" if keep_first else "different > 1 and n = 1").select("anchor", "context", "first")
@@ -336,7 +337,7 @@ def repeated_ranges(docs: DataFrame, kind: str, keep_first: bool) -> DataFrame:
 def _cut(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """The bytes of the wanted contexts."""
     kind = wanted.schema["key"].dataType.simpleString()
-    both = wanted.select(F.col("key").alias("k"), "wanted").join(docs, F.col("k").eqNullSafe(F.col("key"))).select("key", "text", "wanted")
+    both = wanted.select(F.col("key").alias("k"), "wanted").join(docs, F.col("k") == F.col("key")).select("key", "text", "wanted")
 
     def run(batches):
         for batch in batches:
@@ -347,7 +348,7 @@ def _cut(wanted: DataFrame, docs: DataFrame) -> DataFrame:
                 for one in at.as_py():
                     piece = raw[one["start"]:one["start"] + one["size"]]
                     if xxhash.xxh3_64_intdigest(piece) - (1 << 63) != one["context"]:
-                        continue  # another text with the same key
+                        continue  # another text with the same key, hash and size
                     for name in ("anchor", "context", "start", "different"):
                         rows[name].append(one[name])
                     rows["key"].append(key.as_py())
@@ -378,14 +379,21 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """A ``keyed`` frame whose key also holds a hash and the size of the text, so texts with one id, or none, do not mix."""
+    return rows.select(
+        F.struct(F.col("key").alias("id"), F.xxhash64("text").alias("code"), F.octet_length("text").alias("size")).alias("key"), "text"
+    )
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_first: bool = True) -> DataFrame:
     """Per row: key, bytes, bytes removed, maximal removed runs as ranges, and the bytes kept."""
     kind = dict(docs.dtypes)[key]
-    rows = keyed(docs, key, text)
-    ranges = repeated_ranges(rows, kind, keep_first).groupBy("key").agg(
+    rows = told_apart(keyed(docs, key, text))
+    ranges = repeated_ranges(rows, dict(rows.dtypes)["key"], keep_first).groupBy("key").agg(
         F.collect_set(F.struct("low", "high")).alias("ranges")
     ).select(F.col("key").alias("k"), "ranges")
-    both = rows.join(ranges, F.col("key").eqNullSafe(F.col("k")), "left").select("key", "text", "ranges")
+    both = rows.join(ranges, F.col("key") == F.col("k"), "left").select("key.id", "text", "ranges")
 
     def run(batches):
         for batch in batches:

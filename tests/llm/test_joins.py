@@ -113,6 +113,21 @@ def test_repeats_equal_brute_force(spark, odd, monkeypatch, split, keep_first):
     assert suffix_dedup.digest(odd).count() == odd.count()
 
 
+@pytest.mark.parametrize("split", [512, 1])
+def test_repeats_of_rows_without_id(spark, monkeypatch, split):
+    monkeypatch.setattr(suffix_dedup, "SPLIT", split)
+    chance = random.Random(6)
+    piece = lambda n: "".join(chance.choices("abcdef ", k=n))
+    shared = piece(600)
+    texts = [shared + piece(900), piece(500) + shared + piece(400), piece(1600), piece(300) + shared, piece(1500)]
+    want = brute.removed_ranges(dict(enumerate(texts)), suffix_dedup.LENGTH, False)
+    for same in (None, 7):
+        frame = spark.createDataFrame([(same, t) for t in texts], "doc_id long, text string").repartition(3)
+        got = suffix_dedup.remove_repeats(frame, keep_first=False).collect()
+        assert all(r.doc_id == same for r in got)
+        assert sorted([tuple(s) for s in r.spans] for r in got) == sorted(want.values())
+
+
 def test_factors_equal_their_definition():
     chance = np.random.default_rng(2)
     for _ in range(50):
