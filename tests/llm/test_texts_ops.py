@@ -121,6 +121,22 @@ def test_network_finds_what_patterns_miss():
     assert (found == (np.asarray(y) == 1)).mean() > 0.95
 
 
+def test_short_and_plain_secrets_are_candidates(spark):
+    hexes = "0123456789abcdef" * 2
+    texts = {
+        1: ("login with pwd: Xk29dk3LqZ today", "Xk29dk3LqZ"), 2: ("Authorization: Basic dXNlcjpwYXNz", "dXNlcjpwYXNz"),
+        3: ("the passphrase: qzkvwxjhtr ends", "qzkvwxjhtr"), 4: (f"id QZ{hexes}Kx7Qz next", f"QZ{hexes}Kx7Qz"),
+        5: ("auth: " + "QzXvKwJhTrBn" * 2, "QzXvKwJhTrBn" * 2), 6: ("pwd: 83920174659201", "83920174659201"),
+    }
+    frame = spark.createDataFrame([(d, t) for d, (t, _) in texts.items()], "doc_id long, text string")
+    for d, redacted in rows(secret_scan.scan(frame, network=secret_scan.learn([])), "doc_id", "redacted"):
+        text, secret = texts[d]
+        before, after = text.split(secret)
+        assert redacted.startswith(before) and redacted.endswith(after)
+        assert set(redacted[len(before):len(redacted) - len(after)].split("[SECRET]")) == {""}
+    assert secret_scan.other_tokens("the ordinary sentence continues Wednesday", []) == []
+
+
 def test_network_gradients():
     chance = np.random.default_rng(0)
     network = secret_scan.CharacterNetwork.fresh(chance)
