@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import byte_bpe, decontamination, html_wrappers, jaccard_join, language_id, quality_classifier, quality_rules, secret_scan, suffix_dedup, warc
+from kerbside.llm import (
+    byte_bpe, decontamination, html_wrappers, importance_resampling, jaccard_join, language_id, quality_classifier, quality_rules,
+    secret_scan, suffix_dedup, warc,
+)
 from kerbside.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +59,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -67,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
@@ -84,4 +92,43 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 0 ELSE payload_bytes END AS block_bytes
         FROM k
     """,
+    "op12_importance_resampling": r"""
+        WITH bits AS (
+            SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crc
+            FROM range(256) r(b)
+        ), texts AS (
+            SELECT true AS corpus, doc_id, row_number() OVER () AS place, text FROM documents
+            UNION ALL SELECT false, NULL, -row_number() OVER (), text FROM benchmark
+        ), words AS (
+            SELECT corpus, place, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+            FROM texts
+        ), told AS (
+            SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM words)
+        ), hashed AS (
+            SELECT w, xor(list_reduce(
+                [('0x' || substr(x, 2 * i + 1, 2))::BIGINT FOR i IN range(length(x) // 2)],
+                lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+            FROM told, bits
+        ), held AS (
+            SELECT corpus, place, bucket FROM words JOIN hashed USING (w)
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000))))::BIGINT AS gain
+            FROM (SELECT bucket, count(*) FILTER (corpus)::DOUBLE AS s, count(*) FILTER (NOT corpus)::DOUBLE AS t FROM held GROUP BY bucket)
+        ), summed AS (
+            SELECT place, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM held JOIN gains USING (bucket) WHERE corpus GROUP BY place
+        ), scored AS (
+            SELECT doc_id, place, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(
+                       sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM texts LEFT JOIN summed USING (place) WHERE corpus
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place_in <= 10 * may // 100 AND n_features >= 20 THEN place_in END AS rank
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place_in,
+                   count(*) FILTER (n_features >= 20) OVER () AS may
+            FROM scored
+        )
+    """,
 }
