@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import (
-    byte_bpe, decontamination, html_wrappers, importance_resampling, jaccard_join, language_id, quality_classifier, quality_rules,
-    secret_scan, suffix_dedup, warc,
+    byte_bpe, decontamination, filter_audit, html_wrappers, importance_resampling, jaccard_join, language_id, quality_classifier,
+    quality_rules, secret_scan, suffix_dedup, url_filters, warc,
 )
 from kerbside.session import fresh_dir
 
@@ -59,10 +59,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.digest(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.digest(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -74,7 +82,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_audit": op11_filter_audit,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_url_filters": op13_url_filters,
 }
 
 ORACLES: dict[str, str] = {
@@ -92,6 +102,45 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 0 ELSE payload_bytes END AS block_bytes
         FROM k
     """,
+    "op11_filter_audit": r"""
+        WITH told AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), marks AS (
+            SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+            FROM labels GROUP BY doc_id
+        ), judged AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   (len(words) < 200)::INT
+                   + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+                   + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INT
+                   + 8 * regexp_matches(text, '[#$%&*|]')::INT
+                   + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask
+            FROM told LEFT JOIN marks USING (doc_id)
+        ), counted AS (
+            SELECT part, mask, good, toxic, count(*) AS n FROM judged GROUP BY ALL
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+        ), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+        ), steps AS (
+            SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+            FROM orders, range(1, 6) r(step)
+        ), summed AS (
+            SELECT part, filter_order, step, bit,
+                   coalesce(sum(n) FILTER (mask & (bit | before) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0 AND good), 0)::BIGINT AS good_lost,
+                   coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0 AND toxic), 0)::BIGINT AS toxic_lost
+            FROM counted, steps GROUP BY ALL
+        )
+        SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM summed
+    """,
     "op12_importance_resampling": r"""
         WITH bits AS (
             SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crc
