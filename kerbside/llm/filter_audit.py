@@ -26,7 +26,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from kerbside.llm.graphs import stored
 from kerbside.llm.texts import map_blocks, split_words
@@ -94,7 +94,7 @@ def thinned(rows: DataFrame) -> DataFrame:
     copies for certain, and for rows without an id.
     """
     rows = rows.select("digest", "id", *CLASS)
-    shape = StructType([*rows.schema.fields, StructField("n", rows.selectExpr("cast(1 as long) n").schema["n"].dataType)])
+    shape = StructType([*(StructField(f.name, f.dataType) for f in rows.schema.fields), StructField("n", LongType())])
     arrow = to_arrow_schema(shape)
 
     def emit(least: dict, settled: Counter) -> pa.RecordBatch:

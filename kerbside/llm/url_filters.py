@@ -203,7 +203,8 @@ def learn(rows: DataFrame, buckets: int = BUCKETS) -> Model:
     total = np.zeros(2 * buckets + 2, np.float64)
     total[sums["at"].to_numpy()] = sums["n"].to_numpy()
     fine, bad, (n_fine, n_bad) = total[:buckets], total[buckets:-2], total[-2:]
-    share = [(x + SMOOTHING) / (x.sum() + SMOOTHING * buckets) for x in (fine, bad)]
+    seen = np.count_nonzero(fine + bad)
+    share = [(x + SMOOTHING) / (x.sum() + SMOOTHING * max(1, seen)) for x in (fine, bad)]
     return Model(math.log((n_bad + SMOOTHING) / (n_fine + SMOOTHING)), np.log(share[1]) - np.log(share[0]))
 
 
