@@ -357,6 +357,8 @@ BODIES: dict[str, str] = {
     "stream_flow_day": _flow("day"),
     "stream_speed_length": _MEAN,
     "stream_speed_length_fold": "select device_id, minute, speed, length from folded",
+    "stream_speed_fold_late": "select device_id, minute, speed, length from folded",
+    "stream_flow_compacted": "select device_id, grain, bucket, vehicle_type, n from counts",
     "stream_flow_late": """
         select device_id, g as grain, date_trunc(g, pass_ts) as bucket, vehicle_type, count(*) as n
         from passes_late, (select unnest(['minute', 'hour', 'day']) as g) gs group by all""",

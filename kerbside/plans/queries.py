@@ -453,11 +453,14 @@ def _shuffled(passes):
     return [passes.filter(F.col("event_id") % 4 == i) for i in range(4)]
 
 
-def _flow_tables(spark, parts):
-    """Folder of the flow tables after one micro-batch for each part."""
+def _flow_stream(spark, parts):
     used = [p.select("event_id", "device_id", "vehicle_type", "pass_ts", "speed", "length") for p in parts]
-    stream = inputs.files_stream(spark, used, fresh_dir(spark, "passes"))
-    return _drain(spark, stream, flows.flow_sink)
+    return inputs.files_stream(spark, used, fresh_dir(spark, "passes"))
+
+
+def _flow_tables(spark, parts, means=False):
+    """Folder of the flow tables after one micro-batch for each part."""
+    return _drain(spark, _flow_stream(spark, parts), lambda path: flows.flow_sink(path, means))
 
 
 def _stream_flow(spark, sf_dir, grain):
@@ -496,7 +499,29 @@ def stream_speed_length(spark, sf_dir):
 @query
 def stream_speed_length_fold(spark, sf_dir):
     """The order-dependent mean over four batches in time order."""
-    return flows.read_running_mean(spark, _flow_tables(spark, _quarters(inputs.passes(spark, sf_dir))))
+    return flows.read_running_mean(spark, _flow_tables(spark, _quarters(inputs.passes(spark, sf_dir)), means=True))
+
+
+@query
+def stream_speed_fold_late(spark, sf_dir):
+    """The same over batches in no time order: every batch changes seconds that the ones before it have filled."""
+    return flows.read_running_mean(spark, _flow_tables(spark, _shuffled(inputs.passes(spark, sf_dir)), means=True))
+
+
+@query
+def stream_flow_compacted(spark, sf_dir):
+    """Ten batches in levels of two, so that counts are merged up to three times; then the last batch comes again."""
+    passes = inputs.passes(spark, sf_dir)
+    parts = [passes.filter(F.col("event_id") % 10 == i) for i in range(10)]
+    sinks_made = []
+
+    def make(path):
+        sinks_made.append(flows.flow_sink(path, means=False, fan=2))
+        return sinks_made[0]
+
+    out = _drain(spark, _flow_stream(spark, parts), make)
+    sinks_made[0](parts[9], 9)
+    return flows.read_flow(spark, out)
 
 
 @query
