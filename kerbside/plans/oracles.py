@@ -311,6 +311,23 @@ BODIES: dict[str, str] = {
             bucket >= date_trunc('day', any_value(last)) or any_value(last) is null
           from seen left join gone using (device_id) group by device_id, bucket, vehicle_type)
         where live""",
+    "stream_flow_live": """
+        with clocks as (select i, max(pass_ts) as t from passes_dealt, (select unnest(range(4)) as i) r where batch <= i group by i),
+        seen as (select i, t, p.* from passes_dealt p join clocks on batch <= i),
+        gone as (select i, device_id, max(pass_ts) as last from seen where pass_ts <= t - interval 600 seconds group by all)
+        select cast(i as int) as batch, device_id, grain, bucket, vehicle_type, n from (
+          select i, device_id, 'minute' as grain, date_trunc('minute', pass_ts) as bucket, vehicle_type, count(*) as n,
+            min(pass_ts) > any_value(t) - interval 600 seconds as live
+          from seen group by i, device_id, bucket, vehicle_type
+          union all
+          select i, device_id, 'hour', date_trunc('hour', pass_ts) as bucket, vehicle_type, count(*),
+            bucket >= date_trunc('hour', any_value(last)) or any_value(last) is null
+          from seen left join gone using (i, device_id) group by i, device_id, bucket, vehicle_type
+          union all
+          select i, device_id, 'day', date_trunc('day', pass_ts) as bucket, vehicle_type, count(*),
+            bucket >= date_trunc('day', any_value(last)) or any_value(last) is null
+          from seen left join gone using (i, device_id) group by i, device_id, bucket, vehicle_type)
+        where live""",
     "speed_live_asof": f"""
         select device_id, minute, speed, length from folded_asof
         where first_ts > timestamp '{AS_OF}' - interval 600 seconds""",

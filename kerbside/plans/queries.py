@@ -17,7 +17,7 @@ from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
 from kerbside.sources import decode, snapshots
 from kerbside.sources.messages import ALARM_MESSAGE, spark_schema
-from kerbside.streaming import flows, jobs, sinks
+from kerbside.streaming import flows, jobs, live, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -483,6 +483,27 @@ def stream_flow_day(spark, sf_dir):
     return _stream_flow(spark, sf_dir, "day")
 
 
+@query
+def stream_flow_live(spark, sf_dir):
+    """What is live after each of four batches in time order, a tenth of the passes coming one batch late."""
+    passes = inputs.derived(spark, "passes_dealt", inputs.passes(spark, sf_dir))
+    stream = _flow_stream(spark, [passes.filter(F.col("batch") == i) for i in range(4)])
+    history = fresh_dir(spark, "history")
+
+    def make(path):
+        state = live.LiveFlow(path)
+
+        def write(batch, batch_id):
+            state.add(batch, batch_id)
+            sinks.write_batch(state.read(batch.sparkSession), batch_id, history)
+
+        return write
+
+    _drain(spark, stream, make)
+    found = sinks.read_batches(spark, history)
+    return found.select(F.col("batch_id").cast("int").alias("batch"), "device_id", "grain", "bucket", "vehicle_type", "n")
+
+
 @query
 def stream_flow_late(spark, sf_dir):
     """Late passes, and a device a day ahead in the first batch: nothing is lost in any grain."""

@@ -44,33 +44,37 @@ class RunningMeans:
             F.second("pass_ts").alias("second"), "pass_ts", "event_id", *MEASURES,
         )
         self.log.add(rows, batch_id)
-        counts = rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n"))
-        if not known.parts:
-            return self._write(rows, counts, None, batch_id)
-        touched = counts.persist()
+        counts = rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n")).persist()
+        before = None
+        if known.parts:
+            minutes = counts.select(*MINUTE).distinct()
+            before = newest(LEAF, MEASURES)(_null_safe(self.nodes.rows(spark), minutes, MINUTE, "left_semi")).persist()
         try:
-            before = _null_safe(self.nodes.rows(spark), touched.select(*MINUTE).distinct(), MINUTE, "left_semi")
-            before = _stored(newest(LEAF, MEASURES)(before), "nodes")
-            late = _null_safe(before, touched, LEAF, "left_semi").select(*LEAF)
-            if late.isEmpty():
-                return self._write(rows, touched, before, batch_id)
-            # All passes of those seconds, these of the batch included: the log has them by now.
-            again = _null_safe(self.log.read(spark), late, LEAF, "left_semi")
-            new = _null_safe(rows, late, LEAF, "left_anti")
-            rows = new.unionByName(again)
-            self._write(rows, rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n")), before, batch_id)
+            late = before and _null_safe(before, counts, LEAF, "left_semi").select(*LEAF)
+            if late and not late.isEmpty():
+                # All passes of those seconds, these of the batch included: the log has them by now.
+                rows = _null_safe(rows, late, LEAF, "left_anti").unionByName(_null_safe(self.log.read(spark), late, LEAF, "left_semi"))
+                top = rows.groupBy(*LEAF).count().agg(F.max("count"))
+            else:
+                top = counts.agg(F.max("n"))
+            self._write(rows, (top.first()[0] or 0) > self.piece, before, batch_id)
         finally:
-            touched.unpersist()
-
-    def _write(self, rows: DataFrame, counts: DataFrame, before: DataFrame | None, batch_id: int) -> None:
-        leaves = _stored(leaf_runs(rows, counts, self.piece), "leaves")
-        all_leaves = leaves
-        if before is not None:
-            others = _null_safe(before.where(F.col("second") != ROOT), leaves, LEAF, "left_anti")
-            all_leaves = leaves.unionByName(others)
-        # A minute has sixty leaves at most.
-        roots = _composed(all_leaves, MINUTE, "second").select(*MINUTE, F.lit(ROOT).alias("second"), *MEASURES)
-        self.nodes.add(leaves.unionByName(roots), batch_id)
+            for held in (counts, before):
+                if held:
+                    held.unpersist()
+
+    def _write(self, rows: DataFrame, busy: bool, before: DataFrame | None, batch_id: int) -> None:
+        leaves = leaf_runs(rows, self.piece, busy).persist()
+        try:
+            all_leaves = leaves
+            if before is not None:
+                others = _null_safe(before.where(F.col("second") != ROOT), leaves, LEAF, "left_anti")
+                all_leaves = leaves.unionByName(others)
+            # A minute has sixty leaves at most.
+            roots = _composed(all_leaves, MINUTE, "second").select(*MINUTE, F.lit(ROOT).alias("second"), *MEASURES)
+            self.nodes.add(leaves.unionByName(roots), batch_id)
+        finally:
+            leaves.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Running mean per device-minute over all passes in order of (pass_ts, event_id)."""
@@ -78,16 +82,15 @@ class RunningMeans:
         return roots.selectExpr("device_id", "minute", *[f"{step_maps.mean_of(m)} as {m}" for m in MEASURES])
 
 
-def leaf_runs(rows: DataFrame, counts: DataFrame, piece: int) -> DataFrame:
-    """What the passes of each device-second do to the means; a second of more than ``piece`` passes is cut."""
-    top = counts.agg(F.max("n")).first()[0] or 0
-    if top <= piece:
+def leaf_runs(rows: DataFrame, piece: int, busy: bool) -> DataFrame:
+    """What the passes of each device-second do to the means; where some are ``busy``, of more than ``piece`` passes, these are cut."""
+    if not busy:
         return _runs(rows, LEAF)
-    busy = _stored(counts.where(F.col("n") > piece).select(*LEAF), "busy")
-    quiet = _runs(_null_safe(rows, busy, LEAF, "left_anti"), LEAF)
+    large = _stored(rows.groupBy(*LEAF).count().where(F.col("count") > piece).select(*LEAF), "busy")
+    quiet = _runs(_null_safe(rows, large, LEAF, "left_anti"), LEAF)
     # In ranges of the whole order, so that a busy second spreads over many tasks.
     order = [*LEAF, "pass_ts", "event_id"]
-    ranged = _null_safe(rows, busy, LEAF, "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = _null_safe(rows, large, LEAF, "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = ranged.withColumn("at", F.monotonically_increasing_id()).withColumn("piece", F.floor(F.col("at") / piece))
     pieces = _runs(placed, [*LEAF, "piece"])
     return quiet.unionByName(_composed(pieces, LEAF, "piece"))

@@ -88,7 +88,7 @@ def test_late_passes(spark, tmp_path):
              "2024-01-01 11:00:30", "2024-01-01 10:00:30"]
     for i, text in enumerate(times):
         add_file(one_pass(spark, text), folder, i)
-    drain(source(spark, folder, one_pass(spark, times[0])), flows.flow_sink(out), tmp_path)
+    drain(source(spark, folder, one_pass(spark, times[0])), flows.flow_sink(out, means=False), tmp_path)
     minute = {r.bucket.strftime("%H:%M"): r.n for r in flows.read_flow(spark, out, "minute").collect()}
     # However late a pass comes, it counts.
     assert minute == {"10:00": 3, "10:05": 1, "11:00": 2}
@@ -99,7 +99,7 @@ def test_a_clock_ahead_costs_no_other_device_anything(spark, tmp_path):
     ahead = one_pass(spark, "2024-01-02 10:00:00").withColumn("device_id", F.lit("ahead"))
     for i, part in enumerate([ahead, *(one_pass(spark, f"2024-01-01 10:0{m}:00", 2) for m in range(3))]):
         add_file(part, folder, i)
-    drain(source(spark, folder, ahead), flows.flow_sink(out), tmp_path)
+    drain(source(spark, folder, ahead), flows.flow_sink(out, means=False), tmp_path)
     assert {r.device_id: r.n for r in flows.read_flow(spark, out, "hour").collect()} == {"ahead": 1, "1": 6}
 
 
@@ -109,7 +109,7 @@ def test_restart_goes_on_where_it_stopped(spark, passes, ordered, tmp_path):
     for half in (range(0, 3), range(3, 6)):
         for i in half:
             shutil.copy2(f"{ordered}/{i:03}.parquet", folder)
-        drain(source(spark, folder, passes), flows.flow_sink(out), tmp_path)
+        drain(source(spark, folder, passes), flows.flow_sink(out, means=False), tmp_path)
     assert rows(flows.read_flow(spark, out, "day").drop("grain")) == rows(flow.flow(passes, "day"))
 
 
