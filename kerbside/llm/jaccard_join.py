@@ -11,18 +11,25 @@ segments a band has, and whether it uses deletions, is allocated by expected cos
 
 Signatures that only one class has are dropped, and so are classes whose remaining
 signatures could not make up a link. Units to spare are allocated to a class's most frequent
-signatures, which are left out, as a passage that many documents share makes them costly. Classes that share a signature are first compared
-with the smallest of them, and later only across components, so that a group of n copies
-costs about n comparisons. Every link is verified on the texts.
+signatures, which are left out, as a passage that many documents share makes them costly. A signature that
+still has over ``BUSY`` classes is not used: its classes are allocated anew, with segments of one shingle each, so
+that all but the bound's share of them can be spared, the most frequent ones. What is left are a
+class's rarest shingles with their places; two classes meet only if, from the places of a shingle that both have,
+enough shingles can follow for a link. Documents that share a passage and little else have their own
+shingles before it and never meet, so such a passage costs no pairs.
+
+Classes that share a signature are first compared with the first of them, and later only across components, so that a
+group of n copies costs about n comparisons. Every link is verified on the texts.
 
 Defined cases: a text without words has an empty set and links with nothing; one with
-fewer than five words is one shingle; case matters for other letters than A to Z; a
-repeated id must repeat its text; rows with a null id are linked by what they hold, and
-have no component of their own.
+fewer than five words is one shingle; case matters for other letters than A to Z; rows are linked by their texts
+alone, so neither null ids nor ids repeated with other texts hide a link; a component is named by the smallest
+id in it, and has a null name if all its rows lack an id.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,7 +37,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.llm.graphs import components, relabelled, small_or_not, stored
 from kerbside.llm.texts import Hashes, blocks, keyed, map_blocks, mixed, runs_hashed
@@ -39,6 +46,8 @@ WORDS = 5
 PERCENT = 75
 #: A band's allocation must leave fewer than this share of its sets short of units; those go the long way.
 SHORT_SHARE = 1e-9
+#: Classes of a signature up to which it is used as it is.
+BUSY = 16
 #: Classes remembered in a task, whose signatures it has sent already.
 SEEN = 200_000
 
@@ -202,8 +211,13 @@ def send_signatures(batches):
                 ], schema=SIGNATURE)
 
 
+def text_name(text: Column) -> Column:
+    """Digest that stands for a text; a null text is empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """Per row of a ``keyed`` frame: key, size of its set, band, and two digests of the set."""
+    """Per row of a ``keyed`` frame: key, size of its set, two digests of the set, and that of the text."""
     hashes: list[Hashes] = []
 
     def work(block):
@@ -213,15 +227,22 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
             "n_shingles": [len(s) for s in sets],
             "cls": np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64),
             "whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
+            "name": [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in block[1]],
         }
 
-    return map_blocks(rows, work, "n_shingles long, cls long, whole binary")
+    return map_blocks(rows, work, "n_shingles long, cls long, whole binary, name binary")
+
+
+def texts_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, text), one row for each of the ``names``."""
+    named = rows.select(text_name(F.col("text")).alias("name"), "text")
+    return stored(named.join(small_or_not(names), "name").dropDuplicates(["name"]), "linked-texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts link."""
-    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    one = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
     kind = pairs.schema["a"].dataType.simpleString()
 
     def check(batches):
@@ -248,18 +269,20 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Per row: key, n_shingles and component_id, the smallest key reachable by links."""
     rows = keyed(docs, key, text)
     sets = stored(shingle_sets(rows), "shingle-sets")
+    # A class goes by one of its texts.
     classes = stored(
         sets.where("n_shingles > 0").groupBy("whole").agg(
-            F.min("key").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls")
+            F.min("name").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls"), F.min("key").alias("least")
         ), "classes",
     )
     labels = _linked_classes(rows, classes)
-    found = classes.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "whole", F.coalesce("component", "rep").alias("class_component")
-    )
-    return sets.join(found, "whole", "left").select(
-        F.col("key").alias(key), "n_shingles", F.coalesce("class_component", "key").alias("component_id")
+    found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "whole", "least", F.coalesce("component", "rep").alias("component")
     )
+    least = found.groupBy("component").agg(F.min("least").alias("component_id"))
+    names = found.join(least, "component").select("whole", "component_id")
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key"))
+    return sets.join(names, "whole", "left").select(F.col("key").alias(key), "n_shingles", own.alias("component_id"))
 
 
 def candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -278,12 +301,48 @@ def candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFram
         "n": F.count("*").over(of_class), "rank": F.row_number().over(of_class.orderBy(F.desc("often"), "sig")),
     })
     kept = ranked.where("n >= needed and rank >= needed").select("sig", "cls").join(classes.select("cls", "rep", "size"), "cls")
-    members = stored(
-        kept.where("rep is not null").select("sig", "rep", "size").withColumn(
-            "place", F.row_number().over(by_sig.orderBy("rep"))
-        ).withColumn("n", F.count("*").over(by_sig)).where("n > 1").drop("n"), "members",
-    )
-    return members, short.join(classes, "cls").where("rep is not null").select("rep", "size")
+    counted = stored(kept.select("sig", "rep", "size").withColumn("n", F.count("*").over(by_sig)).where("n > 1"), "members")
+    few = counted.where(f"n <= {BUSY}").select("sig", "rep", "size", F.lit(1).cast("long").alias("at"))
+    busy = stored(counted.where(f"n > {BUSY}").select("rep", "size").distinct(), "busy")
+    if not busy.isEmpty():
+        few = few.unionByName(rarest_shingles(rows, busy))
+    members = stored(few.withColumn("place", F.row_number().over(by_sig.orderBy("rep"))), "placed")
+    return members, short.join(classes, "cls").select("rep", "size")
+
+
+def rarest_shingles(rows: DataFrame, busy: DataFrame) -> DataFrame:
+    """(sig, rep, size, at) of the shingles that a link of these classes with each other must show one of.
+
+    ``at`` is a shingle's place among those of its class, by rising frequency in these classes. Two sets that
+    overlap in n shingles have their first common one n places before the end at the latest.
+    """
+
+    def send(batches):
+        hashes = Hashes()
+        for batch in batches:
+            for name, text in zip(batch.column(0), batch.column(1), strict=True):
+                found = shingles(word_list(text.as_py() or ""), hashes)
+                for a in range(0, len(found), 1 << 18):
+                    part = found[a:a + (1 << 18)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part.view(np.int64)), pa.array([name.as_py()] * len(part), pa.binary())], names=["sig", "rep"])
+
+    texts = texts_of(rows, busy.select(F.col("rep").alias("name")))
+    sent = stored(texts.mapInArrow(send, "sig long, rep binary"), "busy-shingles")
+    often = sent.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1")
+    order = Window.partitionBy("rep").orderBy(F.coalesce("often", F.lit(1)), "sig")
+    placed = sent.join(often, "sig", "left").withColumn("at", F.row_number().over(order).cast("long")).where("often is not null")
+    return placed.join(busy, "rep").where(f"100 * (size - at + 1) >= {PERCENT} * size").select("sig", "rep", "size", "at")
+
+
+def meets(a: str, b: str) -> str:
+    """Whether two classes that share a signature at these places can link at all."""
+    enough = [f"{100 + PERCENT} * (size_{x} - at_{x} + 1) >= {PERCENT} * (size_a + size_b)" for x in (a, b)]
+    return " and ".join([*enough, f"100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)"])
+
+
+def side(members: DataFrame, x: str, *more: Column) -> DataFrame:
+    return members.select("sig", *[F.col(c).alias(n) for c, n in (("rep", x), ("size", f"size_{x}"), ("at", f"at_{x}"))], *more)
 
 
 def _short_pairs(short: DataFrame, classes: DataFrame) -> DataFrame:
@@ -293,7 +352,7 @@ def _short_pairs(short: DataFrame, classes: DataFrame) -> DataFrame:
     near = short.withColumn("band", F.explode(F.array(*[band(F.col("size")) + d for d in (-1, 0, 1)]))).select(
         F.col("rep").alias("a"), F.col("size").alias("size_a"), "band"
     )
-    every = classes.where("rep is not null").select(F.col("rep").alias("b"), F.col("size").alias("size_b"), band(F.col("size")).alias("band"))
+    every = classes.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), band(F.col("size")).alias("band"))
     return near.join(every, "band").where(
         f"a != b and 100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)"
     ).select("a", "b")
@@ -304,16 +363,13 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     members, short = candidates(rows, classes)
     short = stored(short, "short")
     long_way = not short.isEmpty()
-    involved = members.select(F.col("rep").alias("key"))
-    pairs = members.where("place = 1").select("sig", F.col("rep").alias("a"), F.col("size").alias("size_a")).join(
-        members.where("place > 1").select("sig", F.col("rep").alias("b"), F.col("size").alias("size_b")), "sig"
-    ).where(f"100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)").select("a", "b")
+    involved = members.select(F.col("rep").alias("name"))
+    pairs = side(members.where("place = 1"), "a").join(side(members.where("place > 1"), "b"), "sig").where(meets("a", "b")).select("a", "b")
     if long_way:
         far = _short_pairs(short, classes)
         pairs = pairs.unionAll(far)
         involved = involved.unionAll(far.select("a")).unionAll(far.select("b"))
-    wanted = small_or_not(stored(involved.distinct(), "involved"))
-    texts = stored(rows.join(wanted, "key").dropDuplicates(["key"]), "linked-texts")
+    texts = texts_of(rows, stored(involved.distinct(), "involved"))
     tested = stored(pairs.distinct(), "pairs")
     labels = components(verified(tested, texts))
     first, last, open_ = 2, 5, members
@@ -329,13 +385,9 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
         )
         if open_.isEmpty():
             return labels
-        pivots = open_.where(f"place between {first} and {last}").select(
-            "sig", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("from"), F.col("place").alias("at")
-        )
-        others = open_.select("sig", F.col("rep").alias("b"), F.col("size").alias("size_b"), "component", "place")
-        pairs = pivots.join(others, "sig").where(
-            f"place > at and `from` != component and 100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)"
-        ).select("a", "b").distinct()
+        pivots = side(open_.where(f"place between {first} and {last}"), "a", F.col("component").alias("from"), F.col("place").alias("before"))
+        others = side(open_, "b", F.col("component"), F.col("place"))
+        pairs = pivots.join(others, "sig").where(f"place > before and `from` != component and {meets('a', 'b')}").select("a", "b").distinct()
         new = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = verified(new, texts)
         lift = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))

@@ -71,16 +71,43 @@ def test_classes_short_of_units_go_the_long_way(copies, monkeypatch):
     want, _ = brute.components(texts)
     pairs = jaccard_join._short_pairs
     called = []
-    rows = jaccard_join.keyed(copies, "doc_id", "text")
-    classes = graphs.stored(jaccard_join.shingle_sets(rows).where("n_shingles > 0").groupBy("whole").agg(
-        jaccard_join.F.min("key").alias("rep"), jaccard_join.F.first("n_shingles").alias("size"), jaccard_join.F.first("cls").alias("cls")
-    ), "classes")
-    nothing = rows.sparkSession.createDataFrame([], "sig long, rep long, size long, place int")
+    nothing = copies.sparkSession.createDataFrame([], "sig long, rep binary, size long, at long, place int")
     monkeypatch.setattr(jaccard_join, "candidates", lambda r, c: (nothing, c.select("rep", "size")))
     monkeypatch.setattr(jaccard_join, "_short_pairs", lambda s, c: called.append(1) or pairs(s, c))
-    got = dict(jaccard_join._linked_classes(rows, classes).collect())
-    assert called and all(got.get(d, want[d]) == want[d] for d in texts)
-    assert {d for d in texts if want[d] != d} <= {d for d in texts} and len(got) > 0
+    assert called == [] and by_id(jaccard_join.digest(copies), "component_id") == {d: (want[d],) for d in texts} and called
+
+
+@pytest.mark.parametrize("busy", [1, 16])
+def test_busy_signatures_lose_no_link(copies, monkeypatch, busy):
+    monkeypatch.setattr(jaccard_join, "BUSY", busy)
+    texts = dict(copies.select("doc_id", "text").collect())
+    want, sizes = brute.components(texts)
+    assert by_id(jaccard_join.digest(copies), "n_shingles", "component_id") == {d: (sizes[d], want[d]) for d in texts}
+
+
+@pytest.mark.parametrize("share", [0.5, 0.7, 0.8])
+def test_a_shared_passage_costs_no_pairs(spark, monkeypatch, share):
+    """500 documents that hold one passage and do not link, among them ten near copies."""
+    chance = random.Random(int(share * 10))
+    word = lambda: "".join(chance.choices("abcdefgh", k=6))
+    passage = [word() for _ in range(int(150 * share))]
+    texts = [" ".join([*passage, *(word() for _ in range(150 - len(passage)))]) for _ in range(500)]
+    texts += [t + " " + word() for t in texts[:10]]
+    counted, real = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, t: counted.append(pairs.count()) or real(pairs, t))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = by_id(jaccard_join.digest(frame), "component_id")
+    assert got == {d: (d if d < 500 else d - 500,) for d in range(510)}
+    assert sum(counted) < 2000
+
+
+def test_null_and_repeated_ids_hide_no_link(spark):
+    words = [f"w{i}" for i in range(100)]
+    left, bridge, right = " ".join(words), " ".join(words[12:]), " ".join(words[26:])
+    rows = [(5, left), (None, bridge), (9, right), (9, "another text of the same id"), (None, "alone and without an id"), (9, right), (None, None)]
+    got = sorted(map(tuple, jaccard_join.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([
+        (5, 96, 5), (None, 84, 5), (9, 70, 5), (9, 2, 9), (None, 1, None), (9, 70, 5), (None, 0, None)], key=repr)
 
 
 def test_chain_of_components(spark):
