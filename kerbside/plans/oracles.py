@@ -89,6 +89,9 @@ CHECK_VIEWS = {
         from raw""",
 }
 
+# The alarms in four batches.
+CHECK_VIEWS["alerts_dealt"] = CHECK_VIEWS["alerts"].replace("as BJBH, p.plate", "as BJBH, p.plate, event_id % 4 as batch")
+
 HIT = "event_id, pass_ts, plate, task_id"
 
 
@@ -99,9 +102,9 @@ def _flow(grain: str) -> str:
     )
 
 
-def _newest(view: str, columns: list[str]) -> str:
-    """One row per row key; equal keys are settled by content."""
-    order = ", ".join(f"{c} desc" for c in columns)
+def _newest(view: str, columns: list[str], first: str = "") -> str:
+    """One row per row key; equal keys are settled by ``first``, then by content."""
+    order = first + ", ".join(f"{c} desc" for c in columns)
     return (
         f"select row_key, {', '.join(columns)} from {view} "
         f"qualify row_number() over (partition by row_key order by {order}) = 1"
@@ -392,6 +395,10 @@ BODIES: dict[str, str] = {
     "stream_alerts_refresh": _newest("alerts_refreshed", ALARM),
     "stream_alerts": _newest("alerts", ALARM),
     "stream_overspeed": _newest("violations", VIOLATION),
+    "stream_alarms_bucketed": _newest("alerts_dealt", ALARM, "batch desc, "),
+    "scroll_pinned": f"""
+        select {HIT}, (row_number() over (order by pass_ts, event_id) - 1) // 50 as page
+        from hits where event_id % 3 < 2""",
     "stream_fan_out": f"""
         select row_key, device_id as SBBH, {TIME} as Time, plate as Plate_License,
           case when event_id % 3 > 0 then event_id || '_' || (event_id % 3) end as Data

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
-from kerbside.operators import archive, device_day, enrich, flow, limits, paging, search, speed, watch
+from kerbside.operators import archive, device_day, enrich, flow, limits, paging, scroll, search, speed, watch
 from kerbside.operators.lookup import salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
@@ -240,6 +240,27 @@ def _results(passes):
     )
 
 
+@query
+def scroll_pinned(spark, sf_dir):
+    """All pages of an attribute search; after the first page another batch of hits comes in, which no page shows."""
+    passes = inputs.passes(spark, sf_dir)
+    table, pages = fresh_dir(spark, "searched"), fresh_dir(spark, "pages")
+    for batch in range(2):
+        sinks.write_batch(passes.filter(F.col("event_id") % 3 == batch), batch, table)
+
+    def hits(rows):
+        return search.attr_search(rows, *RANGE, **TERMS).select("event_id", "pass_ts", "plate", "task_id")
+
+    cursor = scroll.open_cursor(spark, table, hits, paging.ATTR_PAGE)
+    while cursor.page < cursor.pages:
+        page, found = cursor.page, scroll.read_page(spark, table, hits, cursor)
+        sinks.write_batch(found, page, pages)
+        if page == 0:
+            sinks.write_batch(passes.filter(F.col("event_id") % 3 == 2), 2, table)
+        cursor = cursor.turned()
+    return sinks.read_batches(spark, pages).withColumn("page", F.col("batch_id").cast("long")).drop("batch_id")
+
+
 @query
 def result_index_search(spark, sf_dir):
     """The attribute search over result documents, under their names."""
@@ -553,6 +574,16 @@ def stream_alerts(spark, sf_dir):
     return sinks.read_rows(spark, out)
 
 
+@query
+def stream_alarms_bucketed(spark, sf_dir):
+    """Alarms of four batches upserted into a table in buckets, merged on the way; reading it exchanges nothing."""
+    passes = inputs.passes(spark, sf_dir)
+    stream = inputs.files_stream(spark, _shuffled(passes), fresh_dir(spark, "passes"))
+    table = sinks.keyed_table(fresh_dir(spark, "alarms"), buckets=8, fan=2)
+    _drain(spark, stream, lambda path: jobs.alerts_sink(lambda: _watchlist(spark, passes), path, None, lambda: 1, table=table))
+    return table.read(spark)
+
+
 @query
 def stream_overspeed(spark, sf_dir):
     stream = inputs.pass_stream_input(spark, sf_dir)

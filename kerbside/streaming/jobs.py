@@ -14,6 +14,7 @@ from kerbside.operators import limits, watch
 from kerbside.operators.lookup import Join, plain_join, size_up
 from kerbside.sources import decode
 from kerbside.streaming import sinks
+from kerbside.streaming.levels import Levels
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -87,16 +88,21 @@ def every(seconds: float) -> Callable[[], object]:
 
 def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
                 send: Callable[[DataFrame, int], None] | None = None,
-                version: Callable[[], object] | None = None, wire: str = "json") -> Batch:
+                version: Callable[[], object] | None = None, wire: str = "json", table: Levels | None = None) -> Batch:
     """Watchlist hits of each batch into the alarm table, and to ``send`` as messages.
 
-    Alerts that make no message go to the table ``{path}-rejects``.
+    Alerts that make no message go to the table ``{path}-rejects``. The alarm table lies in day folders below ``path``,
+    or is ``table``, a keyed one.
     """
 
     def work(batch: DataFrame, batch_id: int, watchlist: DataFrame, join: Join) -> None:
         kept = watch.watchlist_alerts(batch, watchlist, join).persist()
         try:
-            sinks.write_by_day(watch.alarm_table(kept), batch_id, path, "GCSJ")
+            alarms = watch.alarm_table(kept)
+            if table is None:
+                sinks.write_by_day(alarms, batch_id, path, "GCSJ")
+            else:
+                table.add(alarms, batch_id)
             sinks.write_some(watch.alarm_rejects(kept), batch_id, f"{path}-rejects")
             if send is not None:
                 send(watch.alarm_messages(kept, wire), batch_id)
@@ -107,8 +113,8 @@ def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
 
 
 def overspeed_sink(load_gates: Callable[[], DataFrame], path: str,
-                   version: Callable[[], object] | None = None) -> Batch:
-    """Violations of each batch into the violation table.
+                   version: Callable[[], object] | None = None, table: Levels | None = None) -> Batch:
+    """Violations of each batch into the violation table, in day folders below ``path`` or ``table``, a keyed one.
 
     Beside it go the passes at unknown gates, those whose gate gives no usable limit, and the
     batch's counters, into ``{path}-unknown-gates``, ``-unusable-limits`` and ``-counters``.
@@ -118,7 +124,10 @@ def overspeed_sink(load_gates: Callable[[], DataFrame], path: str,
         used = batch.select(*limits.USED, time_text(batch).alias("WFSJ"))
         kept = limits.with_limit(used, gates, "left", join).persist()
         try:
-            sinks.write_by_day(limits.violations(kept), batch_id, path, "WFSJ")
+            if table is None:
+                sinks.write_by_day(limits.violations(kept), batch_id, path, "WFSJ")
+            else:
+                table.add(limits.violations(kept), batch_id)
             sinks.write_some(kept.filter("not known").drop("speedlimit", "limit", "known"), batch_id, f"{path}-unknown-gates")
             sinks.write_some(limits.unusable(kept).drop("limit", "known"), batch_id, f"{path}-unusable-limits")
             sinks.write_batch(kept.agg(*limits.counters()), batch_id, f"{path}-counters")

@@ -6,13 +6,16 @@ rewritten once a level. What merging does is the caller's: counts are summed, ke
 
 The manifest is the table: a small file that names the live parts and the last batch, and is
 replaced by a rename in one step. A part that no manifest names was left by a failed batch and is never read; a batch that
-the manifest holds already was replayed and is not added again. Merged parts stay on disk for
+the manifest holds already was replayed and is not added again. A keyed table may be dealt to a fixed number of ``buckets`` by its
+key: parts then lie ready by bucket, so that merges and reads of the whole table exchange nothing, and a row is looked up in
+one bucket of each part. Merged parts stay on disk for
 ``keep_seconds``, for readers that hold an older manifest. One query writes a table; the shared storage must
 rename files atomically, as HDFS and local file systems do.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -104,6 +107,8 @@ class Levels:
     merge: Merge
     partition_by: tuple[str, ...] = ()
     fan: int = 4
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 64
     keep_seconds: float = 3600.0
     clock: Callable[[], float] = field(default=time.time, compare=False)
 
@@ -119,12 +124,37 @@ class Levels:
 
     def _write(self, rows: DataFrame, first: int, last: int, level: int) -> Part:
         part = Part(f"{first}-{last}-{uuid.uuid4().hex}", first, last, level)
+        if self.bucket_by:
+            if not level:
+                # Merged rows come bucket by bucket already.
+                rows = rows.repartition(self.buckets, *self.bucket_by)
+            name = f"levels_part_{uuid.uuid4().hex}"
+            dealt = rows.write.format("parquet").bucketBy(self.buckets, *self.bucket_by).sortBy(*self.bucket_by)
+            dealt.option("path", self._folder(part.folder)).saveAsTable(name)
+            # The files stay.
+            rows.sparkSession.sql(f"DROP TABLE {name}")
+            return part
         if self.partition_by:
             # Small days share a file each, large ones are split.
             rows = rows.hint("rebalance", *self.partition_by)
         rows.write.partitionBy(*self.partition_by).parquet(self._folder(part.folder))
         return part
 
+    def _bucketed(self, spark: SparkSession, shape: StructType, parts: Sequence[Part]) -> DataFrame:
+        """Part folders as one partitioned table of the session, as a table alone makes buckets known to the planner.
+
+        One scan then reads a bucket of all parts in one task.
+        """
+        name = f"levels_{hashlib.md5(self.path.encode()).hexdigest()}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
+        keys = ", ".join(f"`{c}`" for c in self.bucket_by)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({_FOLDER}) "
+            f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/parts'")
+        known = " ".join(f"PARTITION ({_FOLDER} = '{p.folder}')" for p in parts)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {known}")
+        return spark.table(name).where(F.col(_FOLDER).isin([p.folder for p in parts]))
+
     def add(self, rows: DataFrame, batch_id: int) -> bool:
         """Add the rows of a batch; False if the table has that batch already."""
         spark = rows.sparkSession
@@ -156,7 +186,10 @@ class Levels:
 
     def _rows(self, spark: SparkSession, held: Manifest, parts: Sequence[Part]) -> DataFrame:
         shape = StructType.fromJson(json.loads(held.schema)).add(_FOLDER, "string")
-        rows = spark.read.schema(shape).option("basePath", f"{self.path}/parts").parquet(*[self._folder(p.folder) for p in parts])
+        if self.bucket_by:
+            rows = self._bucketed(spark, shape, parts)
+        else:
+            rows = spark.read.schema(shape).option("basePath", f"{self.path}/parts").parquet(*[self._folder(p.folder) for p in parts])
         return rows.withColumn(SINCE, F.split_part(_FOLDER, F.lit("-"), F.lit(1)).cast("long")).drop(_FOLDER)
 
     def rows(self, spark: SparkSession) -> DataFrame:
@@ -176,11 +209,12 @@ def summing(keys: Sequence[str], sums: Sequence[str]) -> Merge:
     return lambda rows: rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def newest(keys: Sequence[str], columns: Sequence[str]) -> Merge:
+def newest(keys: Sequence[str], columns: Sequence[str] | None = None) -> Merge:
     """Per key the row of the latest batch; rows of one key within a batch are settled by content."""
 
     def merge(rows: DataFrame) -> DataFrame:
-        kept = rows.groupBy(*keys).agg(F.max(F.struct(SINCE, *columns)).alias("row"))
-        return kept.select(*keys, *[F.col(f"row.{c}").alias(c) for c in columns])
+        others = columns or [c for c in rows.columns if c not in (*keys, SINCE)]
+        kept = rows.groupBy(*keys).agg(F.max(F.struct(SINCE, *others)).alias("row"))
+        return kept.select(*keys, *[F.col(f"row.{c}").alias(c) for c in others])
 
     return merge

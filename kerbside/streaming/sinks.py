@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators import archive
+from kerbside.streaming.levels import Levels
+from kerbside.streaming.levels import newest as latest_of
 
 BATCH = "batch_id"
 DAY = "day"
@@ -80,6 +82,15 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return read_latest(spark, path, ["row_key"])
 
 
+def keyed_table(path: str, key: str = "row_key", buckets: int = 64, fan: int = 4) -> Levels:
+    """A table with one row per key, the newest, in hash buckets: `Levels.add` upserts a batch, `Levels.read` gives all rows.
+
+    Neither reading nor merging exchanges rows; a lookup of one key reads one bucket of each part. The number of buckets
+    stays with the table.
+    """
+    return Levels(path, latest_of([key]), fan=fan, bucket_by=(key,), buckets=buckets)
+
+
 # Outputs that are searched by time, and the column that has it.
 TIMED = {"meta": "Time", "index": "Time"}
 
