@@ -215,6 +215,8 @@ BODIES: dict[str, str] = {
         from passes where device_id = '2' or (device_id = '1' and vehicle_type >= 2)""",
     "overspeed_counters": 'select count(*) as "all", count(*) filter (speed > lim) as illegal from limited',
     "attr_search": f"select {HIT} from hits",
+    "attr_search_bitmap": f"select {HIT} from hits",
+    "attr_count_bitmap": "select count(*) as total from hits",
     "attr_search_some_terms": f"""
         select {HIT} from passes where vehicle_brand = '宝马' and crash and pass_ts >= timestamp '{RANGE[0]}'""",
     "attr_search_paged": f"""

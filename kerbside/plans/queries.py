@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
-from kerbside.operators import archive, device_day, enrich, flow, limits, paging, scroll, search, speed, watch
+from kerbside.operators import archive, bitmaps, device_day, enrich, flow, limits, paging, scroll, search, speed, watch
 from kerbside.operators.lookup import salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
@@ -240,6 +240,25 @@ def _results(passes):
     )
 
 
+def _bitmap_index(spark, sf_dir):
+    passes, path = inputs.passes(spark, sf_dir).select(*search.TERMS, *_HIT), fresh_dir(spark, "bitmaps")
+    for batch, part in enumerate(_shuffled(passes)[:2] + [passes.filter(F.col("event_id") % 4 > 1)]):
+        bitmaps.index_batch(part, batch, path)
+    return path
+
+
+@query
+def attr_search_bitmap(spark, sf_dir):
+    """The attribute search by the and of bitmaps, over three indexed batches."""
+    return bitmaps.search(spark, _bitmap_index(spark, sf_dir), *RANGE, **TERMS).select(*_HIT)
+
+
+@query
+def attr_count_bitmap(spark, sf_dir):
+    """Its number of hits, from the index alone."""
+    return bitmaps.count(spark, _bitmap_index(spark, sf_dir), *RANGE, **TERMS)
+
+
 @query
 def scroll_pinned(spark, sf_dir):
     """All pages of an attribute search; after the first page another batch of hits comes in, which no page shows."""
