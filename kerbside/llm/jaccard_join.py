@@ -38,9 +38,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbside.llm.graphs import components, relabelled, small_or_not, stored
-from kerbside.llm.texts import Hashes, blocks, keyed, map_blocks, mixed, runs_hashed
+from kerbside.llm.texts import Hashes, blocks, keyed, mixed, runs_hashed
 
 WORDS = 5
 PERCENT = 75
@@ -165,50 +166,74 @@ def signatures(sets: list[np.ndarray], band: np.ndarray, partner: np.ndarray) ->
     return np.concatenate(out), np.concatenate(of), needed
 
 
-SIGNATURE = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("needed", pa.int32()), ("own", pa.bool_())])
-
-
-def send_signatures(batches):
-    """Signature rows of each class once a task; a class short of units gets a row without signature."""
-    hashes, seen = Hashes(), set()
-    for _, texts in blocks(batches):
-        sets, classes = [], []
-        for t in texts:
-            s = shingles(word_list(t), hashes)
-            cls = xxhash.xxh3_64_intdigest(s.tobytes())
-            if len(s) and cls not in seen:
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(cls)
-                sets.append(s)
-                classes.append(cls)
-        if not sets:
-            continue
-        cls = np.array(classes, np.uint64).view(np.int64)
-        size = np.array([len(s) for s in sets])
-        band = np.searchsorted(band_starts(), size, "right") - 1
-        below = band_starts()[band] - 1  # the largest size of the band below
-        down = np.flatnonzero((band > 0) & (below * 100 >= size * PERCENT))
-        for pick, at, partner, own in (
-            (np.arange(len(sets)), band, size * 100 // PERCENT, True), (down, band[down] - 1, below[down], False),
-        ):
-            if not len(pick):
+def sender(key: pa.DataType):
+    """Task function over ``keyed`` rows: a row for each text with its set's digests, and the signatures of each class.
+
+    Signatures of a class are sent once a task. A class short of units gets a row without signature. Rows of texts have a
+    signature that no other row has, so that they spread.
+    """
+    told = pa.struct([
+        ("key", key), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("whole", pa.binary()), ("name", pa.binary()),
+    ])
+    shape = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("needed", pa.int32()), ("own", pa.bool_()), ("row", told)])
+
+    def rows_of(sig, cls, needed, own) -> pa.RecordBatch:
+        n = len(cls)
+        return pa.RecordBatch.from_arrays([
+            pa.nulls(n, pa.int64()) if sig is None else pa.array(sig.view(np.int64)), pa.array(cls),
+            pa.array(needed.astype(np.int32)), pa.array(np.full(n, own)), pa.nulls(n, told),
+        ], schema=shape)
+
+    def texts_rows(keys, texts, sets, classes) -> pa.RecordBatch:
+        names = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
+        columns = [
+            keys.cast(key), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(classes, np.uint64).view(np.int64)),
+            pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(names, pa.binary()),
+        ]
+        spread = np.array([xxhash.xxh3_64_intdigest(n + i.to_bytes(8, "little")) for i, n in enumerate(names)], np.uint64)
+        n = len(texts)
+        return pa.RecordBatch.from_arrays([
+            pa.array(spread.view(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()),
+            pa.StructArray.from_arrays(columns, fields=list(told)),
+        ], schema=shape)
+
+    def run(batches):
+        hashes, seen = Hashes(), set()
+        for keys, texts in blocks(batches):
+            every = [shingles(word_list(t), hashes) for t in texts]
+            digests = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in every]
+            yield texts_rows(keys, texts, every, digests)
+            sets, classes = [], []
+            for s, cls in zip(every, digests, strict=True):
+                if len(s) and cls not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(cls)
+                    sets.append(s)
+                    classes.append(cls)
+            if not sets:
                 continue
-            sig, of, needed = signatures([sets[i] for i in pick], at, partner)
-            full = needed[of] > 0
-            short = np.flatnonzero(needed == 0)
-            for a in range(0, max(1, len(of)), 1 << 18):
-                part = slice(a, a + (1 << 18))
-                keep = full[part]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(sig[part][keep].view(np.int64)), pa.array(cls[pick[of[part][keep]]]),
-                    pa.array(needed[of[part][keep]].astype(np.int32)), pa.array(np.full(int(keep.sum()), own)),
-                ], schema=SIGNATURE)
-            if len(short):
-                yield pa.RecordBatch.from_arrays([
-                    pa.nulls(len(short), pa.int64()), pa.array(cls[pick[short]]), pa.array(np.zeros(len(short), np.int32)),
-                    pa.array(np.full(len(short), own)),
-                ], schema=SIGNATURE)
+            cls = np.array(classes, np.uint64).view(np.int64)
+            size = np.array([len(s) for s in sets])
+            band = np.searchsorted(band_starts(), size, "right") - 1
+            below = band_starts()[band] - 1  # the largest size of the band below
+            down = np.flatnonzero((band > 0) & (below * 100 >= size * PERCENT))
+            for pick, at, partner, own in (
+                (np.arange(len(sets)), band, size * 100 // PERCENT, True), (down, band[down] - 1, below[down], False),
+            ):
+                if not len(pick):
+                    continue
+                sig, of, needed = signatures([sets[i] for i in pick], at, partner)
+                full = needed[of] > 0
+                short = np.flatnonzero(needed == 0)
+                for a in range(0, max(1, len(of)), 1 << 18):
+                    part = slice(a, a + (1 << 18))
+                    keep = full[part]
+                    yield rows_of(sig[part][keep], cls[pick[of[part][keep]]], needed[of[part][keep]], own)
+                if len(short):
+                    yield rows_of(None, cls[pick[short]], np.zeros(len(short), np.int32), own)
+
+    return run
 
 
 def text_name(text: Column) -> Column:
@@ -216,66 +241,46 @@ def text_name(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def shingle_sets(rows: DataFrame) -> DataFrame:
-    """Per row of a ``keyed`` frame: key, size of its set, two digests of the set, and that of the text."""
-    hashes: list[Hashes] = []
-
-    def work(block):
-        own = hashes[0] if hashes else hashes.append(Hashes()) or hashes[0]
-        sets = [shingles(word_list(t), own) for t in block[1]]
-        return {
-            "n_shingles": [len(s) for s in sets],
-            "cls": np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64),
-            "whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-            "name": [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in block[1]],
-        }
-
-    return map_blocks(rows, work, "n_shingles long, cls long, whole binary, name binary")
+def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, shingles) for the texts of these ``names``; the shingles are sorted hashes, eight bytes each."""
+    named = rows.select(text_name(F.col("text")).alias("name"), "text").join(small_or_not(names), "name").dropDuplicates(["name"])
 
+    def work(batches):
+        hashes = Hashes()
+        for keys, texts in blocks(batches):
+            found = [shingles(word_list(t), hashes).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(found, pa.binary())], names=["name", "shingles"])
 
-def texts_of(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """(name, text), one row for each of the ``names``."""
-    named = rows.select(text_name(F.col("text")).alias("name"), "text")
-    return stored(named.join(small_or_not(names), "name").dropDuplicates(["name"]), "linked-texts")
+    return stored(named.select("name", "text").mapInArrow(work, "name binary, shingles binary"), "linked-sets")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts link."""
-    one = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link."""
+    one = sets.select(F.col("name").alias("a"), F.col("shingles").alias("set_a"))
+    two = sets.select(F.col("name").alias("b"), F.col("shingles").alias("set_b"))
     kind = pairs.schema["a"].dataType.simpleString()
 
     def check(batches):
-        hashes, held = Hashes(), {}
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                sets = []
-                for k in (0, 1):
-                    key = batch.column(k)[i].as_py()
-                    if key not in held:
-                        if len(held) >= 64:
-                            held.clear()
-                        held[key] = shingles(word_list(batch.column(k + 2)[i].as_py() or ""), hashes)
-                    sets.append(held[key])
-                if linked(*sets):
-                    keep.append(i)
+            left, right = ([np.frombuffer(s.as_py(), np.uint64) for s in batch.column(k)] for k in (2, 3))
+            keep = [i for i, (x, y) in enumerate(zip(left, right, strict=True)) if linked(x, y)]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, f"a {kind}, b {kind}")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles and component_id, the smallest key reachable by links."""
     rows = keyed(docs, key, text)
-    sets = stored(shingle_sets(rows), "shingle-sets")
+    shared = shared_signatures(rows)
+    sets = stored(shared.where("row is not null").select("row.*"), "shingle-sets")
     # A class goes by one of its texts.
     classes = stored(
         sets.where("n_shingles > 0").groupBy("whole").agg(
             F.min("name").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls"), F.min("key").alias("least")
         ), "classes",
     )
-    labels = _linked_classes(rows, classes)
+    labels = _linked_classes(rows, classes, *candidates(rows, shared.where("row is null").drop("row"), classes))
     found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "whole", "least", F.coalesce("component", "rep").alias("component")
     )
@@ -285,15 +290,21 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return sets.join(names, "whole", "left").select(F.col("key").alias(key), "n_shingles", own.alias("component_id"))
 
 
-def candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sig, rep, size) of classes that share signatures enough to link; and classes short of units."""
-    sent = rows.mapInArrow(send_signatures, "sig long, cls long, needed int, own boolean")
+def shared_signatures(rows: DataFrame) -> DataFrame:
+    """The rows of texts, and of all signatures those that several classes have, with how often they occur."""
+    kind = rows.schema["key"].dataType
+    told = f"struct<key: {kind.simpleString()}, n_shingles: bigint, cls: bigint, whole: binary, name: binary>"
+    sent = rows.mapInArrow(
+        sender(to_arrow_schema(rows.select("key").schema).field(0).type), f"sig long, cls long, needed int, own boolean, row {told}")
     by_sig = Window.partitionBy("sig")
     several = F.min("cls").over(by_sig) != F.max("cls").over(by_sig)
-    shared = stored(
-        sent.withColumns({"several": several, "often": F.count("*").over(by_sig)}).where("several or sig is null").drop("several"),
-        "shared-signatures",
-    )
+    marked = sent.withColumns({"several": several, "often": F.count("cls").over(by_sig)})
+    return stored(marked.where("several or sig is null or row is not null").drop("several"), "shared-signatures")
+
+
+def candidates(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, rep, size, at, place) of classes that share signatures enough to link; and classes short of units."""
+    by_sig = Window.partitionBy("sig")
     short = shared.where("sig is null").select("cls").distinct()
     # A link of a class needs ``needed`` of its signatures here, so the most frequent ones but these can be spared.
     of_class = Window.partitionBy("cls", "own")
@@ -318,17 +329,16 @@ def rarest_shingles(rows: DataFrame, busy: DataFrame) -> DataFrame:
     """
 
     def send(batches):
-        hashes = Hashes()
         for batch in batches:
-            for name, text in zip(batch.column(0), batch.column(1), strict=True):
-                found = shingles(word_list(text.as_py() or ""), hashes)
+            for name, held in zip(batch.column(0), batch.column(1), strict=True):
+                found = np.frombuffer(held.as_py(), np.uint64)
                 for a in range(0, len(found), 1 << 18):
                     part = found[a:a + (1 << 18)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(part.view(np.int64)), pa.array([name.as_py()] * len(part), pa.binary())], names=["sig", "rep"])
 
-    texts = texts_of(rows, busy.select(F.col("rep").alias("name")))
-    sent = stored(texts.mapInArrow(send, "sig long, rep binary"), "busy-shingles")
+    sets = sets_of(rows, busy.select(F.col("rep").alias("name")))
+    sent = stored(sets.mapInArrow(send, "sig long, rep binary"), "busy-shingles")
     often = sent.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1")
     order = Window.partitionBy("rep").orderBy(F.coalesce("often", F.lit(1)), "sig")
     placed = sent.join(often, "sig", "left").withColumn("at", F.row_number().over(order).cast("long")).where("often is not null")
@@ -358,9 +368,8 @@ def _short_pairs(short: DataFrame, classes: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, short: DataFrame) -> DataFrame:
     """(node, component) of the classes that link with another."""
-    members, short = candidates(rows, classes)
     short = stored(short, "short")
     long_way = not short.isEmpty()
     involved = members.select(F.col("rep").alias("name"))
@@ -369,9 +378,9 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
         far = _short_pairs(short, classes)
         pairs = pairs.unionAll(far)
         involved = involved.unionAll(far.select("a")).unionAll(far.select("b"))
-    texts = texts_of(rows, stored(involved.distinct(), "involved"))
+    sets = sets_of(rows, stored(involved.distinct(), "involved"))
     tested = stored(pairs.distinct(), "pairs")
-    labels = components(verified(tested, texts))
+    labels = components(verified(tested, sets))
     first, last, open_ = 2, 5, members
     while True:
         known = open_.drop("component").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
@@ -389,7 +398,7 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
         others = side(open_, "b", F.col("component"), F.col("place"))
         pairs = pivots.join(others, "sig").where(f"place > before and `from` != component and {meets('a', 'b')}").select("a", "b").distinct()
         new = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = verified(new, texts)
+        links = verified(new, sets)
         lift = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
         roots = links.join(lift("a"), "a", "left").join(lift("b"), "b", "left").select(
             F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
@@ -401,7 +410,7 @@ def _linked_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
             ).select("node", F.col("root").alias("component")), "labels",
         )
         tested = tested.unionAll(new)
-        first, last = last + 1, last + 4 * (last - first + 1)
+        first, last = last + 1, last + 8 * (last - first + 1)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def test_classes_short_of_units_go_the_long_way(copies, monkeypatch):
     pairs = jaccard_join._short_pairs
     called = []
     nothing = copies.sparkSession.createDataFrame([], "sig long, rep binary, size long, at long, place int")
-    monkeypatch.setattr(jaccard_join, "candidates", lambda r, c: (nothing, c.select("rep", "size")))
+    monkeypatch.setattr(jaccard_join, "candidates", lambda r, s, c: (nothing, c.select("rep", "size")))
     monkeypatch.setattr(jaccard_join, "_short_pairs", lambda s, c: called.append(1) or pairs(s, c))
     assert called == [] and by_id(jaccard_join.digest(copies), "component_id") == {d: (want[d],) for d in texts} and called
 
