@@ -58,6 +58,9 @@ def matching(spark: SparkSession, path: str, start=None, end=None, **terms) -> D
     if unknown:
         raise ValueError(f"unknown terms: {sorted(unknown)}")
     start, end = (None if t is None else F.lit(t).cast("timestamp") for t in (start, end))
+    if end is not None and start is None:
+        # Passes without a time are in no range.
+        start = F.expr(_NO_TIME) + F.expr("interval 1 microsecond")
     blocks, inside = _read(spark, path, "blocks"), F.lit(True)
     if start is not None:
         blocks, inside = blocks.where(F.col("high") >= start), inside & (F.col("low") >= start)

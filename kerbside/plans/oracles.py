@@ -36,6 +36,13 @@ CHECK_VIEWS = {
           vehicle_type as CLLX, p.plate || {TIME} as CLXXBH, device_id as KKBH, {TIME} as GCSJ, speed as CLSD,
           device_id || {TIME} as BJBH, p.plate
         from passes p join watchlist w on p.plate = w.plate""",
+    "alerts_by_message": f"""
+        select {TIME} || p.plate || device_id as row_key, bkxxbh as BKXXBH, bkjb as BKJB, alarm_type as BKLX,
+          plate_color as HPYS, plate_type as HPZL, vehicle_logo as CLPP1, vehicle_color as CSYS,
+          vehicle_type as CLLX, p.plate || {TIME} as CLXXBH, device_id as KKBH, {TIME} as GCSJ, speed as CLSD,
+          device_id || {TIME} as BJBH, p.plate, event_id % 4 as batch
+        from passes p join watchlist w on p.plate = w.plate
+        where event_id % 4 < 2 or p.plate not like '%0'""",
     "alerts_refreshed": f"""
         select {TIME} || p.plate || device_id as row_key, bkxxbh as BKXXBH, bkjb as BKJB, alarm_type as BKLX,
           plate_color as HPYS, plate_type as HPZL, vehicle_logo as CLPP1, vehicle_color as CSYS,
@@ -206,6 +213,12 @@ BODIES: dict[str, str] = {
           plate as PlateLicense, HPYS as PlateColor, HPZL as PlateType, CLPP1 as VehicleLogoRecog,
           CLLX as VehicleType, CLSD as VehicleSpeed
         from alerts""",
+    "alarm_outbox": """
+        select row_key as key, BJBH as Id, CLXXBH as VehicleId, BKXXBH as PreyInfoId,
+          cast(BKJB as bigint) as Priority, KKBH as DeviceId, GCSJ as Time, cast(BKLX as bigint) as Type,
+          plate as PlateLicense, HPYS as PlateColor, HPZL as PlateType, CLPP1 as VehicleLogoRecog,
+          CLLX as VehicleType, CLSD as VehicleSpeed
+        from alerts""",
     "overspeed": f"select row_key, {', '.join(VIOLATION)} from violations",
     "unknown_gates": "select event_id, device_id, vehicle_type, speed from limited where not known",
     "unusable_limits": """
@@ -395,6 +408,7 @@ BODIES: dict[str, str] = {
         select row_key, device_id as SBBH, {TIME} as Time, plate as Plate_License
         from archived where {TIME} between '{RANGE[0]}' and '{RANGE[1]}'""",
     "stream_alerts_refresh": _newest("alerts_refreshed", ALARM),
+    "stream_refresh_by_message": _newest("alerts_by_message", ALARM, "batch desc, "),
     "stream_alerts": _newest("alerts", ALARM),
     "stream_overspeed": _newest("violations", VIOLATION),
     "stream_alarms_bucketed": _newest("alerts_dealt", ALARM, "batch desc, "),

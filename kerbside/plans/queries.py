@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
 from kerbside.sources import decode, snapshots
 from kerbside.sources.messages import ALARM_MESSAGE, spark_schema
-from kerbside.streaming import flows, jobs, live, sinks
+from kerbside.streaming import flows, jobs, live, outbox, sinks, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +118,10 @@ def alarm_messages(spark, sf_dir):
     """The JSON messages, read back into their fields."""
     passes = inputs.passes(spark, sf_dir)
     messages = watch.alarm_messages(watch.watchlist_alerts(passes, _watchlist(spark, passes)))
+    return _message_fields(messages)
+
+
+def _message_fields(messages):
     body = F.from_json("value", spark_schema(ALARM_MESSAGE).simpleString())
     return messages.select("key", body.alias("m")).select("key", "m.*").drop("VehicleColor")
 
@@ -658,6 +663,81 @@ def stream_alerts_refresh(spark, sf_dir):
     return sinks.read_rows(spark, _drain(spark, stream, lambda path: jobs.alerts_sink(listed, path)))
 
 
+@query
+def alarm_outbox(spark, sf_dir):
+    """Alarm messages of four batches; the third fails behind its send, with the watchlist emptied before it comes again."""
+    passes = inputs.passes(spark, sf_dir)
+    stream = inputs.files_stream(spark, _shuffled(passes), fresh_dir(spark, "passes"))
+    topic, out, cfg = fresh_dir(spark, "topic"), fresh_dir(spark, "table"), jobs.JobConfig(fresh_dir(spark, "query"), available_now=True)
+    state = {"failed": False}
+
+    def send(messages, batch_id):
+        messages.write.mode("append").parquet(topic)
+        if batch_id == 2 and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("lost behind the send")
+
+    def listed():
+        return _watchlist(spark, passes)
+
+    def run(load):
+        sink = jobs.alerts_sink(load, out, outbox.Outbox(f"{out}-outbox", send).publish)
+        jobs.start(stream, sink, cfg).awaitTermination()
+
+    loads = []
+
+    def emptied_once():
+        loads.append(1)
+        return listed().limit(0 if len(loads) == 1 else 1 << 30)
+
+    try:
+        run(listed)
+    except StreamingQueryException:
+        run(emptied_once)
+    return _message_fields(outbox.once(spark.read.parquet(topic)))
+
+
+@query
+def stream_refresh_by_message(spark, sf_dir):
+    """Four batches; before the third, a message asks for a refresh, after which plates that end in 0 are gone.
+
+    Other messages change nothing. The second batch fails behind its write, a message comes, and the batch is repeated with the
+    version that it had.
+    """
+    passes = inputs.passes(spark, sf_dir)
+    control, out, table = fresh_dir(spark, "control"), fresh_dir(spark, "refresh"), fresh_dir(spark, "table")
+    stream = inputs.files_stream(spark, _shuffled(passes), fresh_dir(spark, "passes"))
+    cfg = jobs.JobConfig(fresh_dir(spark, "query"), available_now=True)
+    control_cfg = jobs.JobConfig(fresh_dir(spark, "control-query"), available_now=True)
+    loads, failed = [], []
+
+    def tell(*texts):
+        spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").parquet(control)
+        messages = spark.readStream.schema("value string").parquet(control)
+        jobs.start(messages, versions.control_sink(out), control_cfg).awaitTermination()
+
+    def listed():
+        loads.append(1)
+        found = _watchlist(spark, passes)
+        return found if len(loads) == 1 else found.filter("not plate like '%0'")
+
+    alerts = jobs.alerts_sink(versions.Versions(out, listed), table)
+
+    def sink(batch, batch_id):
+        alerts(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(1)
+            tell("other", "new", "no news")
+            raise RuntimeError("lost behind the write")
+
+    tell("hello")
+    try:
+        jobs.start(stream, sink, cfg).awaitTermination()
+    except StreamingQueryException:
+        jobs.start(stream, sink, cfg).awaitTermination()
+    return sinks.read_rows(spark, table)
+
+
 @query
 def stream_archive_search(spark, sf_dir):
     """A time range of the index that a stream has written, by day folders."""

@@ -15,6 +15,7 @@ from kerbside.operators.lookup import Join, plain_join, size_up
 from kerbside.sources import decode
 from kerbside.streaming import sinks
 from kerbside.streaming.levels import Levels
+from kerbside.streaming.versions import Versions
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -42,20 +43,23 @@ def start(df: DataFrame, sink: Batch, cfg: JobConfig) -> StreamingQuery:
     return writer.trigger(processingTime=cfg.trigger).start()
 
 
-def with_refresh(load: Callable[[], DataFrame], work: Callable[[DataFrame, int, DataFrame, Join], None],
+def with_refresh(load: Callable[[], DataFrame] | Versions, work: Callable[[DataFrame, int, DataFrame, Join], None],
                  version: Callable[[], object] | None = None) -> Batch:
     """Batch function that hands ``work`` a current reference table and the join for its size.
 
-    The table is loaded when ``version()`` changes, or for every micro-batch without it. What
+    The table is loaded when ``version()`` changes, or for every micro-batch without it; stored `Versions`
+    tell by themselves which one a batch takes. What
     is loaded is held, so that it is read once and measured as it will be used. It
     replaces the old one, so deleted rows stop matching.
     """
     held: dict = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        now = version() if version else batch_id
+        spark = batch.sparkSession
+        stored = load.of_batch(spark, batch_id) if isinstance(load, Versions) else None
+        now = stored or (version() if version else batch_id)
         if not held or held["version"] != now:
-            table = load().persist()
+            table = (spark.read.parquet(stored) if stored else load()).persist()
             sized = size_up(table)
             if held:
                 held["table"].unpersist()
@@ -86,7 +90,7 @@ def every(seconds: float) -> Callable[[], object]:
     return version
 
 
-def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
+def alerts_sink(load_watchlist: Callable[[], DataFrame] | Versions, path: str,
                 send: Callable[[DataFrame, int], None] | None = None,
                 version: Callable[[], object] | None = None, wire: str = "json", table: Levels | None = None) -> Batch:
     """Watchlist hits of each batch into the alarm table, and to ``send`` as messages.
@@ -112,7 +116,7 @@ def alerts_sink(load_watchlist: Callable[[], DataFrame], path: str,
     return with_refresh(load_watchlist, work, version)
 
 
-def overspeed_sink(load_gates: Callable[[], DataFrame], path: str,
+def overspeed_sink(load_gates: Callable[[], DataFrame] | Versions, path: str,
                    version: Callable[[], object] | None = None, table: Levels | None = None) -> Batch:
     """Violations of each batch into the violation table, in day folders below ``path`` or ``table``, a keyed one.
 
