@@ -111,6 +111,12 @@ VIEWS = {
         union all
         select plate, concat('BKx', substr(plate, 3)), '9', 2
         from (select distinct plate from passes) p where cast(substr(plate, 3) as int) % 10 = 0""",
+    # A plate for each order.
+    "prey_large": "select plate, concat('BK', cast(min(id) as {STR})) as bkxxbh, cast(min(id) % 3 + 1 as {STR}) as bkjb "
+                  "from (select concat(substr('云粤京', cast(o_orderkey % 3 as int) + 1, 1), 'B', "
+                  "lpad(cast(o_orderkey as {STR}), 7, '0')) as plate, o_orderkey as id from orders union all "
+                  "select concat(substr('云粤京', cast(o_orderkey % 3 as int) + 1, 1), 'A', "
+                  "lpad(cast((o_orderkey * 37) % 100000 as {STR}), 5, '0')), o_orderkey from orders where o_orderkey % 64 = 1) p group by plate",
     # A tenth of the passes has no detail row.
     "result": """
         select event_id as result_id, plate as license, plate_type, plate_color,

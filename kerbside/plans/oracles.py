@@ -96,6 +96,7 @@ CHECK_VIEWS = {
         from raw""",
 }
 
+CHECK_VIEWS["alerts_large"] = CHECK_VIEWS["alerts"].replace("join watchlist w", "join prey_large w")
 # The alarms in four batches.
 CHECK_VIEWS["alerts_dealt"] = CHECK_VIEWS["alerts"].replace("as BJBH, p.plate", "as BJBH, p.plate, event_id % 4 as batch")
 
@@ -207,6 +208,7 @@ BODIES: dict[str, str] = {
         from passes group by device_id, date_trunc('hour', pass_ts)""",
     "watchlist_snapshot": "select plate, bkxxbh, bkjb from watchlist",
     "watchlist_alerts": f"select row_key, {', '.join(ALARM)} from alerts",
+    "watchlist_large": f"select row_key, {', '.join(ALARM)} from alerts_large",
     "alarm_messages": """
         select row_key as key, BJBH as Id, CLXXBH as VehicleId, BKXXBH as PreyInfoId,
           cast(BKJB as bigint) as Priority, KKBH as DeviceId, GCSJ as Time, cast(BKLX as bigint) as Type,

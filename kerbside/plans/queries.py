@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
-from kerbside.operators import archive, bitmaps, device_day, enrich, flow, limits, paging, scroll, search, speed, watch
+from kerbside.operators import archive, bitmaps, device_day, enrich, flow, limits, paging, prefilter, scroll, search, speed, watch
 from kerbside.operators.lookup import salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
@@ -113,6 +113,15 @@ def watchlist_alerts(spark, sf_dir):
     return watch.alarm_table(watch.watchlist_alerts(passes, _watchlist(spark, passes)))
 
 
+@query
+def watchlist_large(spark, sf_dir):
+    """Alarms by a watchlist of more plates than orders; passes are tested against its bits before any is exchanged."""
+    sql = inputs.view_sql("prey_large", inputs.SPARK).replace("from orders", "from {orders}")
+    listed = spark.sql(sql, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    alerts = watch.watchlist_alerts(inputs.passes(spark, sf_dir), listed, prefilter.prefiltered_join)
+    return watch.alarm_table(alerts)
+
+
 @query
 def alarm_messages(spark, sf_dir):
     """The JSON messages, read back into their fields."""

@@ -151,3 +151,28 @@ def test_alarm_messages_need_a_number_as_level(spark):
     (message,) = watch.alarm_messages(alerts).collect()
     assert message.key == "2024-01-01 00:00:00a1" and '"Priority":2' in message.value
     assert [r.missing for r in watch.alarm_rejects(alerts).collect()] == ["Priority"]
+
+
+def test_rows_without_a_partner_stay_out_of_the_exchange(spark):
+    from kerbside.operators import prefilter
+
+    table = spark.range(0, 20_000, 2).selectExpr("concat('p', id) as plate", "id as v")
+    fact = spark.range(40_000).selectExpr("if(id % 100 = 0, null, concat('p', id)) as plate", "id")
+    kept = prefilter.possible(fact, table, "plate")
+    plates = {r.plate for r in kept.select("plate").collect()}
+    hits = {f"p{i}" for i in range(0, 20_000, 2) if i % 100}
+    assert hits <= plates and None not in plates and len(plates) < len(hits) * 1.1
+    assert "Exchange hash" not in kept._jdf.queryExecution().executedPlan().toString()
+    joined = prefilter.prefiltered_join(fact, table, "plate")
+    assert sorted(map(tuple, joined.select("id", "v").collect())) == [(i, i) for i in range(0, 20_000, 2) if i % 100]
+    assert prefilter.possible(fact, table.limit(0), "plate").count() == 0
+    with pytest.raises(ValueError):
+        prefilter.prefiltered_join(fact, table, "plate", "left")
+
+
+def test_a_filter_at_its_bound_loses_nothing(spark, monkeypatch):
+    from kerbside.operators import prefilter
+
+    monkeypatch.setattr(prefilter, "MAX_BITS", 2 * prefilter.BLOCK)
+    table = spark.range(200_000).selectExpr("id as k")
+    assert prefilter.possible(spark.range(1000).selectExpr("id * 190 as k"), table, "k").count() == 1000
