@@ -246,6 +246,7 @@ BODIES: dict[str, str] = {
         select count(*) as total from passes
         where pass_ts between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'""",
     "plate_search": f"select {HIT} from plates",
+    "plate_search_grams": f"select {HIT} from plates",
     "plate_search_paged": f"""
         select {HIT}, (row_number() over (order by pass_ts, event_id) - 1) // 100 + 1 as page from plates""",
     "plate_search_pattern": f"""

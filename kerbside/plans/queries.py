@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
-from kerbside.operators import archive, bitmaps, device_day, enrich, flow, limits, paging, prefilter, scroll, search, speed, watch
+from kerbside.operators import archive, bitmaps, device_day, enrich, flow, grams, limits, paging, prefilter, scroll, search, speed, watch
 from kerbside.operators.lookup import salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
@@ -227,6 +227,16 @@ def plate_search_paged(spark, sf_dir):
     return paging.number_pages(_plates(spark, sf_dir).select(*_HIT), paging.PLATE_PAGE)
 
 
+@query
+def plate_search_grams(spark, sf_dir):
+    """The plate search over three indexed batches: the rarest positional gram's postings, then the passes of the plates found."""
+    path, passes = fresh_dir(spark, "grams"), inputs.passes(spark, sf_dir).select(*_HIT)
+    for batch in range(3):
+        grams.index_batch(passes.filter(F.col("event_id") % 3 == batch), batch, path)
+    found = grams.plate_search(spark, path, "2024-01-01 00:00:00", "粤", "2", ARRIVAL)
+    return found.select(*_HIT)
+
+
 @query
 def plate_search_pattern(spark, sf_dir):
     found = search.plate_search(

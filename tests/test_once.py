@@ -1,4 +1,4 @@
-"""Messages sent once, reference tables by version, and searches by bitmap."""
+"""Messages sent once, reference tables by version, and searches by bitmap and by gram."""
 
 import datetime as dt
 import random
@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import bitmaps, search
+from kerbside.operators import bitmaps, grams, search
 from kerbside.streaming import jobs, outbox, versions
 
 
@@ -114,3 +114,25 @@ def test_bitmap_search_equals_the_search(spark, indexed, terms, start, end):
 def test_unknown_terms_are_refused(spark, indexed):
     with pytest.raises(ValueError):
         bitmaps.count(spark, indexed[0], colour="red")
+
+
+def test_grams_of_patterns():
+    assert grams.pattern_grams("粤B", "12") == [">0粤", ">1B", "<02", "<11"]
+    assert grams.pattern_grams("粤B?", "1{2}") == [">0粤"]
+    assert grams.pattern_grams("[粤]", "[1-3]") == [] and grams.pattern_grams("a|b", "1") == [] and grams.pattern_grams(".", "x") == ["<0x"]
+
+
+def test_gram_search_equals_the_search(spark, tmp_path):
+    chance, start = random.Random(4), dt.datetime(2024, 1, 1)
+    plates = [None, "", "粤", *("".join((chance.choice("粤京"), *chance.choices("AB123", k=chance.choice([5, 6, 7])))) for _ in range(150))]
+    rows = [(i, start + dt.timedelta(hours=chance.randrange(72)) if i % 40 else None, chance.choice(plates)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "event_id long, pass_ts timestamp, plate string")
+    for batch in (0, 1, 1):
+        grams.index_batch(frame.where(F.col("event_id") % 2 == batch), batch, str(tmp_path))
+    at = ("2024-01-01 05:00:00", "2024-01-03 12:00:00")
+    for province, suffix in (("粤", "2"), ("", "1"), ("粤A", "B3"), ("[粤京]", "[12]"), ("京", "A?"), ("X", "1"), (".", "1|2")):
+        want = sorted(r.event_id for r in search.plate_search(frame, at[0], province, suffix, end=at[1]).collect())
+        found = grams.plate_search(spark, str(tmp_path), at[0], province, suffix, at[1])
+        assert sorted(r.event_id for r in found.collect()) == want, (province, suffix)
+    plan = grams.plate_search(spark, str(tmp_path), at[0], "粤", "2", at[1])._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(gram," in plan
