@@ -88,6 +88,34 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_suffix_dedup": r"""
+        WITH told AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n_bytes FROM documents
+        ), starts AS (
+            SELECT doc_id, c + i AS p, hash(substr(part, 2 * i + 1, 800)) AS h
+            FROM (SELECT doc_id, c, part, unnest(range(least(256, n_bytes - 399 - c))) AS i
+                  FROM (SELECT doc_id, c, n_bytes, substr(x, 2 * c + 1, 1310) AS part
+                        FROM (SELECT *, unnest(range(0, greatest(0, n_bytes - 399), 256)) AS c FROM told)))
+        ), again AS (
+            SELECT doc_id, p FROM starts SEMI JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)
+        ), runs AS (
+            SELECT doc_id, p, sum(CASE WHEN p <= earlier + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+            FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS earlier FROM again)
+        ), spans AS (
+            SELECT doc_id, min(p) AS low, max(p) + 400 AS high FROM runs GROUP BY doc_id, run
+        ), gaps AS (
+            SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM spans
+            UNION ALL SELECT doc_id, max(high), NULL FROM spans GROUP BY doc_id
+            UNION ALL SELECT doc_id, 0, NULL FROM told ANTI JOIN spans USING (doc_id)
+        ), kept AS (
+            SELECT doc_id, sha256(unhex(string_agg(substr(x, 2 * low + 1, 2 * (coalesce(high, n_bytes) - low)), '' ORDER BY low))) AS kept_sha256
+            FROM gaps JOIN told USING (doc_id) GROUP BY doc_id
+        ), removed AS (
+            SELECT doc_id, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+        )
+        SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+        FROM told LEFT JOIN removed USING (doc_id) JOIN kept USING (doc_id)
+    """,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
@@ -102,6 +130,31 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 0 ELSE payload_bytes END AS block_bytes
         FROM k
     """,
+    "op8_jaccard_join": r"""
+        WITH RECURSIVE told AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                     ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+            FROM told
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common c JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c.n >= 75 * (p.n + q.n - c.n)
+        ), sides AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT b, root FROM reached JOIN sides ON doc_id = a WHERE root < b
+        )
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
     "op11_filter_audit": r"""
         WITH told AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
