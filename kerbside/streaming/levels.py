@@ -9,7 +9,8 @@ replaced by a rename in one step. A part that no manifest names was left by a fa
 the manifest holds already was replayed and is not added again. A keyed table may be dealt to a fixed number of ``buckets`` by its
 key: parts then lie ready by bucket, so that merges and reads of the whole table exchange nothing, and a row is looked up in
 one bucket of each part. Merged parts stay on disk for
-``keep_seconds``, for readers that hold an older manifest. One query writes a table; the shared storage must
+``keep_seconds``, for readers that hold an older manifest. One query with one checkpoint writes a table, as batches are told
+by their numbers: a job that starts with a new checkpoint needs a new table. The shared storage must
 rename files atomically, as HDFS and local file systems do.
 """
 
