@@ -49,6 +49,8 @@ PERCENT = 75
 SHORT_SHARE = 1e-9
 #: Classes of a signature up to which it is used as it is.
 BUSY = 16
+#: Text bytes whose signatures are made at once; their arrays take some sixty times as much memory.
+SENT_BYTES = 1 << 20
 #: Classes remembered in a task, whose signatures it has sent already.
 SEEN = 200_000
 
@@ -199,7 +201,7 @@ def sender(key: pa.DataType):
 
     def run(batches):
         hashes, seen = Hashes(), set()
-        for keys, texts in blocks(batches):
+        for keys, texts in blocks(batches, SENT_BYTES):
             every = [shingles(word_list(t), hashes) for t in texts]
             digests = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in every]
             yield texts_rows(keys, texts, every, digests)
