@@ -3,7 +3,8 @@
 A cursor is opened once: it pins the batches that the searched table has then, and counts the hits in ranges of the order. From
 then on a page reads the pinned batches within the one or two ranges that hold it, and sorts nothing else. So pages follow one another without gap or
 repetition while batches arrive, and no hit is copied. The cursor is a small value that can be handed on as text; like
-a search context it expires some time after it was last used.
+a search context it expires some time after it was last used. A reader of page after page gets them one by one; who wants all
+that are left gets them in one job.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.operators.paging import number_rows
+
 BATCH = "batch_id"
 # Fixed value: seconds that a cursor lives on after each use.
 KEEP_SECONDS = 60.0
@@ -99,17 +102,44 @@ def open_cursor(
 
 def read_page(spark: SparkSession, path: str, search: Search, cursor: Cursor, now: float | None = None) -> DataFrame:
     """The hits of the cursor's page, in order; `Cursor.turned` goes on to the next one."""
+    first = cursor.page * cursor.size
+    held, found = _found(spark, path, search, cursor, first + cursor.size, now)
+    if not held:
+        return found.limit(0)
+    return found.orderBy(*cursor.order).limit(first - held[0].before + cursor.size).offset(first - held[0].before)
+
+
+def read_pages(
+    spark: SparkSession, path: str, search: Search, cursor: Cursor, pages: int | None = None, now: float | None = None
+) -> DataFrame:
+    """The hits of the cursor's page and those behind it, ``pages`` in all or as many as are left, each with its ``page``, from 0.
+
+    One job however many pages these are, and no task holds more than a range of the order: the hits are
+    numbered where they lie (`number_rows`), which copies them to the checkpoint folder once.
+    """
+    first = cursor.page * cursor.size
+    end = cursor.rows if pages is None else min(cursor.rows, first + pages * cursor.size)
+    held, found = _found(spark, path, search, cursor, end, now)
+    page = F.floor(F.col("position") / cursor.size).cast("long").alias("page")
+    if not held:
+        return found.limit(0).withColumn("position", F.lit(0)).select(*found.columns, page)
+    numbered = number_rows(found, cursor.order).withColumn("position", F.col("position") + held[0].before)
+    return numbered.where((F.col("position") >= first) & (F.col("position") < end)).select(*found.columns, page)
+
+
+def _found(
+    spark: SparkSession, path: str, search: Search, cursor: Cursor, end: int, now: float | None
+) -> tuple[list[Range], DataFrame]:
+    """The ranges that hold the hits from the cursor's page to before number ``end``, and all hits in them."""
     if (time.time() if now is None else now) > cursor.expires:
         raise CursorExpired(f"the cursor has not been used for {cursor.keep_seconds} seconds")
-    first = cursor.page * cursor.size
-    held = [r for r in cursor.ranges if r.before < first + cursor.size and r.before + r.rows > first]
+    held = [r for r in cursor.ranges if r.before < end and r.before + r.rows > cursor.page * cursor.size]
     rows = _pinned(spark, path, cursor.last_batch)
     if not held:
-        return search(rows).limit(0)
+        return held, search(rows)
     # Ranges lie one after another, those without hits between them hold nothing.
     near: list[Column] = [_between(cursor.order[0], r) for r in (held if len(held) < 4 else [replace(held[0], high=held[-1].high)])]
-    found = search(rows.where(reduce(Column.__or__, near))).orderBy(*cursor.order)
-    return found.limit(first - held[0].before + cursor.size).offset(first - held[0].before)
+    return held, search(rows.where(reduce(Column.__or__, near)))
 
 
 def _between(name: str, r: Range) -> Column:

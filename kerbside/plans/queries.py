@@ -295,13 +295,12 @@ def scroll_pinned(spark, sf_dir):
         return search.attr_search(rows, *RANGE, **TERMS).select("event_id", "pass_ts", "plate", "task_id")
 
     cursor = scroll.open_cursor(spark, table, hits, paging.ATTR_PAGE)
-    while cursor.page < cursor.pages:
-        page, found = cursor.page, scroll.read_page(spark, table, hits, cursor)
-        sinks.write_batch(found, page, pages)
-        if page == 0:
-            sinks.write_batch(passes.filter(F.col("event_id") % 3 == 2), 2, table)
-        cursor = cursor.turned()
-    return sinks.read_batches(spark, pages).withColumn("page", F.col("batch_id").cast("long")).drop("batch_id")
+    page = scroll.read_page(spark, table, hits, cursor).withColumn("page", F.lit(cursor.page).cast("long"))
+    sinks.write_batch(page, 0, pages)
+    sinks.write_batch(passes.filter(F.col("event_id") % 3 == 2), 2, table)
+    cursor = cursor.turned()
+    sinks.write_batch(scroll.read_pages(spark, table, hits, cursor), 1, pages)
+    return sinks.read_batches(spark, pages).drop("batch_id")
 
 
 @query

@@ -96,3 +96,44 @@ def test_a_search_without_hits(spark, searched):
     none = lambda rows: hits(rows).where("plate = 'x'")
     cursor = scroll.open_cursor(spark, path, none, 5)
     assert cursor.pages == 0 and scroll.read_page(spark, path, none, cursor).count() == 0
+
+
+@pytest.mark.parametrize("ranges,size", [(200, 7), (3, 100), (1, 10_000)])
+def test_the_pages_left_come_in_one_job(spark, searched, ranges, size):
+    path, passes = searched
+    want = [tuple(r) for r in hits(passes.where("event_id % 3 < 2")).orderBy("pass_ts", "event_id").collect()]
+    cursor = scroll.open_cursor(spark, path, hits, size, ranges=ranges)
+    sinks.write_batch(passes.where(F.col("event_id") % 3 == 2), 5, path)
+
+    def numbered(first, end):
+        return {(*row, i // size) for i, row in enumerate(want) if first <= i // size < end}
+
+    assert cursor.pages == 1 or len(numbered(1, cursor.pages)) == len(want) - size
+    for at, pages in ((cursor, None), (cursor, 2), (cursor.turned(), None), (cursor.turned().turned(), 3)):
+        found = scroll.read_pages(spark, path, hits, at, pages)
+        assert found.columns == ["event_id", "pass_ts", "plate", "page"]
+        assert sorted(map(tuple, found.collect())) == sorted(numbered(at.page, at.page + (pages or cursor.pages)))
+    with pytest.raises(scroll.CursorExpired):
+        scroll.read_pages(spark, path, hits, cursor, now=cursor.expires + 1)
+
+
+def test_a_scroll_takes_as_many_jobs_for_many_pages_as_for_few(spark, tmp_path):
+    jobs_of = []
+    for rows in (100, 3000):
+        path = str(tmp_path / str(rows))
+        made = spark.range(rows).selectExpr("id as event_id", "timestamp_seconds(id div 3) as pass_ts", "'x' as plate", "1 as dir")
+        sinks.write_batch(made, 0, path)
+        cursor = scroll.open_cursor(spark, path, hits, 5)
+        spark.sparkContext.setJobGroup(f"pages-{rows}", "pages")
+        found = scroll.read_pages(spark, path, hits, cursor).groupBy("page").count().collect()
+        jobs_of.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"pages-{rows}")))
+        assert sorted(map(tuple, found)) == [(p, 5) for p in range(rows // 5)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert abs(jobs_of[0] - jobs_of[1]) <= 2
+
+
+def test_no_hits_leave_no_pages(spark, searched):
+    path, _ = searched
+    none = lambda rows: hits(rows).where("plate = 'x'")
+    found = scroll.read_pages(spark, path, none, scroll.open_cursor(spark, path, none, 5))
+    assert found.columns[-1] == "page" and found.count() == 0
