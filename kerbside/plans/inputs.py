@@ -6,6 +6,9 @@ engine read the same definition (see FIXTURES.md).
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,11 +179,27 @@ def pass_stream_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_passes(spark.readStream.schema(schema).parquet(path.replace(".parquet", ".parque[t]")))
 
 
-def files_stream(spark: SparkSession, parts: list[DataFrame], folder: str) -> DataFrame:
+@dataclass(frozen=True)
+class FilesStream:
+    """Frames that come into a folder one after another, each in as many files as it has tasks.
+
+    A run of the streaming query over what is there takes all files of the frame that has come last, as one micro-batch.
+    """
+
+    spark: SparkSession
+    parts: Sequence[DataFrame]
+    folder: str
+
+    def arrivals(self) -> Iterator[DataFrame]:
+        """The stream, once behind each frame that has been written, in their order."""
+        for part in self.parts:
+            part.write.mode("append").parquet(self.folder)
+            yield self.spark.readStream.schema(self.parts[0].schema).parquet(self.folder)
+
+
+def files_stream(spark: SparkSession, parts: Sequence[DataFrame], folder: str) -> FilesStream:
     """The frames as a stream of one micro-batch each, in this order."""
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return FilesStream(spark, parts, folder)
 
 
 def with_pics(df: DataFrame) -> DataFrame:

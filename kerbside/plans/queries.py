@@ -498,9 +498,12 @@ def event_time_parse(spark, sf_dir):
 
 
 def _drain(spark, df, make_sink, mode="append"):
+    """Folder of the table; the frames of a `FilesStream` are taken as they come, by one query that goes on where it stopped."""
     out = fresh_dir(spark, "table")
     cfg = jobs.JobConfig(fresh_dir(spark, "query"), available_now=True, output_mode=mode)
-    jobs.start(df, make_sink(out), cfg).awaitTermination()
+    sink = make_sink(out)
+    for arrived in df.arrivals() if isinstance(df, inputs.FilesStream) else [df]:
+        jobs.start(arrived, sink, cfg).awaitTermination()
     return out
 
 
@@ -698,20 +701,22 @@ def alarm_outbox(spark, sf_dir):
     def listed():
         return _watchlist(spark, passes)
 
-    def run(load):
-        sink = jobs.alerts_sink(load, out, outbox.Outbox(f"{out}-outbox", send).publish)
-        jobs.start(stream, sink, cfg).awaitTermination()
+    def sink_of(load):
+        return jobs.alerts_sink(load, out, outbox.Outbox(f"{out}-outbox", send).publish)
 
     loads = []
 
     def emptied_once():
         loads.append(1)
-        return listed().limit(0 if len(loads) == 1 else 1 << 30)
-
-    try:
-        run(listed)
-    except StreamingQueryException:
-        run(emptied_once)
+        return listed().limit(0) if len(loads) == 1 else listed()
+
+    sink = sink_of(listed)
+    for arrived in stream.arrivals():
+        try:
+            jobs.start(arrived, sink, cfg).awaitTermination()
+        except StreamingQueryException:
+            sink = sink_of(emptied_once)
+            jobs.start(arrived, sink, cfg).awaitTermination()
     return _message_fields(outbox.once(spark.read.parquet(topic)))
 
 
@@ -749,10 +754,11 @@ def stream_refresh_by_message(spark, sf_dir):
             raise RuntimeError("lost behind the write")
 
     tell("hello")
-    try:
-        jobs.start(stream, sink, cfg).awaitTermination()
-    except StreamingQueryException:
-        jobs.start(stream, sink, cfg).awaitTermination()
+    for arrived in stream.arrivals():
+        try:
+            jobs.start(arrived, sink, cfg).awaitTermination()
+        except StreamingQueryException:
+            jobs.start(arrived, sink, cfg).awaitTermination()
     return sinks.read_rows(spark, table)
 
 
