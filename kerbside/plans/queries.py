@@ -31,6 +31,8 @@ TERMS = dict(
 )
 CLASSES = {"large": [2], "medium": [1], "small": [0]}
 ARRIVAL = "2024-01-04 00:00:00"
+# Messages in a file of the payload stream, of about a kilobyte each.
+PAYLOADS_A_FILE = 50_000
 
 
 def query(fn: Query) -> Query:
@@ -798,8 +800,10 @@ def stream_results(spark, sf_dir):
 def stream_decode(spark, sf_dir):
     """Payloads through a stream: passes and quarantine by outcome."""
     path = fresh_dir(spark, "payloads")
-    _payloads(spark, sf_dir).write.parquet(path)
-    stream = spark.readStream.schema("event_id long, payload string").parquet(path)
+    _payloads(spark, sf_dir).write.option("maxRecordsPerFile", PAYLOADS_A_FILE).parquet(path)
+    # Two files for each core: a micro-batch is held decoded, so that its size is what a task holds.
+    files = 2 * spark.sparkContext.defaultParallelism
+    stream = spark.readStream.schema("event_id long, payload string").option("maxFilesPerTrigger", files).parquet(path)
     out = fresh_dir(spark, "table")
     arrival = F.lit(ARRIVAL).cast("timestamp")
     sink = jobs.decoded_sink(sinks.table_sink(f"{out}/passes"), f"{out}/quarantine", arrival=arrival)

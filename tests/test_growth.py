@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from kerbside.plans import inputs
+from kerbside.plans import inputs, queries
 from kerbside.streaming import jobs
 
 
@@ -21,3 +21,23 @@ def test_a_frame_is_one_batch_however_many_tasks_write_it(spark, tmp_path):
         jobs.start(arrived, lambda batch, batch_id: seen.update({batch_id: sorted(r.id for r in batch.collect())}), cfg).awaitTermination()
     assert seen == {**{i: list(range(i, 4000, 4)) for i in range(3)}, 3: []}
     assert len(files_of(tmp_path / "in")) == 3 * 6 + 1
+
+
+def test_payloads_come_in_batches_of_bounded_size(spark, check_dir, tmp_path, monkeypatch):
+    sizes, sink_of = [], jobs.decoded_sink
+
+    def counted(*args, **kwargs):
+        sink = sink_of(*args, **kwargs)
+
+        def run(batch, batch_id):
+            sizes.append(batch.count())
+            sink(batch, batch_id)
+
+        return run
+
+    monkeypatch.setattr(jobs, "decoded_sink", counted)
+    monkeypatch.setattr(queries, "PAYLOADS_A_FILE", 100)
+    found = queries.QUERIES["stream_decode"](spark, check_dir)
+    total = inputs.passes(spark, check_dir).count()
+    assert found.count() == sum(sizes) == total
+    assert max(sizes) <= 2 * spark.sparkContext.defaultParallelism * 100 < total
