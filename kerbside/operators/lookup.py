@@ -16,6 +16,9 @@ MEASURE_BYTES = 64 * BROADCAST_BYTES
 # Spark's estimates reach this only where it knows nothing, as for a database table.
 UNKNOWN_BYTES = 1 << 60
 
+# Rows of both sides that a partition of `even_join` takes.
+ROWS_A_PARTITION = 500_000
+
 Join = Callable[..., DataFrame]
 
 
@@ -94,6 +97,17 @@ def salted_join(
     return joined.drop("_salt")
 
 
+def even_join(left: DataFrame, right: DataFrame, key: str, rows: int = ROWS_A_PARTITION) -> DataFrame:
+    """Inner join of two stored tables of nearly unique keys, in as many partitions as their rows ask for.
+
+    Narrow columns of a stored table can be few bytes in its files and many in memory, so the planner may take a table of
+    millions of rows for a small one and send it to every executor, and partitions of a fixed number grow with the tables. Both are
+    counted, from the footers of their files where nothing is filtered, and neither is sent whole.
+    """
+    partitions = max(left.sparkSession.sparkContext.defaultParallelism, -(-(left.count() + right.count()) // rows))
+    return left.repartition(partitions, key).join(right.repartition(partitions, key).hint("merge"), key)
+
+
 def _salts_per_key(rows: DataFrame, key: str, partitions: int) -> DataFrame:
     """(key, _salts) of the keys with more than a partition's share of all rows."""
     use_checkpoints(rows.sparkSession)

@@ -13,7 +13,7 @@ from kerbside.functions import keys
 from kerbside.functions.maps import map_rows
 from kerbside.functions.timing import parse_event_time, time_text
 from kerbside.operators import archive, bitmaps, device_day, enrich, flow, grams, limits, paging, prefilter, scroll, search, speed, watch
-from kerbside.operators.lookup import salted_join
+from kerbside.operators.lookup import even_join, salted_join
 from kerbside.plans import inputs
 from kerbside.session import fresh_dir, pin_zone
 from kerbside.sources import decode, snapshots
@@ -793,7 +793,7 @@ def stream_results(spark, sf_dir):
     out = _drain(spark, stream, lambda path: jobs.fan_out_sink(path, sinks.RESULTS))
     detail, index = (sinks.read_batches(spark, f"{out}/{name}").drop("batch_id") for name in ("result", "index"))
     found = detail.select(F.col("row_key").alias("resultId"), "License", "PlateType", "fileName")
-    return index.join(found, "resultId")
+    return even_join(index, found, "resultId")
 
 
 @query
