@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from kerbside.llm.texts import keyed, map_blocks
+from kerbside.llm.texts import keyed, map_blocks, tables_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: White space as the pattern's authors' engine has it: the Unicode property, without the file separators.
@@ -195,14 +195,12 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> Encoder:
-    """One encoder a process; the rank file is installed on every machine and at most a few MB."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(Vocabulary(read_ranks(path)), pattern)
-    return _encoders[path, pattern]
+    """One encoder a process, while it works for this operator; the rank file is installed on every machine and at most a few MB."""
+    encoders = tables_of(__name__)
+    if (path, pattern) not in encoders:
+        encoders[path, pattern] = Encoder(Vocabulary(read_ranks(path)), pattern)
+    return encoders[path, pattern]
 
 
 def encode(

@@ -33,6 +33,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Bytes of benchmark text indexed at once.
 PART_BYTES = 4 << 20
 FILTER_BITS = 22
+#: Text bytes searched at once.
+SEARCHED_BYTES = 1 << 20
 
 
 def word_list(text: str) -> list[bytes]:
@@ -59,8 +61,10 @@ class BlockIndex:
         self.masks = np.array(
             [sum(1 << b for b in bits) for k in range(near + 1) for bits in combinations(range(BLOCK_BITS), k)], np.int64
         )
+        # Fewer items than neighbours of a block: these are looked at one by one, without tables (2 MB a length of items).
+        self.few = len(prints) * 8 <= len(self.masks)
         self.tables = []
-        for block in range(BLOCKS):
+        for block in range(0 if self.few else BLOCKS):
             value = self._block(prints, block)
             order = np.argsort(value, kind="stable")
             self.tables.append((order, np.searchsorted(value[order], np.arange((1 << BLOCK_BITS) + 1))))
@@ -72,7 +76,7 @@ class BlockIndex:
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) numbers of all pairs within the radius."""
         found = []
-        if len(self.prints) * 8 <= len(self.masks):  # fewer items than neighbours of a block: look at each item's blocks
+        if self.few:
             for a in range(0, len(prints), 4096):
                 differ = prints[a:a + 4096, None] ^ self.prints[None, :]
                 close = np.zeros(differ.shape, bool)
@@ -201,7 +205,7 @@ def _find(rows: DataFrame, items: Items, kind: str, item_kind: str) -> DataFrame
                     out[name].append(value)
         return out
 
-    return map_blocks(rows, work, f"key {kind}, item {item_kind}, start_word long, n_words long, similarity double", with_key=False)
+    return map_blocks(rows, work, f"key {kind}, item {item_kind}, start_word long, n_words long, similarity double", SEARCHED_BYTES, with_key=False)
 
 
 def find_leaks(

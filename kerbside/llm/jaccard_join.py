@@ -40,8 +40,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kerbside.llm.graphs import components, relabelled, small_or_not, stored
-from kerbside.llm.texts import Hashes, blocks, keyed, mixed, runs_hashed
+from kerbside.llm.graphs import components, narrow_files, relabelled, small_or_not, stored, wide_files
+from kerbside.llm.texts import Hashes, blocks, keyed, mixed, runs_hashed, tables_of
 
 WORDS = 5
 PERCENT = 75
@@ -200,6 +200,7 @@ def sender(key: pa.DataType):
         ], schema=shape)
 
     def run(batches):
+        tables_of("jaccard_join")
         hashes, seen = Hashes(), set()
         for keys, texts in blocks(batches, SENT_BYTES):
             every = [shingles(word_list(t), hashes) for t in texts]
@@ -243,7 +244,20 @@ def text_name(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Files:
+    """Most files of a stored table, by what it holds of each document."""
+
+    narrow: int
+    wide: int
+
+    @classmethod
+    def by(cls, docs: DataFrame) -> Files:
+        many = docs.count()
+        return cls(narrow_files(many), wide_files(docs.sparkSession, many))
+
+
+def sets_of(rows: DataFrame, names: DataFrame, files: Files) -> DataFrame:
     """(name, shingles) for the texts of these ``names``; the shingles are sorted hashes, eight bytes each."""
     named = rows.select(text_name(F.col("text")).alias("name"), "text").join(small_or_not(names), "name").dropDuplicates(["name"])
 
@@ -253,7 +267,7 @@ def sets_of(rows: DataFrame, names: DataFrame) -> DataFrame:
             found = [shingles(word_list(t), hashes).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(found, pa.binary())], names=["name", "shingles"])
 
-    return stored(named.select("name", "text").mapInArrow(work, "name binary, shingles binary"), "linked-sets")
+    return stored(named.select("name", "text").mapInArrow(work, "name binary, shingles binary"), "linked-sets", files.wide)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -273,16 +287,16 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles and component_id, the smallest key reachable by links."""
-    rows = keyed(docs, key, text)
-    shared = shared_signatures(rows)
-    sets = stored(shared.where("row is not null").select("row.*"), "shingle-sets")
+    rows, files = keyed(docs, key, text), Files.by(docs)
+    shared = shared_signatures(rows, files)
+    sets = stored(shared.where("row is not null").select("row.*"), "shingle-sets", files.wide)
     # A class goes by one of its texts.
     classes = stored(
         sets.where("n_shingles > 0").groupBy("whole").agg(
             F.min("name").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls"), F.min("key").alias("least")
-        ), "classes",
+        ), "classes", files.narrow,
     )
-    labels = _linked_classes(rows, classes, *candidates(rows, shared.where("row is null").drop("row"), classes))
+    labels = _linked_classes(rows, classes, *candidates(rows, shared.where("row is null").drop("row"), classes), files)
     found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "whole", "least", F.coalesce("component", "rep").alias("component")
     )
@@ -292,7 +306,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return sets.join(names, "whole", "left").select(F.col("key").alias(key), "n_shingles", own.alias("component_id"))
 
 
-def shared_signatures(rows: DataFrame) -> DataFrame:
+def shared_signatures(rows: DataFrame, files: Files) -> DataFrame:
     """The rows of texts, and of all signatures those that several classes have, with how often they occur."""
     kind = rows.schema["key"].dataType
     told = f"struct<key: {kind.simpleString()}, n_shingles: bigint, cls: bigint, whole: binary, name: binary>"
@@ -301,12 +315,12 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
     by_sig = Window.partitionBy("sig")
     several = F.min("cls").over(by_sig) != F.max("cls").over(by_sig)
     marked = sent.withColumns({"several": several, "often": F.count("cls").over(by_sig)})
-    return stored(marked.where("several or sig is null or row is not null").drop("several"), "shared-signatures")
+    return stored(marked.where("several or sig is null or row is not null").drop("several"), "shared-signatures", files.wide)
 
 
 def candidates(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sig, rep, size, at, place) of classes that share signatures enough to link; and classes short of units."""
-    by_sig = Window.partitionBy("sig")
+    by_sig, files = Window.partitionBy("sig"), Files.by(classes)
     short = shared.where("sig is null").select("cls").distinct()
     # A link of a class needs ``needed`` of its signatures here, so the most frequent ones but these can be spared.
     of_class = Window.partitionBy("cls", "own")
@@ -314,16 +328,16 @@ def candidates(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[
         "n": F.count("*").over(of_class), "rank": F.row_number().over(of_class.orderBy(F.desc("often"), "sig")),
     })
     kept = ranked.where("n >= needed and rank >= needed").select("sig", "cls").join(classes.select("cls", "rep", "size"), "cls")
-    counted = stored(kept.select("sig", "rep", "size").withColumn("n", F.count("*").over(by_sig)).where("n > 1"), "members")
+    counted = stored(kept.select("sig", "rep", "size").withColumn("n", F.count("*").over(by_sig)).where("n > 1"), "members", files.wide)
     few = counted.where(f"n <= {BUSY}").select("sig", "rep", "size", F.lit(1).cast("long").alias("at"))
-    busy = stored(counted.where(f"n > {BUSY}").select("rep", "size").distinct(), "busy")
+    busy = stored(counted.where(f"n > {BUSY}").select("rep", "size").distinct(), "busy", files.narrow)
     if not busy.isEmpty():
-        few = few.unionByName(rarest_shingles(rows, busy))
-    members = stored(few.withColumn("place", F.row_number().over(by_sig.orderBy("rep"))), "placed")
+        few = few.unionByName(rarest_shingles(rows, busy, files))
+    members = stored(few.withColumn("place", F.row_number().over(by_sig.orderBy("rep"))), "placed", files.wide)
     return members, short.join(classes, "cls").select("rep", "size")
 
 
-def rarest_shingles(rows: DataFrame, busy: DataFrame) -> DataFrame:
+def rarest_shingles(rows: DataFrame, busy: DataFrame, files: Files) -> DataFrame:
     """(sig, rep, size, at) of the shingles that a link of these classes with each other must show one of.
 
     ``at`` is a shingle's place among those of its class, by rising frequency in these classes. Two sets that
@@ -339,8 +353,8 @@ def rarest_shingles(rows: DataFrame, busy: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(part.view(np.int64)), pa.array([name.as_py()] * len(part), pa.binary())], names=["sig", "rep"])
 
-    sets = sets_of(rows, busy.select(F.col("rep").alias("name")))
-    sent = stored(sets.mapInArrow(send, "sig long, rep binary"), "busy-shingles")
+    sets = sets_of(rows, busy.select(F.col("rep").alias("name")), files)
+    sent = stored(sets.mapInArrow(send, "sig long, rep binary"), "busy-shingles", files.wide)
     often = sent.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1")
     order = Window.partitionBy("rep").orderBy(F.coalesce("often", F.lit(1)), "sig")
     placed = sent.join(often, "sig", "left").withColumn("at", F.row_number().over(order).cast("long")).where("often is not null")
@@ -370,9 +384,9 @@ def _short_pairs(short: DataFrame, classes: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def _linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, short: DataFrame) -> DataFrame:
+def _linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, short: DataFrame, files: Files) -> DataFrame:
     """(node, component) of the classes that link with another."""
-    short = stored(short, "short")
+    short = stored(short, "short", files.narrow)
     long_way = not short.isEmpty()
     involved = members.select(F.col("rep").alias("name"))
     pairs = side(members.where("place = 1"), "a").join(side(members.where("place > 1"), "b"), "sig").where(meets("a", "b")).select("a", "b")
@@ -380,9 +394,9 @@ def _linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, sho
         far = _short_pairs(short, classes)
         pairs = pairs.unionAll(far)
         involved = involved.unionAll(far.select("a")).unionAll(far.select("b"))
-    sets = sets_of(rows, stored(involved.distinct(), "involved"))
-    tested = stored(pairs.distinct(), "pairs")
-    labels = components(verified(tested, sets))
+    sets = sets_of(rows, stored(involved.distinct(), "involved", files.narrow), files)
+    tested = stored(pairs.distinct(), "pairs", files.wide)
+    labels = components(verified(tested, sets), files.narrow)
     first, last, open_ = 2, 5, members
     while True:
         known = open_.drop("component").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
@@ -392,24 +406,24 @@ def _linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, sho
         open_ = stored(
             known.withColumn("several", F.min("component").over(by_sig) != F.max("component").over(by_sig)).withColumn(
                 "size_of", F.max("place").over(by_sig)
-            ).where(f"several and size_of > {first}").drop("several", "size_of"), "open",
+            ).where(f"several and size_of > {first}").drop("several", "size_of"), "open", files.wide,
         )
         if open_.isEmpty():
             return labels
         pivots = side(open_.where(f"place between {first} and {last}"), "a", F.col("component").alias("from"), F.col("place").alias("before"))
         others = side(open_, "b", F.col("component"), F.col("place"))
         pairs = pivots.join(others, "sig").where(f"place > before and `from` != component and {meets('a', 'b')}").select("a", "b").distinct()
-        new = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", files.wide)
         links = verified(new, sets)
         lift = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
         roots = links.join(lift("a"), "a", "left").join(lift("b"), "b", "left").select(
             F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
         )
-        merged = components(roots).select("node", F.col("component").alias("root"))
+        merged = components(roots, files.narrow).select("node", F.col("component").alias("root"))
         labels = stored(
             relabelled(labels.select("node", F.col("component").alias("root")), merged).unionByName(
                 merged.join(labels.select("node"), "node", "left_anti")
-            ).select("node", F.col("root").alias("component")), "labels",
+            ).select("node", F.col("root").alias("component")), "labels", files.narrow,
         )
         tested = tested.unionAll(new)
         first, last = last + 1, last + 8 * (last - first + 1)

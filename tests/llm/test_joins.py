@@ -1,6 +1,7 @@
 """Operators that compare documents: Jaccard join, repeated strings, decontamination; against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -116,6 +117,45 @@ def test_chain_of_components(spark):
     assert got == {i: i // 20 * 20 for i in range(60)} | {100: 0}
 
 
+def test_few_documents_make_few_files(spark, copies, monkeypatch):
+    texts = dict(copies.select("doc_id", "text").collect())
+    want, sizes = brute.components(texts)
+    made, fresh = {}, graphs.fresh_dir
+    monkeypatch.setattr(graphs, "fresh_dir", lambda spark, purpose: made.setdefault(fresh(spark, purpose), purpose) and list(made)[-1])
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = by_id(jaccard_join.digest(copies), "n_shingles", "component_id")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {d: (sizes[d], want[d]) for d in texts}
+    files = [(purpose, len(list(Path(path).glob("part-*")))) for path, purpose in made.items()]
+    assert max(n for _, n in files) <= spark.sparkContext.defaultParallelism
+    assert {n for purpose, n in files if purpose in ("classes", "involved", "edges", "parents", "components")} == {1}
+
+
+def test_files_by_rows(spark):
+    assert [graphs.narrow_files(n) for n in (0, 1, 20_000, 20_001)] == [1, 1, 1, 2]
+    assert [graphs.wide_files(spark, n) for n in (0, 32_000, 32_001)] == [8, 8, 9]
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60) if i % 20 != 19] + [(100, 7), (5, 5)], "a long, b long")
+    assert dict(graphs.components(edges, 1).collect()) == {i: i // 20 * 20 for i in range(60)} | {100: 0}
+
+
+def test_tables_over_blocks_only_for_many_items():
+    chance = np.random.default_rng(4)
+    prints = chance.integers(0, 1 << 63, 900, dtype=np.uint64)
+    few, many = decontamination.BlockIndex(prints[:500]), decontamination.BlockIndex(prints)
+    assert not few.tables and len(many.tables) == decontamination.BLOCKS
+    asked = prints[:40] ^ (np.uint64(1) << chance.integers(0, 64, 40, dtype=np.uint64))
+    for index, n in ((few, 500), (many, 900)):
+        near = np.bitwise_count(asked[:, None] ^ prints[None, :n]) <= decontamination.RADIUS
+        assert set(zip(*map(np.ndarray.tolist, index.near(asked)), strict=True)) <= set(zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
+        assert {(i, i) for i in range(40)} <= set(zip(*map(np.ndarray.tolist, index.near(asked)), strict=True))
+
+
 @pytest.mark.parametrize("split", [512, 2])
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_repeats_equal_brute_force(spark, odd, monkeypatch, split, keep_first):

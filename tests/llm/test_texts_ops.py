@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 
 from kerbside.llm import byte_bpe, quality_rules, secret_scan
+from kerbside.llm.texts import tables_of
 from tests.llm import brute
 
 
@@ -45,6 +46,13 @@ def test_encoding_of_odd_spacing(reference):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_a_worker_keeps_the_tables_of_one_operator():
+    first = byte_bpe.encoder()
+    assert first.encode("some words") and byte_bpe.encoder() is first
+    tables_of("another operator")["held"] = 1
+    assert byte_bpe.encoder() is not first and not tables_of("another operator")
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     keys = [str(i).encode() for i in range(5000)]
     found = byte_bpe.PerfectHash(keys)
