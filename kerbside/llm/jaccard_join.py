@@ -33,6 +33,7 @@ import hashlib
 import math
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbside.llm.graphs import components, narrow_files, relabelled, small_or_not, stored, wide_files
-from kerbside.llm.texts import Hashes, blocks, keyed, mixed, runs_hashed, tables_of
+from kerbside.llm.texts import ASCII_SPACE, Hashes, blocks, keyed, mixed, offsets, runs_hashed, tables_of
 
 WORDS = 5
 PERCENT = 75
@@ -51,16 +52,51 @@ SHORT_SHARE = 1e-9
 BUSY = 16
 #: Text bytes whose signatures are made at once; their arrays take some sixty times as much memory.
 SENT_BYTES = 1 << 20
+#: Bytes of a word above which it is hashed by itself.
+LONG_WORD = 64
+#: By a byte's value, whether it parts words; by a number of bytes up to eight, a mask that holds so many.
+SPACES = np.isin(np.arange(256), list(ASCII_SPACE.encode()))
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 #: Classes remembered in a task, whose signatures it has sent already.
 SEEN = 200_000
 
 
+def word_codes(texts: list[bytes], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of these texts, and each text's first word and the one behind its last.
+
+    Words are hashed all at once, eight bytes in a step; those of over ``LONG_WORD`` bytes one by one.
+    """
+    joined = b" " + b" ".join(texts) + b" " * 8
+    gap = SPACES[np.frombuffer(joined, np.uint8)]
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    first, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,))  # the bytes from each place on
+    codes = mixed((eight[first] & FIRST_BYTES[np.minimum(size, 8)]) ^ mixed(size))
+    at = np.flatnonzero(size > 8)
+    for step in range(8, LONG_WORD, 8):
+        codes[at] = mixed(codes[at] + (eight[first[at] + step] & FIRST_BYTES[np.minimum(size[at] - step, 8)]))
+        at = at[size[at] > step + 8]
+    for i in at:
+        codes[i] = hashes[joined[first[i]:first[i] + size[i]]]
+    return codes, np.searchsorted(first, offsets([len(t) + 1 for t in texts]))
+
+
+def shingle_sets(texts: list[bytes], hashes: Hashes) -> list[np.ndarray]:
+    """Distinct shingles of each text as sorted 64-bit hashes."""
+    codes, bounds = word_codes([t.lower() for t in texts], hashes)
+    runs, out = runs_hashed(codes, WORDS), []
+    for low, high in pairwise(bounds.tolist()):
+        if high - low < WORDS:
+            out.append(runs_hashed(codes[low:high], high - low) if high > low else np.empty(0, np.uint64))
+        else:
+            found = np.sort(runs[low:high - WORDS + 1])
+            out.append(found[np.append(True, found[1:] != found[:-1])])
+    return out
+
+
 def shingles(words: list[bytes], hashes: Hashes) -> np.ndarray:
-    """Distinct shingles of a text as sorted 64-bit hashes."""
-    if not words:
-        return np.empty(0, np.uint64)
-    codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    return np.unique(runs_hashed(codes, min(WORDS, len(words))))
+    """Distinct shingles of one text's words."""
+    return shingle_sets([b" ".join(words)], hashes)[0]
 
 
 def word_list(text: str) -> list[bytes]:
@@ -169,41 +205,35 @@ def signatures(sets: list[np.ndarray], band: np.ndarray, partner: np.ndarray) ->
 
 
 def sender(key: pa.DataType):
-    """Task function over ``keyed`` rows: a row for each text with its set's digests, and the signatures of each class.
+    """Task function over ``keyed`` rows: a row for each text with its set's size and digests, and the signatures of each class.
 
-    Signatures of a class are sent once a task. A class short of units gets a row without signature. Rows of texts have a
-    signature that no other row has, so that they spread.
+    Signatures of a class are sent once a task. How many of them a link needs is negative for those of the band below. A class
+    short of units gets a row without signature. Rows of texts have a signature that no other row has, so that they spread.
     """
-    told = pa.struct([
-        ("key", key), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("whole", pa.binary()), ("name", pa.binary()),
-    ])
-    shape = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("needed", pa.int32()), ("own", pa.bool_()), ("row", told)])
+    shape = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("needed", pa.int32()), ("key", key), ("digests", pa.binary())])
 
-    def rows_of(sig, cls, needed, own) -> pa.RecordBatch:
+    def rows_of(sig, cls, needed) -> pa.RecordBatch:
         n = len(cls)
         return pa.RecordBatch.from_arrays([
             pa.nulls(n, pa.int64()) if sig is None else pa.array(sig.view(np.int64)), pa.array(cls),
-            pa.array(needed.astype(np.int32)), pa.array(np.full(n, own)), pa.nulls(n, told),
+            pa.array(needed.astype(np.int32)), pa.nulls(n, key), pa.nulls(n, pa.binary()),
         ], schema=shape)
 
     def texts_rows(keys, texts, sets, classes) -> pa.RecordBatch:
-        names = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
-        columns = [
-            keys.cast(key), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(classes, np.uint64).view(np.int64)),
-            pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(names, pa.binary()),
-        ]
+        names = [hashlib.md5(t).digest() for t in texts]
         spread = np.array([xxhash.xxh3_64_intdigest(n + i.to_bytes(8, "little")) for i, n in enumerate(names)], np.uint64)
-        n = len(texts)
         return pa.RecordBatch.from_arrays([
-            pa.array(spread.view(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()),
-            pa.StructArray.from_arrays(columns, fields=list(told)),
+            pa.array(spread.view(np.int64)), pa.array(np.array(classes, np.uint64).view(np.int64)),
+            pa.array([len(s) for s in sets], pa.int32()), keys.cast(key),
+            pa.array([xxhash.xxh3_128_digest(s.tobytes()) + n for s, n in zip(sets, names, strict=True)], pa.binary()),
         ], schema=shape)
 
     def run(batches):
         tables_of("jaccard_join")
         hashes, seen = Hashes(), set()
         for keys, texts in blocks(batches, SENT_BYTES):
-            every = [shingles(word_list(t), hashes) for t in texts]
+            texts = [t.encode("utf-8", "surrogatepass") for t in texts]
+            every = shingle_sets(texts, hashes)
             digests = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in every]
             yield texts_rows(keys, texts, every, digests)
             sets, classes = [], []
@@ -221,8 +251,8 @@ def sender(key: pa.DataType):
             band = np.searchsorted(band_starts(), size, "right") - 1
             below = band_starts()[band] - 1  # the largest size of the band below
             down = np.flatnonzero((band > 0) & (below * 100 >= size * PERCENT))
-            for pick, at, partner, own in (
-                (np.arange(len(sets)), band, size * 100 // PERCENT, True), (down, band[down] - 1, below[down], False),
+            for pick, at, partner, sign in (
+                (np.arange(len(sets)), band, size * 100 // PERCENT, 1), (down, band[down] - 1, below[down], -1),
             ):
                 if not len(pick):
                     continue
@@ -232,9 +262,9 @@ def sender(key: pa.DataType):
                 for a in range(0, max(1, len(of)), 1 << 18):
                     part = slice(a, a + (1 << 18))
                     keep = full[part]
-                    yield rows_of(sig[part][keep], cls[pick[of[part][keep]]], needed[of[part][keep]], own)
+                    yield rows_of(sig[part][keep], cls[pick[of[part][keep]]], needed[of[part][keep]] * sign)
                 if len(short):
-                    yield rows_of(None, cls[pick[short]], np.zeros(len(short), np.int32), own)
+                    yield rows_of(None, cls[pick[short]], np.zeros(len(short), np.int32))
 
     return run
 
@@ -264,7 +294,7 @@ def sets_of(rows: DataFrame, names: DataFrame, files: Files) -> DataFrame:
     def work(batches):
         hashes = Hashes()
         for keys, texts in blocks(batches):
-            found = [shingles(word_list(t), hashes).tobytes() for t in texts]
+            found = [s.tobytes() for s in shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], hashes)]
             yield pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(found, pa.binary())], names=["name", "shingles"])
 
     return stored(named.select("name", "text").mapInArrow(work, "name binary, shingles binary"), "linked-sets", files.wide)
@@ -289,14 +319,17 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Per row: key, n_shingles and component_id, the smallest key reachable by links."""
     rows, files = keyed(docs, key, text), Files.by(docs)
     shared = shared_signatures(rows, files)
-    sets = stored(shared.where("row is not null").select("row.*"), "shingle-sets", files.wide)
+    sets = stored(shared.where("digests is not null").select(
+        "key", F.col("needed").cast("long").alias("n_shingles"), "cls",
+        F.substring("digests", 1, 16).alias("whole"), F.substring("digests", 17, 16).alias("name"),
+    ), "shingle-sets", files.wide)
     # A class goes by one of its texts.
     classes = stored(
         sets.where("n_shingles > 0").groupBy("whole").agg(
             F.min("name").alias("rep"), F.first("n_shingles").alias("size"), F.first("cls").alias("cls"), F.min("key").alias("least")
         ), "classes", files.narrow,
     )
-    labels = _linked_classes(rows, classes, *candidates(rows, shared.where("row is null").drop("row"), classes), files)
+    labels = _linked_classes(rows, classes, *candidates(rows, shared.where("digests is null").drop("key", "digests"), classes), files)
     found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "whole", "least", F.coalesce("component", "rep").alias("component")
     )
@@ -308,14 +341,13 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def shared_signatures(rows: DataFrame, files: Files) -> DataFrame:
     """The rows of texts, and of all signatures those that several classes have, with how often they occur."""
-    kind = rows.schema["key"].dataType
-    told = f"struct<key: {kind.simpleString()}, n_shingles: bigint, cls: bigint, whole: binary, name: binary>"
     sent = rows.mapInArrow(
-        sender(to_arrow_schema(rows.select("key").schema).field(0).type), f"sig long, cls long, needed int, own boolean, row {told}")
+        sender(to_arrow_schema(rows.select("key").schema).field(0).type),
+        f"sig long, cls long, needed int, key {rows.schema['key'].dataType.simpleString()}, digests binary")
     by_sig = Window.partitionBy("sig")
     several = F.min("cls").over(by_sig) != F.max("cls").over(by_sig)
     marked = sent.withColumns({"several": several, "often": F.count("cls").over(by_sig)})
-    return stored(marked.where("several or sig is null or row is not null").drop("several"), "shared-signatures", files.wide)
+    return stored(marked.where("several or sig is null or digests is not null").drop("several"), "shared-signatures", files.wide)
 
 
 def candidates(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -324,7 +356,9 @@ def candidates(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[
     short = shared.where("sig is null").select("cls").distinct()
     # A link of a class needs ``needed`` of its signatures here, so the most frequent ones but these can be spared.
     of_class = Window.partitionBy("cls", "own")
-    ranked = shared.where("sig is not null").repartition("cls", "own").distinct().withColumns({
+    ranked = shared.where("sig is not null").select(
+        "sig", "cls", "often", F.abs("needed").alias("needed"), (F.col("needed") > 0).alias("own")
+    ).repartition("cls", "own").distinct().withColumns({
         "n": F.count("*").over(of_class), "rank": F.row_number().over(of_class.orderBy(F.desc("often"), "sig")),
     })
     kept = ranked.where("n >= needed and rank >= needed").select("sig", "cls").join(classes.select("cls", "rep", "size"), "cls")

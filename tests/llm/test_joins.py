@@ -4,6 +4,7 @@ import random
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kerbside.llm import decontamination, graphs, jaccard_join, suffix_dedup
@@ -137,6 +138,34 @@ def test_few_documents_make_few_files(spark, copies, monkeypatch):
     assert {n for purpose, n in files if purpose in ("classes", "involved", "edges", "parents", "components")} == {1}
 
 
+def test_shingles_of_many_texts_at_once():
+    chance = random.Random(2)
+    parts = [b"a", b"B", b"b", b" ", b"\t", b"\x0b", b"\x0c", b"\r", b"\n", b"\x1c", b"\xc2\x85", b"\0", b"q" * 7, b"Q" * 8, b"x" * 64, b"x" * 65, b"y" * 200]
+    hashes, codes_of, shingle_of = jaccard_join.Hashes(), {}, {}
+    for _ in range(400):
+        texts = [b"".join(chance.choices(parts, k=chance.randint(0, 60))) for _ in range(chance.randint(1, 8))]
+        words = [t.lower().split() for t in texts]
+        codes, bounds = jaccard_join.word_codes([t.lower() for t in texts], hashes)
+        assert np.diff(bounds).tolist() == list(map(len, words)) and len(codes) == sum(map(len, words))
+        for word, code in zip(sum(words, []), codes.tolist(), strict=True):
+            assert codes_of.setdefault(word, code) == code
+        for held, found in zip(words, jaccard_join.shingle_sets(texts, hashes), strict=True):
+            want = {tuple(held[i:i + 5]) for i in range(max(1, len(held) - 4))} if held else set()
+            assert len(found) == len(want) and (found[1:] > found[:-1]).all()
+            if len(want) == 1:
+                assert shingle_of.setdefault(*want, int(found[0])) == int(found[0])
+    assert len(set(codes_of.values())) == len(codes_of) and len(set(shingle_of.values())) == len(shingle_of)
+
+
+def test_sending_signatures_is_cheap():
+    hashes = jaccard_join.Hashes()
+    assert len(jaccard_join.shingles(jaccard_join.word_list("some words of a common length " + "x" * 100), hashes)) == 3
+    assert list(hashes) == [b"x" * 100]  # other words are not looked up one by one
+    texts = pa.RecordBatch.from_pydict({"key": list(range(2000)), "text": [" ".join(f"w{i * j}" for j in range(200)) for i in range(2000)]})
+    sent = list(jaccard_join.sender(pa.int64())([texts]))
+    assert sum(b.nbytes for b in sent) < 40 * sum(b.num_rows for b in sent)
+
+
 def test_files_by_rows(spark):
     assert [graphs.narrow_files(n) for n in (0, 1, 20_000, 20_001)] == [1, 1, 1, 2]
     assert [graphs.wide_files(spark, n) for n in (0, 32_000, 32_001)] == [8, 8, 9]
