@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +31,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space beside a space, and the white space beyond ASCII: texts with either are cut with more care.
 BESIDE = [pair for c in "\t\n\v\f\r" for pair in (c + " ", " " + c)] + ["  "]
 RARE_SPACE = [c for c in map(chr, range(128, 0x3001)) if regex.match(f"[{SPACE}]", c)]
-#: Entries of the per-task tables of text pieces (about 250 MB), of pre-tokens and pairs, and characters up to which one enters.
+#: Character below which what counts as a letter is the same in any version of Unicode.
+BEYOND_LATIN = "\u0250"
+#: Entries of the per-task tables of text pieces (about 250 MB) and of pre-tokens, and characters up to which one enters.
 PIECES, TOKENS, PIECE_CHARS = 1_000_000, 400_000, 32
 
 
@@ -93,7 +95,16 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
         self.byte_ids = [self.rank(bytes([b])) for b in range(256)]
-        self.pairs: dict[int, int] = {}
+        # By a token's rank: the tokens that join with it from behind, and the rank of both. The last row is of no token.
+        none: dict[int, int] = {}
+        self.joins = [none] * (len(self.bytes_of) + 1)
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    if self.joins[left] is none:
+                        self.joins[left] = {}
+                    self.joins[left][right] = rank
 
     def rank(self, token: bytes) -> int | None:
         slot = self.hash.slot(token)
@@ -105,49 +116,44 @@ class Vocabulary:
         return [whole] if whole is not None else self.merged(piece)
 
     def merged(self, piece: bytes) -> list[int]:
-        n, pair, known = len(piece), self.pair, self.pairs.get
-        ids = [self.byte_ids[b] for b in piece]
-        after, before = list(range(1, n + 1)), list(range(-1, n))
-        # Rank of each piece with the one after it now, -1 for none.
-        joined = []
-        for left, right in zip(ids, ids[1:]):
-            rank = known(left << 32 | right)
-            joined.append(pair(left, right) if rank is None else rank)
-        joined.append(-1)
-        # Heap entries are rank * n + place, so equal ranks merge leftmost first.
-        heap = [rank * n + place for place, rank in enumerate(joined) if rank >= 0]
+        n, joins, push = len(piece), self.joins, heapq.heappush
+        # Place n stands behind the last piece and, as -1, before the first one; it joins with nothing.
+        ids = [*map(self.byte_ids.__getitem__, piece), -1]
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        # Heap entries are a rank and, in the low bits, a place, so equal ranks merge leftmost first.
+        bits = n.bit_length()
+        low = (1 << bits) - 1
+        # Entry of each piece with the one after it now, -1 for none.
+        joined = [
+            -1 if (rank := joins[left].get(right)) is None else rank << bits | place
+            for place, (left, right) in enumerate(pairwise(ids))
+        ]
+        heap = [entry for entry in joined if entry >= 0]
         heapq.heapify(heap)
+        joined.append(-1)
         while heap:
-            rank, left = divmod(heapq.heappop(heap), n)
-            if joined[left] != rank:
+            entry = heapq.heappop(heap)
+            left = entry & low
+            if joined[left] != entry:
                 continue  # one of the two has been merged otherwise since
-            right = after[left]
-            beyond, ahead = after[right], before[left]
-            ids[left], ids[right], joined[left], joined[right] = rank, -1, -1, -1
-            after[left] = beyond
-            if beyond < n:
-                before[beyond] = left
-                new = known(rank << 32 | ids[beyond])
-                joined[left] = new = pair(rank, ids[beyond]) if new is None else new
-                if new >= 0:
-                    heapq.heappush(heap, new * n + left)
-            if ahead >= 0:
-                new = known(ids[ahead] << 32 | rank)
-                joined[ahead] = new = pair(ids[ahead], rank) if new is None else new
-                if new >= 0:
-                    heapq.heappush(heap, new * n + ahead)
+            rank, right, ahead = entry >> bits, after[left], before[left]
+            beyond = after[right]
+            ids[left], ids[right], joined[right] = rank, -1, -1
+            after[left], before[beyond] = beyond, left
+            new = joins[rank].get(ids[beyond])
+            if new is None:
+                joined[left] = -1
+            else:
+                joined[left] = new = new << bits | left
+                push(heap, new)
+            new = joins[ids[ahead]].get(rank)
+            if new is None:
+                joined[ahead] = -1
+            else:
+                joined[ahead] = new = new << bits | ahead
+                push(heap, new)
         return [i for i in ids if i >= 0]
 
-    def pair(self, left: int, right: int) -> int:
-        """Rank of two joined tokens, or -1."""
-        known = self.pairs.get(left << 32 | right)
-        if known is None:
-            if len(self.pairs) >= TOKENS:
-                self.pairs.clear()
-            rank = self.rank(self.bytes_of[left] + self.bytes_of[right])
-            self.pairs[left << 32 | right] = known = -1 if rank is None else rank
-        return known
-
 
 class Encoder:
     """Splits texts by the pattern and encodes them; keeps the ids of short pieces seen before."""
@@ -157,20 +163,24 @@ class Encoder:
         self.vocabulary, self.pretokens = vocabulary, regex.compile(spelled).findall
         # A space between two other characters always begins a pre-token, whatever is around it.
         self.cut = regex.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])").split
+        self.letters = pattern == public_tokenizers.PATTERN  # it takes a space and the letters after it as one pre-token
         self.known: dict[str, tuple[int, ...]] = {}
-        self.tokens: dict[str, list[int]] = {}
+        self.tokens: dict[str, tuple[int, ...]] = {}
+
+    def _token(self, token: str) -> tuple[int, ...]:
+        """Ids of a pre-token; with the space before it, it is a piece of text by itself."""
+        got = self.known.get(token[1:]) if token[0] == " " else self.tokens.get(token)
+        if got is None:
+            got = tuple(self.vocabulary.encode_piece(token.encode("utf-8", "surrogatepass")))
+            if len(token) <= PIECE_CHARS:
+                table, name, most = (self.known, token[1:], PIECES) if token[0] == " " else (self.tokens, token, TOKENS)
+                if len(table) >= most:
+                    table.clear()
+                table[name] = got
+        return got
 
     def _piece(self, text: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for token in self.pretokens(text):
-            if (got := self.tokens.get(token)) is None:
-                got = self.vocabulary.encode_piece(token.encode("utf-8", "surrogatepass"))
-                if len(token) <= PIECE_CHARS:
-                    if len(self.tokens) >= TOKENS:
-                        self.tokens.clear()
-                    self.tokens[token] = got
-            ids += got
-        return tuple(ids)
+        return tuple(chain.from_iterable(map(self._token, self.pretokens(text))))
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -179,17 +189,22 @@ class Encoder:
             text.isascii() or not any(map(text.__contains__, RARE_SPACE))
         )
         first, *rest = text.split(" ") if plain else self.cut(text)
-        known, out = self.known, [self._piece(first)]
-        for part in rest:
-            ids = known.get(part)
+        known = self.known
+        out = list(map(known.get, rest))
+        for at, ids in enumerate(out):
             if ids is None:
-                ids = self._piece(" " + part)
-                if len(part) <= PIECE_CHARS:
-                    if len(known) >= PIECES:
-                        known.clear()
-                    known[part] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+                part = rest[at]
+                ids = known.get(part)  # since the text began
+                if ids is None and self.letters and part.isalpha() and (part.isascii() or max(part) < BEYOND_LATIN):
+                    ids = self._token(" " + part)
+                elif ids is None:
+                    ids = self._piece(" " + part)
+                    if len(part) <= PIECE_CHARS:
+                        if len(known) >= PIECES:
+                            known.clear()
+                        known[part] = ids
+                out[at] = ids
+        return [*self._piece(first), *chain.from_iterable(out)]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))

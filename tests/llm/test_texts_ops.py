@@ -46,6 +46,18 @@ def test_encoding_of_odd_spacing(reference):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_words_are_looked_up_once(reference, monkeypatch):
+    chance = random.Random(4)
+    words = ["".join(chance.choices("abcdefghijklmnopqrstuvwxyzéßñ漢", k=chance.randint(8, 30))) for _ in range(500)]
+    text = " ".join(w + chance.choice(["", "", ",", ".", "'s", "1"]) for w in chance.choices(words, k=5000))
+    encoder = byte_bpe.Encoder(byte_bpe.encoder().vocabulary, public_tokenizers.PATTERN)
+    asked, rank = [], byte_bpe.Vocabulary.rank
+    monkeypatch.setattr(byte_bpe.Vocabulary, "rank", lambda self, token: asked.append(token) or rank(self, token))
+    assert encoder.encode(text) == reference.encode_ordinary(text)
+    # Neither merging pieces nor what stands behind a word asks the vocabulary again.
+    assert len(asked) == len(set(asked)) <= len(words) + 10
+
+
 def test_a_worker_keeps_the_tables_of_one_operator():
     first = byte_bpe.encoder()
     assert first.encode("some words") and byte_bpe.encoder() is first
